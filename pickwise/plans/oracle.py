@@ -95,9 +95,9 @@ dfreq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 ndocs AS (SELECT count(*) AS n FROM documents)"""
 
 COSINE = """v AS (SELECT CAST(vec_id AS INTEGER) AS productId, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
-vn AS (SELECT productId, f, sqrt(list_sum(list_transform(f, x -> x * x))) AS nrm FROM v),
+vn AS (SELECT productId, f, sqrt(list_sum(list_transform(f, lambda x: x * x))) AS nrm FROM v),
 cs AS (SELECT a.productId, b.productId AS simProductId,
-              list_sum(list_transform(list_zip(a.f, b.f), z -> z[1] * z[2])) / (a.nrm * b.nrm) AS cosv
+              list_sum(list_transform(list_zip(a.f, b.f), lambda z: z[1] * z[2])) / (a.nrm * b.nrm) AS cosv
        FROM vn a JOIN vn b ON a.productId <> b.productId WHERE a.nrm > 0 AND b.nrm > 0),
 vedges AS (SELECT productId, simProductId, cosv AS score FROM cs WHERE round(cosv, 10) > 0.4)"""
 
@@ -159,8 +159,8 @@ ORACLE: dict[str, str] = {
     "username_to_user_id": """SELECT c_name AS username, CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END
             AS INTEGER) AS userId
         FROM (SELECT c_name, CASE WHEN length(c_name) = 0 THEN 0 ELSE
-                list_reduce(list_transform(string_split(c_name, ''), ch -> CAST(unicode(ch) AS BIGINT)),
-                            (acc, x) -> (acc * 31 + x) % 4294967296) END AS h FROM customer)""",
+                list_reduce(list_transform(string_split(c_name, ''), lambda ch: CAST(unicode(ch) AS BIGINT)),
+                            lambda acc, x: (acc * 31 + x) % 4294967296) END AS h FROM customer)""",
     "user_by_name": _w(R2, USERS) + """SELECT userId, username FROM users
         WHERE userId IN (SELECT DISTINCT userId FROM r2)""",
     "item_cf_recs": _w(R2, ITEMCF) + "SELECT productId, simProductId, round(score, 6) AS score FROM edges",
@@ -214,8 +214,8 @@ ORACLE: dict[str, str] = {
         FROM (SELECT userId, productId, avg(score) AS score FROM r1 GROUP BY 1, 2)) WHERE rank <= 20""",
     "register_users": _w(R2, USERS) + """SELECT CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS INTEGER)
             AS userId, username, true AS first, CAST(1735689600 AS BIGINT) AS "timestamp"
-        FROM (SELECT username, list_reduce(list_transform(string_split(username, ''), ch -> CAST(unicode(ch) AS BIGINT)),
-                     (acc, x) -> (acc * 31 + x) % 4294967296) AS h
+        FROM (SELECT username, list_reduce(list_transform(string_split(username, ''), lambda ch: CAST(unicode(ch) AS BIGINT)),
+                     lambda acc, x: (acc * 31 + x) % 4294967296) AS h
               FROM (SELECT DISTINCT username FROM users
                     WHERE username NOT IN (SELECT u.username FROM users u
                                            WHERE u.userId IN (SELECT DISTINCT userId FROM r2))))""",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pickwise.functions import java_string_hash, normalise_rating_score, rating_line
 from pickwise.operators.joins import enrich_product_score, mean_scores, recs_for_username, serve_products
-from pickwise.operators.ranking import explode_recs, top_k_per_key, top_n
+from pickwise.operators.ranking import top_k_per_key, top_n
 from pickwise.operators.stats import rate_more_products, rate_more_recently_products
 from pickwise.schemas import HOT_DEFAULT_NUM
 
@@ -64,8 +64,9 @@ def user_recs_to_products(user_keys: DataFrame, users: DataFrame, user_recs: Dat
     """offline_products / stream_products: username -> recs -> product rows.
     An unknown user or an empty list gives no rows."""
     nested = recs_for_username(user_keys, users, user_recs)
-    rows = explode_recs(nested.select("username", F.col("userId").alias("productId"), "recs"))
-    rows = rows.select("username", "rank", "productId", F.col("score").alias("recScore"))
+    rows = (nested.select("username", F.posexplode("recs").alias("pos", "r"))
+            .select("username", (F.col("pos") + 1).alias("rank"), F.col("r.productId").alias("productId"),
+                    F.col("r.score").alias("recScore")))
     prods = enrich_product_score(products, mean_scores(ratings))
     return rows.join(prods, "productId")
 
