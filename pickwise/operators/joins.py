@@ -59,6 +59,8 @@ def serve_products(keys: DataFrame, products: DataFrame, ratings: DataFrame,
 
     When the key set is bounded (top-N, one user's list) the products scan and
     the ratings aggregate are both cut down to those keys by broadcast semi joins."""
+    if bound is not None and bound <= BROADCAST_MAX_ROWS:
+        keys = keys.persist()       # <= bound rows, shared by the three uses below
     if bound is not None:
         prods = products.join(bounded_broadcast(keys.select("productId").distinct(), bound),
                               "productId", "left_semi")

@@ -145,16 +145,19 @@ def cooccurrence_counts(user_items: DataFrame, n_users: int, n_items: int,
     return counts.groupBy("productId", "simProductId").agg(F.sum("cnt").alias("cnt"))
 
 
-def item_cf_edges(ratings: DataFrame, threshold: float = SIM_THRESHOLD,
-                  item_block: int = DEFAULT_ITEM_BLOCK, user_chunk: int = DEFAULT_USER_CHUNK) -> DataFrame:
+def item_cf(ratings: DataFrame, threshold: float = SIM_THRESHOLD,
+            item_block: int = DEFAULT_ITEM_BLOCK, user_chunk: int = DEFAULT_USER_CHUNK) -> tuple[DataFrame, int]:
     """M9: cosine co-occurrence |Ui ∩ Uj| / sqrt(|Ui| |Uj|) over distinct
     (user, product) pairs, rounded to 10 digits, kept when > threshold.
-    No cap on partners: every qualifying pair is returned."""
+    No cap on partners: every qualifying pair is returned.
+
+    Returns the edges and a proven bound on their row count, n_items * (n_items - 1),
+    from one exact sizing job (no count of the edges themselves)."""
     ui = ratings.select("userId", "productId").distinct().persist()
-    deg = ui.groupBy("productId").agg(F.count("*").alias("deg")).persist()
-    sizes = ui.agg(F.approx_count_distinct("userId").alias("u")).first()
-    n_items = deg.count()
-    counts = cooccurrence_counts(ui, int(sizes["u"]) + 1, n_items, item_block, user_chunk)
+    sizes = ui.agg(F.countDistinct("userId").alias("u"), F.countDistinct("productId").alias("p")).first()
+    n_users, n_items = int(sizes["u"]), int(sizes["p"])
+    deg = ui.groupBy("productId").agg(F.count("*").alias("deg"))
+    counts = cooccurrence_counts(ui, n_users, n_items, item_block, user_chunk)
     d = bounded_broadcast(deg, n_items)
     sim = (counts
            .join(d.select("productId", F.col("deg").alias("deg_p")), "productId")
@@ -163,7 +166,13 @@ def item_cf_edges(ratings: DataFrame, threshold: float = SIM_THRESHOLD,
            .select("productId", "simProductId",
                    F.round(F.col("cnt") / F.sqrt(F.col("deg_p").cast("double") * F.col("deg_q")),
                            SIM_DIGITS).alias("score")))
-    return sim.filter(F.col("score") > F.lit(threshold))
+    return sim.filter(F.col("score") > F.lit(threshold)), n_items * max(n_items - 1, 0)
+
+
+def item_cf_edges(ratings: DataFrame, threshold: float = SIM_THRESHOLD,
+                  item_block: int = DEFAULT_ITEM_BLOCK, user_chunk: int = DEFAULT_USER_CHUNK) -> DataFrame:
+    """M9 edges only (see ``item_cf``)."""
+    return item_cf(ratings, threshold, item_block, user_chunk)[0]
 
 
 # --- content features --------------------------------------------------------

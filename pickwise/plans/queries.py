@@ -31,11 +31,11 @@ def _r6(c):
 
 
 def _edges_item_cf(spark: SparkSession, sf_dir: str):
-    """M9 on R2, persisted once per call and measured for the broadcast check."""
+    """M9 on R2, cached for its several uses, with its proven row bound
+    (n_items * (n_items - 1)) for the broadcast check."""
     r2 = fx.ratings_r2(spark, sf_dir)
-    edges = similarity.item_cf_edges(r2).persist(StorageLevel.MEMORY_AND_DISK)
-    n = edges.count()
-    return r2, edges, n
+    edges, bound = similarity.item_cf(r2)
+    return r2, edges.persist(StorageLevel.MEMORY_AND_DISK), bound
 
 
 def _sp_parts(spark: SparkSession, sf_dir: str):
