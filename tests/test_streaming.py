@@ -56,6 +56,10 @@ def test_stream_equals_batch(spark, tmpdir_path):
 
     q = run()
     assert q.exception() is None
+    # A10: per-batch ids and row counts come from the query's progress reports
+    progress = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert sum(p["numInputRows"] for p in progress) == r2.count() + 2
+    assert len({p["batchId"] for p in progress}) == 4
     got = _recs_rows(read_stream_recs(spark, paths.recs))
 
     prio = priority.stream_priority(r2.select("userId", "productId", "score", "timestamp", "seq"),
