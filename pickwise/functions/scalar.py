@@ -19,12 +19,14 @@ def _col(c) -> Column:
 def epoch_seconds(ts, ntz: bool = True) -> Column:
     """Whole epoch seconds of a timestamp, independent of the session zone.
 
-    ``timestamp_ntz`` values (the test data) are read as UTC wall clock;
-    pass ``ntz=False`` for ``timestamp`` instants."""
+    ``timestamp_ntz`` values (the test data) are read as UTC wall clock from
+    their own fields (date, hour, minute, second), so no zone conversion and
+    no DST shift can enter; pass ``ntz=False`` for ``timestamp`` instants."""
     c = _col(ts)
-    if ntz:
-        return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
-    return F.unix_seconds(c)
+    if not ntz:
+        return F.unix_seconds(c)
+    days = F.unix_date(F.to_date(c)).cast("bigint")
+    return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
 
 
 def normalise_epoch(ts) -> Column:

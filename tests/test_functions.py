@@ -59,3 +59,19 @@ def test_rating_line_roundtrip(spark):
     ldf = spark.createDataFrame([(logged,)], "v string")
     assert ldf.select(strip_rating_prefix("v")).first()[0] == "4867|457976|5.0|1395676800"
     assert F is not None
+
+
+def test_epoch_seconds_ignores_session_zone(spark):
+    import datetime as dt
+    from pickwise.functions import epoch_seconds
+    rows = [(dt.datetime(2024, 7, 1, 12, 30, 5, 999999),), (dt.datetime(1970, 1, 1, 0, 0, 0),),
+            (dt.datetime(1999, 12, 31, 23, 59, 59),)]
+    want = [1719837005, 0, 946684799]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame(rows, "ts timestamp_ntz")
+            assert [r[0] for r in df.select(epoch_seconds("ts")).collect()] == want, zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
