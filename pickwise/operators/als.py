@@ -29,12 +29,19 @@ def als_estimator(rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER, reg: float
                implicitPrefs=False, nonnegative=False, checkpointInterval=10, **kw)
 
 
+def auto_blocks(ratings: DataFrame) -> int:
+    """User/item blocks for ALS from the input's own split (no job): one block
+    per input partition, at most the cluster's default parallelism."""
+    parallelism = ratings.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(ratings.rdd.getNumPartitions(), parallelism))
+
+
 def als_train(ratings: DataFrame, rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER,
               reg: float = ALS_REG, seed: int = SEED, blocks: int | None = None):
     """M1: fit explicit ALS on (userId, productId, score)."""
     checkpoint_root(ratings.sparkSession)
-    return als_estimator(rank, max_iter, reg, seed, blocks).fit(
-        ratings.select("userId", "productId", "score"))
+    triples = ratings.select("userId", "productId", "score")
+    return als_estimator(rank, max_iter, reg, seed, blocks or auto_blocks(triples)).fit(triples)
 
 
 def als_predict_pairs(model, pairs: DataFrame) -> DataFrame:
@@ -81,6 +88,7 @@ def als_grid_search(spark: SparkSession, train: DataFrame, test: DataFrame,
     Only the 12 scalar results come back to the driver."""
     train = train.select("userId", "productId", "score").persist()
     test = test.select("userId", "productId", "score").persist()
+    blocks = blocks or auto_blocks(train)
     rows = []
     for r in ranks:
         for lam in regs:

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +17,7 @@ from pickwise.operators import als as als_ops
 from pickwise.operators import joins, priority, ranking, similarity, stats
 from pickwise.plans import serving
 from pickwise.sources import fixtures as fx
+from pickwise.session import materialize
 from pickwise.sources import io
 from pickwise.streaming.parse import parse_rating_events, valid_rating_events
 
@@ -35,7 +35,7 @@ def _edges_item_cf(spark: SparkSession, sf_dir: str):
     (n_items * (n_items - 1)) for the broadcast check."""
     r2 = fx.ratings_r2(spark, sf_dir)
     edges, bound = similarity.item_cf(r2)
-    return r2, edges.persist(StorageLevel.MEMORY_AND_DISK), bound
+    return r2, materialize(edges), bound
 
 
 def _sp_parts(spark: SparkSession, sf_dir: str):
@@ -383,7 +383,7 @@ def q_top_k_per_user(spark, sf_dir):
 
 def _als_model(spark, sf_dir):
     r2 = fx.ratings_r2(spark, sf_dir)
-    return r2, als_ops.als_train(r2, blocks=4)
+    return r2, als_ops.als_train(r2)
 
 
 def q_als_train(spark, sf_dir):
@@ -423,7 +423,7 @@ def q_train_test_split(spark, sf_dir):
 
 def q_als_grid_search(spark, sf_dir):
     train, test = als_ops.train_test_split(fx.ratings_r2(spark, sf_dir))
-    return als_ops.als_grid_search(spark, train, test, blocks=4)
+    return als_ops.als_grid_search(spark, train, test)
 
 
 def q_best_params(spark, sf_dir):

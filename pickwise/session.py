@@ -59,3 +59,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written intermediates."""
     import uuid
     return f"{checkpoint_root(spark).rstrip('/')}/pickwise-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut the lineage of a reused, costly intermediate: write it to the shared
+    checkpoint folder (``Dataset.checkpoint``), so a lost executor costs a
+    re-read, not a recomputation of the whole plan."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
