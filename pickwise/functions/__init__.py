@@ -4,10 +4,12 @@ from pickwise.functions.scalar import (  # noqa: F401
     cosine_expr,
     epoch_seconds,
     epoch_to_yearmonth,
+    from_document,
     java_string_hash,
     log10_count,
     normalise_epoch,
     normalise_rating_score,
     rating_line,
     strip_rating_prefix,
+    to_document,
 )

@@ -95,3 +95,13 @@ def cosine_expr(a, b, norm_a=None, norm_b=None) -> Column:
     nb = _col(norm_b) if norm_b is not None else F.sqrt(dot(b, b))
     den = na * nb
     return F.when(den > 0, dot(a, b) / den).otherwise(F.lit(float("nan")))
+
+
+def to_document(*cols) -> Column:
+    """Record -> JSON document (F16), keys in column order."""
+    return F.to_json(F.struct(*[_col(c) for c in cols]))
+
+
+def from_document(doc, schema) -> Column:
+    """JSON document -> record with an explicit schema (F16); bad documents -> NULL fields."""
+    return F.from_json(_col(doc), schema)

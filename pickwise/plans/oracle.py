@@ -136,6 +136,10 @@ ORACLE: dict[str, str] = {
     "product_info": _w(R1, R2, ENRICHED) + """SELECT k.productId, e.name, e.imageUrl, e.categories, e.tags,
             round(e.score_raw, 6) AS score
         FROM (SELECT DISTINCT productId FROM r2) k LEFT JOIN enriched e USING (productId)""",
+    "product_documents": _w(R1, ENRICHED) + """SELECT productId,
+            CAST(to_json(struct_pack(productId := productId, name := name, imageUrl := imageUrl,
+                 categories := categories, tags := tags, score := round(score_raw, 6))) AS VARCHAR) AS doc,
+            name, round(score_raw, 6) AS score FROM enriched""",
     "search_products_by_name": _w(R1, ENRICHED) + """SELECT productId, name, imageUrl, categories, tags,
         round(score_raw, 6) AS score FROM enriched WHERE regexp_matches(name, 'ring')""",
     "normalise_rating_score": _w(R2RAW) + "SELECT seq, rawScore, round(rawScore / 2.0, 2) AS score FROM r2raw",

@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.functions import cosine_expr, epoch_to_yearmonth, java_string_hash, rating_line
+from pickwise.functions import (cosine_expr, epoch_to_yearmonth, from_document, java_string_hash, rating_line,
+                                to_document)
 from pickwise.operators import als as als_ops
 from pickwise.operators import joins, priority, ranking, similarity, stats
 from pickwise.plans import serving
@@ -107,6 +108,17 @@ def q_enrich_product_score(spark, sf_dir):
     return out.select(*serving.PRODUCT_COLS).withColumn("score", F.round("score", R6))
 
 
+def q_product_documents(spark, sf_dir):
+    """F16: every served product as a JSON document, parsed back with an explicit schema."""
+    r1 = fx.ratings_r1(spark, sf_dir)
+    served = joins.enrich_product_score(fx.products(spark, sf_dir), stats.average_products(r1))
+    served = served.select(*serving.PRODUCT_COLS).withColumn("score", F.round("score", R6))
+    docs = served.select("productId", to_document(*serving.PRODUCT_COLS).alias("doc"))
+    back = from_document("doc", "productId int, name string, imageUrl string, categories string, "
+                                "tags string, score double")
+    return docs.select("productId", "doc", back["name"].alias("name"), back["score"].alias("score"))
+
+
 def q_product_info(spark, sf_dir):
     keys = fx.ratings_r2(spark, sf_dir).select("productId")
     return serving.product_info(keys, fx.products(spark, sf_dir), fx.ratings_r1(spark, sf_dir)).withColumn(
@@ -446,6 +458,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "most_rated_products": q_most_rated_products,
     "enrich_product_score": q_enrich_product_score,
     "product_info": q_product_info,
+    "product_documents": q_product_documents,
     "search_products_by_name": q_search_products_by_name,
     # ratings, events, users
     "normalise_rating_score": q_normalise_rating_score,

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.functions import strip_rating_prefix
+from pickwise.functions import normalise_epoch, strip_rating_prefix
 
 
 def parse_rating_events(lines: DataFrame, col: str = "value") -> DataFrame:
     """P1 + P2: strip the optional log prefix, split on '|', keep lines with at
     least 4 fields (extras tolerated) and cast them; a bad number becomes NULL
-    (``try_cast``, Q9) instead of failing the batch. Other columns (e.g. an
+    (``try_cast``, Q9) instead of failing the batch; millisecond epochs are
+    brought to seconds (Q1). Other columns (e.g. an
     arrival ``seq``) are carried."""
     keep = [c for c in lines.columns if c != col]
     attr = F.split(strip_rating_prefix(F.col(col).cast("string")), r"\|")
@@ -24,7 +25,7 @@ def parse_rating_events(lines: DataFrame, col: str = "value") -> DataFrame:
                         field(0, "INT").alias("userId"),
                         field(1, "INT").alias("productId"),
                         field(2, "DOUBLE").alias("score"),
-                        field(3, "BIGINT").alias("timestamp"))
+                        normalise_epoch(field(3, "BIGINT")).alias("timestamp"))
 
 
 def valid_rating_events(parsed: DataFrame) -> DataFrame:
