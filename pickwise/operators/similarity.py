@@ -31,8 +31,7 @@ EDGE_SCHEMA = "productId int, simProductId int, score double"
 COUNT_SCHEMA = "productId int, simProductId int, cnt long"
 
 DEFAULT_VECTOR_BLOCK = 2048       # rows per dense-vector block: B x B float64 scores = 32 MiB
-DEFAULT_ITEM_BLOCK = 1024         # items per item-CF block
-DEFAULT_USER_CHUNK = 8192         # users per item-CF chunk: 8192 x 1024 float32 = 32 MiB
+DEFAULT_ITEM_BLOCK = 1024         # smallest item-CF block
 
 
 def _n_blocks(n: int, block: int) -> int:
@@ -55,10 +54,11 @@ def _round_sim(s: np.ndarray) -> np.ndarray:
 
 
 def _emit_pairs(ids_l, ids_r, s: np.ndarray, diagonal: bool, threshold: float | None,
-                value_name: str = "score") -> pd.DataFrame:
+                value_name: str = "score", one_way: bool = False) -> pd.DataFrame:
     """Rows (a, b, value) for cells passing ``value > threshold`` (NaN never passes);
     off-diagonal blocks are emitted in both directions, the diagonal block once
-    per ordered pair with a != b."""
+    per ordered pair with a != b (``one_way``: the caller already covers both
+    directions)."""
     mask = np.isfinite(s)
     if threshold is not None:
         mask &= s > threshold
@@ -66,53 +66,156 @@ def _emit_pairs(ids_l, ids_r, s: np.ndarray, diagonal: bool, threshold: float |
         np.fill_diagonal(mask, False)
     i, j = np.nonzero(mask)
     a, b, v = ids_l[i], ids_r[j], s[i, j]
-    if not diagonal:
+    if not diagonal and not one_way:
         a, b, v = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([v, v])
     return pd.DataFrame({"productId": a.astype(np.int32), "simProductId": b.astype(np.int32),
                          value_name: v})
 
 
+MAX_VECTOR_BLOCK = 8192           # rows per block at most; scores are computed in column slices
+SCORE_SLICE_COLS = 2048           # B x 2048 float64 scores per slice (<= 128 MiB)
+
+
+def vector_block_size(n: int, block_size: int | None = None) -> int:
+    """Rows per block: at least DEFAULT_VECTOR_BLOCK, growing with n so a row is
+    replicated to at most ~64 block pairs, capped by MAX_VECTOR_BLOCK."""
+    if block_size is not None:
+        return block_size
+    return min(MAX_VECTOR_BLOCK, max(DEFAULT_VECTOR_BLOCK, int(math.ceil(n / 64.0))))
+
+
+def _cosine_block(ids_l, xl, ids_r, xr, diagonal: bool, threshold: float | None,
+                  slice_cols: int = SCORE_SLICE_COLS) -> pd.DataFrame:
+    """Edges between two dense blocks, scores computed in column slices.
+    A diagonal block (both sides the same rows) masks a == b and emits every
+    ordered pair once; an off-diagonal block emits both directions."""
+    out = [pd.DataFrame({"productId": np.array([], np.int32), "simProductId": np.array([], np.int32),
+                         "score": np.array([], np.float64)})]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        nl = np.linalg.norm(xl, axis=1)
+        nr = np.linalg.norm(xr, axis=1)
+        for c0 in range(0, len(ids_r), slice_cols):
+            c1 = min(len(ids_r), c0 + slice_cols)
+            s = _round_sim((xl @ xr[c0:c1].T) / np.outer(nl, nr[c0:c1]))
+            if diagonal:
+                s = np.where(ids_l[:, None] == ids_r[None, c0:c1], np.nan, s)
+            out.append(_emit_pairs(ids_l, ids_r[c0:c1], s, False, threshold, one_way=diagonal))
+    return pd.concat(out, ignore_index=True)
+
+
 def cosine_all_pairs(vectors: DataFrame, threshold: float = SIM_THRESHOLD,
-                     block_size: int = DEFAULT_VECTOR_BLOCK, n_items: int | None = None) -> DataFrame:
+                     block_size: int | None = None, n_items: int | None = None) -> DataFrame:
     """(productId, features ARRAY<num>) -> edges (productId, simProductId, score)
     for all ordered pairs a != b with round(cos, 10) > threshold.
     Zero vectors give NaN and are dropped (Q13)."""
     v = vectors.select(F.col("productId").cast("int").alias("productId"),
                        F.col("features").cast("array<double>").alias("features"))
     n = n_items if n_items is not None else v.count()
-    nb = _n_blocks(n, block_size)
+    nb = _n_blocks(n, vector_block_size(n, block_size))
     v = v.withColumn("blk", F.pmod(F.xxhash64("productId"), F.lit(nb)).cast("int"))
     rep = _replicate_to_block_pairs(v, "blk", nb)
 
     def block_cosine(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(pdf["lo"].iat[0]), int(pdf["hi"].iat[0])
-        out = []
         left = pdf[pdf["blk"] == lo]
         right = left if lo == hi else pdf[pdf["blk"] == hi]
         if len(left) == 0 or len(right) == 0:
             return pd.DataFrame({"productId": [], "simProductId": [], "score": []})
         xl = np.stack(left["features"].to_numpy()).astype(np.float64)
         xr = xl if lo == hi else np.stack(right["features"].to_numpy()).astype(np.float64)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            nl = np.linalg.norm(xl, axis=1)
-            nr = nl if lo == hi else np.linalg.norm(xr, axis=1)
-            s = (xl @ xr.T) / np.outer(nl, nr)
-        out.append(_emit_pairs(left["productId"].to_numpy(), right["productId"].to_numpy(),
-                               _round_sim(s), lo == hi, threshold))
-        return pd.concat(out, ignore_index=True)
+        return _cosine_block(left["productId"].to_numpy(), xl, right["productId"].to_numpy(), xr,
+                             lo == hi, threshold)
 
     return rep.groupBy("lo", "hi").applyInPandas(block_cosine, schema=EDGE_SCHEMA)
 
 
-def cooccurrence_counts(user_items: DataFrame, n_users: int, n_items: int,
-                        item_block: int = DEFAULT_ITEM_BLOCK,
-                        user_chunk: int = DEFAULT_USER_CHUNK) -> DataFrame:
-    """|U_p ∩ U_q| for all ordered pairs p != q with a common user, from distinct
-    (userId, productId) rows, as the blocked product A^T A of the user x item
-    0/1 matrix. Partial products of user chunks are summed with a combining
-    aggregate."""
+DENSE_FACTOR = 100               # a user goes the dense way when |h∩I|·|h∩J|·DENSE_FACTOR > |I|·|J|
+SLICE_CELLS = 16_000_000          # bound on dense slice cells / sparse pairs handled at once
+MAX_ITEM_BLOCK = 4096             # |I| x |J| count accumulator <= 16M cells
+TARGET_GROUP_ROWS = 4_000_000     # (user, item) rows per (chunk, block pair) group
+
+
+def _block_counts(ul, il, ur, ir, n_users: int, n_i: int, n_j: int,
+                  dense_factor: float | None = None) -> np.ndarray:
+    """C[i, j] = #users holding item i (left block) and item j (right block).
+
+    Heavy users (many items in both blocks) are summed as dense 0/1 slices
+    with BLAS; light users by expanding only their own (i, j) pairs in
+    bounded slices and counting them with ``bincount``. Either way memory is
+    bounded by the block sizes, never by one user's history."""
+    factor = DENSE_FACTOR if dense_factor is None else dense_factor
+    c = np.zeros((n_i, n_j), dtype=np.int64)
+    al = np.bincount(ul, minlength=n_users).astype(np.int64)
+    ar = np.bincount(ur, minlength=n_users).astype(np.int64)
+    heavy = (al * ar) * factor > n_i * n_j
+    # dense part, over slices of heavy users
+    hu = np.nonzero(heavy)[0]
+    if len(hu):
+        pos = np.full(n_users, -1, dtype=np.int64)
+        pos[hu] = np.arange(len(hu))
+        step = max(1, SLICE_CELLS // max(1, n_i + n_j))
+        pl, pr = pos[ul], pos[ur]
+        for s0 in range(0, len(hu), step):
+            s1 = min(len(hu), s0 + step)
+            a_l = np.zeros((s1 - s0, n_i), dtype=np.float32)
+            a_r = np.zeros((s1 - s0, n_j), dtype=np.float32)
+            ml = (pl >= s0) & (pl < s1)
+            mr = (pr >= s0) & (pr < s1)
+            a_l[pl[ml] - s0, il[ml]] = 1.0
+            a_r[pr[mr] - s0, ir[mr]] = 1.0
+            c += np.rint(a_l.T @ a_r).astype(np.int64)      # exact: counts < 2^24 per slice
+    # sparse part: light users expand their own pairs
+    lm, rm = ~heavy[ul], ~heavy[ur]
+    ul2, il2, ur2, ir2 = ul[lm], il[lm], ur[rm], ir[rm]
+    if len(ul2) and len(ur2):
+        order = np.argsort(ur2, kind="stable")
+        ir_sorted = ir2[order]
+        cnt_r = np.bincount(ur2, minlength=n_users).astype(np.int64)
+        start_r = np.concatenate([[0], np.cumsum(cnt_r)[:-1]])
+        rep_all = cnt_r[ul2]
+        bounds = np.concatenate([[0], np.cumsum(rep_all)])
+        s0 = 0
+        while s0 < len(ul2):
+            s1 = int(np.searchsorted(bounds, bounds[s0] + SLICE_CELLS, side="right")) - 1
+            s1 = max(s1, s0 + 1)
+            rep = rep_all[s0:s1]
+            total = int(rep.sum())
+            if total:
+                li = np.repeat(il2[s0:s1], rep)
+                first = np.repeat(start_r[ul2[s0:s1]], rep)
+                within = np.arange(total) - np.repeat(np.cumsum(rep) - rep, rep)
+                rj = ir_sorted[first + within]
+                c += np.bincount(li * n_j + rj, minlength=n_i * n_j).reshape(n_i, n_j)
+            s0 = s1
+    return c
+
+
+def cooc_layout(n_users: int, n_items: int, nnz: int, item_block: int | None = None,
+                user_chunk: int | None = None) -> tuple[int, int]:
+    """(item blocks, user chunks). Blocks are as large as the count accumulator
+    allows, so each row is replicated to few block pairs; user chunks are sized
+    so a (chunk, block pair) group holds about TARGET_GROUP_ROWS rows."""
+    if item_block is None:
+        item_block = min(MAX_ITEM_BLOCK, max(DEFAULT_ITEM_BLOCK, int(math.ceil(n_items / 32.0))))
     nb = _n_blocks(n_items, item_block)
-    nc = _n_blocks(n_users, user_chunk)
+    if user_chunk is None:
+        rows_per_block_pair = 2.0 * nnz / nb if nb > 1 else float(nnz)
+        nc = max(1, int(math.ceil(rows_per_block_pair / TARGET_GROUP_ROWS)))
+        nc = min(nc, max(1, n_users))
+    else:
+        nc = _n_blocks(n_users, user_chunk)
+    return nb, nc
+
+
+def cooccurrence_counts(user_items: DataFrame, n_users: int, n_items: int, nnz: int | None = None,
+                        item_block: int | None = None, user_chunk: int | None = None,
+                        dense_factor: float = DENSE_FACTOR) -> DataFrame:
+    """|U_p ∩ U_q| for all ordered pairs p != q with a common user, from distinct
+    (userId, productId) rows: the blocked product A^T A of the user x item 0/1
+    matrix. Each (user chunk, item block pair) group computes its partial
+    counts in memory (``_block_counts``); partials of the chunks are summed by
+    a combining aggregate."""
+    nb, nc = cooc_layout(n_users, n_items, nnz if nnz is not None else n_users * 8, item_block, user_chunk)
     ui = (user_items.select("userId", "productId")
           .withColumn("blk", F.pmod(F.xxhash64("productId"), F.lit(nb)).cast("int"))
           .withColumn("chunk", F.pmod(F.xxhash64("userId"), F.lit(nc)).cast("int")))
@@ -121,23 +224,20 @@ def cooccurrence_counts(user_items: DataFrame, n_users: int, n_items: int,
     def block_cooc(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(pdf["lo"].iat[0]), int(pdf["hi"].iat[0])
         users, uidx = np.unique(pdf["userId"].to_numpy(), return_inverse=True)
-        left = pdf["blk"].to_numpy() == lo
-        right = pdf["blk"].to_numpy() == hi
-        items_l, il = np.unique(pdf["productId"].to_numpy()[left], return_inverse=True)
-        a_l = np.zeros((len(users), len(items_l)), dtype=np.float32)
-        a_l[uidx[left], il] = 1.0
+        blk = pdf["blk"].to_numpy()
+        prod = pdf["productId"].to_numpy()
+        left = blk == lo
+        items_l, il = np.unique(prod[left], return_inverse=True)
         if lo == hi:
-            items_r, a_r = items_l, a_l
+            items_r, ir, right = items_l, il, left
         else:
-            items_r, ir = np.unique(pdf["productId"].to_numpy()[right], return_inverse=True)
-            a_r = np.zeros((len(users), len(items_r)), dtype=np.float32)
-            a_r[uidx[right], ir] = 1.0
-        if a_l.shape[1] == 0 or a_r.shape[1] == 0:
+            right = blk == hi
+            items_r, ir = np.unique(prod[right], return_inverse=True)
+        if len(items_l) == 0 or len(items_r) == 0:
             return pd.DataFrame({"productId": [], "simProductId": [], "cnt": []})
-        c = a_l.T @ a_r   # exact: counts <= users per chunk < 2^24
-        res = _emit_pairs(items_l, items_r, c, lo == hi, 0.0, value_name="cnt")
-        res["cnt"] = np.rint(res["cnt"].to_numpy()).astype(np.int64)
-        return res
+        c = _block_counts(uidx[left], il, uidx[right], ir, len(users), len(items_l), len(items_r),
+                          dense_factor)
+        return _emit_pairs(items_l, items_r, c, lo == hi, 0, value_name="cnt")
 
     counts = rep.groupBy("chunk", "lo", "hi").applyInPandas(block_cooc, schema=COUNT_SCHEMA)
     if nc == 1:
@@ -146,7 +246,8 @@ def cooccurrence_counts(user_items: DataFrame, n_users: int, n_items: int,
 
 
 def item_cf(ratings: DataFrame, threshold: float = SIM_THRESHOLD,
-            item_block: int = DEFAULT_ITEM_BLOCK, user_chunk: int = DEFAULT_USER_CHUNK) -> tuple[DataFrame, int]:
+            item_block: int | None = None, user_chunk: int | None = None,
+            dense_factor: float = DENSE_FACTOR) -> tuple[DataFrame, int]:
     """M9: cosine co-occurrence |Ui ∩ Uj| / sqrt(|Ui| |Uj|) over distinct
     (user, product) pairs, rounded to 10 digits, kept when > threshold.
     No cap on partners: every qualifying pair is returned.
@@ -154,10 +255,11 @@ def item_cf(ratings: DataFrame, threshold: float = SIM_THRESHOLD,
     Returns the edges and a proven bound on their row count, n_items * (n_items - 1),
     from one exact sizing job (no count of the edges themselves)."""
     ui = ratings.select("userId", "productId").distinct().persist()
-    sizes = ui.agg(F.countDistinct("userId").alias("u"), F.countDistinct("productId").alias("p")).first()
-    n_users, n_items = int(sizes["u"]), int(sizes["p"])
+    sizes = ui.agg(F.countDistinct("userId").alias("u"), F.countDistinct("productId").alias("p"),
+                   F.count("*").alias("nnz")).first()
+    n_users, n_items, nnz = int(sizes["u"]), int(sizes["p"]), int(sizes["nnz"])
     deg = ui.groupBy("productId").agg(F.count("*").alias("deg"))
-    counts = cooccurrence_counts(ui, n_users, n_items, item_block, user_chunk)
+    counts = cooccurrence_counts(ui, n_users, n_items, nnz, item_block, user_chunk, dense_factor)
     d = bounded_broadcast(deg, n_items)
     sim = (counts
            .join(d.select("productId", F.col("deg").alias("deg_p")), "productId")
@@ -170,9 +272,10 @@ def item_cf(ratings: DataFrame, threshold: float = SIM_THRESHOLD,
 
 
 def item_cf_edges(ratings: DataFrame, threshold: float = SIM_THRESHOLD,
-                  item_block: int = DEFAULT_ITEM_BLOCK, user_chunk: int = DEFAULT_USER_CHUNK) -> DataFrame:
+                  item_block: int | None = None, user_chunk: int | None = None,
+                  dense_factor: float = DENSE_FACTOR) -> DataFrame:
     """M9 edges only (see ``item_cf``)."""
-    return item_cf(ratings, threshold, item_block, user_chunk)[0]
+    return item_cf(ratings, threshold, item_block, user_chunk, dense_factor)[0]
 
 
 # --- content features --------------------------------------------------------

@@ -5,6 +5,7 @@ import math
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from conftest import SF_SMALL
 from pickwise.operators import similarity
@@ -101,3 +102,64 @@ def test_content_based_equals_brute_force(spark):
     got = _edges(similarity.cosine_all_pairs(vec, block_size=50))
     assert got.keys() == want.keys()
     assert _edges(similarity.content_based_edges(d)).keys() == want.keys()
+
+
+@pytest.mark.parametrize("dense_factor,slice_cells", [(0, 7), (10**12, 5), (100, 3), (100, 16_000_000)])
+def test_block_counts_kernel_paths(monkeypatch, dense_factor, slice_cells):
+    """The in-group kernel gives exact counts on the sparse path, the dense
+    path and their mix, with slices small enough to split users."""
+    rng = np.random.default_rng(7)
+    n_users, n_i, n_j = 40, 9, 11
+    ul = rng.integers(0, n_users, 300)
+    il = rng.integers(0, n_i, 300)
+    ur = rng.integers(0, n_users, 250)
+    ir = rng.integers(0, n_j, 250)
+    ul = np.concatenate([ul, np.zeros(n_i, dtype=int)])       # user 0 is hot: every left item
+    il = np.concatenate([il, np.arange(n_i)])
+    # distinct (user, item) rows, as the operator feeds it
+    left = np.unique(np.stack([ul, il], 1), axis=0)
+    right = np.unique(np.stack([ur, ir], 1), axis=0)
+    want = np.zeros((n_i, n_j), dtype=np.int64)
+    for u in range(n_users):
+        li = left[left[:, 0] == u, 1]
+        rj = right[right[:, 0] == u, 1]
+        for a in li:
+            for b in rj:
+                want[a, b] += 1
+    monkeypatch.setattr(similarity, "DENSE_FACTOR", dense_factor)
+    monkeypatch.setattr(similarity, "SLICE_CELLS", slice_cells)
+    got = similarity._block_counts(left[:, 0], left[:, 1], right[:, 0], right[:, 1], n_users, n_i, n_j)
+    assert (got == want).all()
+
+
+def test_item_cf_sparse_and_dense_paths_end_to_end(spark):
+    r2 = fx.ratings_r2(spark, SF_SMALL)
+    sparse = _edges(similarity.item_cf_edges(r2, item_block=16, user_chunk=4, dense_factor=0))
+    dense = _edges(similarity.item_cf_edges(r2, dense_factor=10**12))
+    assert sparse == dense and len(dense) > 0
+
+
+def test_cooc_layout():
+    assert similarity.cooc_layout(150, 100, 7000) == (1, 1)
+    nb, nc = similarity.cooc_layout(10**8, 10**6, 10**10)
+    assert nb <= 245 and 10**6 / nb <= similarity.MAX_ITEM_BLOCK
+    assert 2.0 * 10**10 / nb / nc <= similarity.TARGET_GROUP_ROWS
+
+
+@pytest.mark.parametrize("slice_cols", [1, 3, 1000])
+def test_cosine_block_kernel_slices(slice_cols):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(12, 4))
+    x[5] = 0.0
+    ids = np.arange(100, 112)
+    want = _brute_cosine(list(ids), x, 0.1)
+    diag = similarity._cosine_block(ids, x, ids, x, True, 0.1, slice_cols)
+    got = {(int(a), int(b)): v for a, b, v in diag.itertuples(index=False)}
+    assert got.keys() == want.keys()
+    # off-diagonal: split the same rows into two blocks; the union covers every ordered pair
+    a, b = slice(0, 7), slice(7, 12)
+    parts = [similarity._cosine_block(ids[a], x[a], ids[a], x[a], True, 0.1, slice_cols),
+             similarity._cosine_block(ids[b], x[b], ids[b], x[b], True, 0.1, slice_cols),
+             similarity._cosine_block(ids[a], x[a], ids[b], x[b], False, 0.1, slice_cols)]
+    got2 = {(int(p), int(q)): v for part in parts for p, q, v in part.itertuples(index=False)}
+    assert got2.keys() == want.keys()
