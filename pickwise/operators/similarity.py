@@ -303,7 +303,10 @@ def hashed_tfidf_vectors(docs: DataFrame, num_features: int = HASHING_TF_FEATURE
     from pyspark.ml.functions import vector_to_array
 
     words = docs.select("productId", tokenize("text").alias("words"))
-    tf = HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=num_features).transform(words)
+    # the hashed term counts (<= num_features entries per text) are cached, so the
+    # whole texts are tokenised once for both the IDF fit and the transform
+    tf = (HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=num_features).transform(words)
+          .select("productId", "rawFeatures").persist())
     model = IDF(inputCol="rawFeatures", outputCol="tfidf").fit(tf)
     return model.transform(tf).select("productId", vector_to_array("tfidf").alias("features"))
 
