@@ -103,12 +103,12 @@ def tune_job(spark: SparkSession, root: str) -> DataFrame:
 
 def online_job(spark: SparkSession, root: str, source_dir: str | None = None, topic: str | None = None,
                bootstrap_servers: str | None = None, checkpoint: str | None = None, trigger: dict | None = None):
-    """OnlineRecommender: start the stream; returns the StreamingQuery."""
+    """OnlineRecommender: start the stream; returns the (main, rejects) queries."""
     from pickwise.session import checkpoint_root
     from pickwise.streaming.pipeline import OnlinePaths, rating_stream_query
     fmt = "kafka" if topic else "text"
     lines = io.rating_stream_source(spark, fmt, source_dir, topic, bootstrap_servers)
-    paths = OnlinePaths(edges=path(root, "itemcf") + "_edges", history=path(root, "stream_recs") + "_history",
+    paths = OnlinePaths(edges=path(root, "itemcf") + "_edges", lists=path(root, "itemcf"),
                         recs=path(root, "stream_recs"), rejects=path(root, "stream_recs") + "_rejects")
     ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/pickwise-online"
     return rating_stream_query(lines, paths, ckpt, trigger)
@@ -139,7 +139,8 @@ def main(argv=None):
     elif a.job == "tune":
         tune_job(spark, a.root).show()
     else:
-        online_job(spark, a.root, a.source, a.topic, a.bootstrap_servers).awaitTermination()
+        main_q, _ = online_job(spark, a.root, a.source, a.topic, a.bootstrap_servers)
+        main_q.awaitTermination()
 
 
 if __name__ == "__main__":

@@ -1,20 +1,23 @@
 """Online re-ranking with Structured Streaming.
 
-Rating lines arrive on a stream (Kafka, or a directory of text files). Each
-micro-batch is handled set-wise by ``process_ratings_batch``:
-
-1. parse (P1/P2); malformed lines go to a rejects table;
-2. store the batch's ratings in the history (the event is stored before it
-   is scored, as in the request path);
-3. score the newest event of every user in the batch with the SP plan,
-   reading the similarity edges afresh (a nightly model is picked up);
-4. write the users' new recommendation lists (an empty list replaces the old
-   one, Q6).
+Rating lines arrive on a stream (Kafka, or a directory of text files):
+
+1. parse (P1/P2); malformed lines go to a rejects table (a second query,
+   file sink);
+2. each event is joined, one row to one row, with its product's neighbour
+   list (static nested table, re-read by the planner every trigger);
+3. ``applyInPandasWithState`` keyed by user keeps the user's recent-ratings
+   queue (newest 40) and rated-product set, and emits only what scoring
+   needs: the 20 best unrated neighbours of the newest event and the 21
+   newest ratings. No history table is read: per-trigger work grows with
+   the batch, not with the history;
+4. ``foreachBatch`` joins candidates x recents x edges, scores (SP) and writes
+   the users' new lists; an empty list replaces the old one (Q6).
 
 Every write goes to ``<table>/batch_id=<id>`` in overwrite mode, so a batch
 replayed after a failure rewrites the same files (idempotent sink); readers
-resolve the newest list per user by ``batch_id``. All tables live under
-paths the caller names (the shared checkpoint folder on a cluster).
+resolve the newest list per user by ``batch_id``. State and offsets live in
+the query checkpoint (the shared folder on a cluster).
 """
 
 from __future__ import annotations
@@ -29,8 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pickwise.operators.joins import checked_broadcast
-from pickwise.operators.priority import stream_priority, stream_recs_table
-from pickwise.schemas import RATING_QUEUE_SIZE
+from pickwise.operators.priority import stream_recs_table
+from pickwise.schemas import MAX_SIM_PRODUCTS_NUM, RATING_QUEUE_SIZE, RECENT_ROWS
 from pickwise.streaming.parse import parse_rating_events, rejected_rating_lines, valid_rating_events
 
 HISTORY_COLS = ["userId", "productId", "score", "timestamp", "seq"]
@@ -38,10 +41,10 @@ HISTORY_COLS = ["userId", "productId", "score", "timestamp", "seq"]
 
 @dataclass
 class OnlinePaths:
-    edges: str          # parquet: productId, simProductId, score
-    history: str        # parquet, partitioned by batch_id: userId, productId, score, timestamp, seq
+    edges: str          # parquet: productId, simProductId, score  (exploded similarity edges)
+    lists: str          # parquet: productId, recs ARRAY<STRUCT<productId, score>> (the same edges, nested)
     recs: str           # parquet, partitioned by batch_id: userId, recs
-    rejects: str        # parquet, partitioned by batch_id: value
+    rejects: str        # parquet (file sink): value
 
 
 def parse_stream_lines(lines: DataFrame) -> DataFrame:
@@ -59,56 +62,125 @@ def _write_batch(df: DataFrame, root: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch_id={batch_id}")
 
 
-def read_history(spark: SparkSession, root: str) -> DataFrame:
-    schema = "userId int, productId int, score double, timestamp bigint, seq bigint, batch_id long"
-    try:
-        return spark.read.schema(schema).parquet(root)
-    except Exception:  # noqa: BLE001 - an empty history is a valid start
-        return spark.createDataFrame([], schema)
-
-
 def read_stream_recs(spark: SparkSession, root: str) -> DataFrame:
     """T5 reader: the newest list per user (latest batch wins)."""
     raw = spark.read.parquet(root)
     return raw.groupBy("userId").agg(F.max_by("recs", "batch_id").alias("recs"))
 
 
-def process_ratings_batch(batch: DataFrame, batch_id: int, paths: OnlinePaths,
+# --- keyed state: recent queue + rated set per user ------------------------------
+
+ONLINE_OUT = T.StructType([
+    T.StructField("userId", T.IntegerType()),
+    T.StructField("kind", T.StringType()),          # 'user' marker, 'cand' candidate, 'recent' rating
+    T.StructField("productId", T.IntegerType()),
+    T.StructField("score", T.DoubleType()),        # sim for 'cand', rating score for 'recent'
+    T.StructField("rank", T.IntegerType()),
+])
+ONLINE_STATE = T.StructType([T.StructField("queue", T.StringType()),
+                             T.StructField("rated", T.StringType())])
+
+
+def _online_update(key, pdfs, state, k: int = MAX_SIM_PRODUCTS_NUM, recent_k: int = RECENT_ROWS,
+                   cap: int = RATING_QUEUE_SIZE):
+    """One user's new events -> updated (queue, rated set) and the rows the
+    scoring step needs: the 20 best unrated neighbours of the newest event,
+    the 21 newest queued ratings, and a marker row (an empty list still
+    replaces the old one, Q6). Work is bounded by the user's events in this
+    batch plus one neighbour list."""
+    queue = json.loads(state.get[0]) if state.exists else []
+    rated = set(json.loads(state.get[1])) if state.exists else set()
+    seen = {e[3] for e in queue}
+    cur, cur_nbrs = None, None
+    for pdf in pdfs:
+        for pid, score, ts, seq, nbrs in zip(pdf["productId"], pdf["score"], pdf["timestamp"],
+                                             pdf["seq"], pdf["nbrs"]):
+            entry = [int(pid), float(score), int(ts), int(seq)]
+            rated.add(entry[0])
+            if entry[3] not in seen:
+                seen.add(entry[3])
+                queue.append(entry)
+            if cur is None or (entry[2], entry[3]) > (cur[2], cur[3]):
+                cur, cur_nbrs = entry, nbrs
+    queue.sort(key=lambda e: (e[2], e[3]), reverse=True)
+    queue = queue[:cap]
+    state.update((json.dumps(queue), json.dumps(sorted(rated))))
+    uid = int(key[0])
+    cands = []
+    if cur_nbrs is not None:
+        cands = [(int(n["productId"]), float(n["score"])) for n in cur_nbrs if int(n["productId"]) not in rated]
+        cands.sort(key=lambda c: (-c[1], c[0]))
+        cands = cands[:k]
+    recents = queue[:recent_k]
+    rows = ([(uid, "user", None, None, None)]
+            + [(uid, "cand", q, s, i + 1) for i, (q, s) in enumerate(cands)]
+            + [(uid, "recent", e[0], e[1], i + 1) for i, e in enumerate(recents)])
+    yield pd.DataFrame(rows, columns=["userId", "kind", "productId", "score", "rank"]).astype(
+        {"userId": "int32", "productId": "Int32", "rank": "Int32"})
+
+
+def online_candidates(events: DataFrame, lists: DataFrame) -> DataFrame:
+    """Streaming (userId, kind, productId, score, rank) rows per trigger for the
+    users with new events. ``lists`` is the static nested neighbour table; the
+    stream-static join is one row per event (a product's list travels with it)."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    nb = lists.select("productId", F.col("recs").alias("nbrs"))
+    joined = events.select(*HISTORY_COLS).join(nb, "productId", "left")
+    return (joined.groupBy("userId")
+            .applyInPandasWithState(_online_update, ONLINE_OUT, ONLINE_STATE, "update",
+                                    GroupStateTimeout.NoTimeout))
+
+
+def score_batch(rows: DataFrame, edges: DataFrame, edges_bound: int | None = None) -> DataFrame:
+    """T2 scoring of one micro-batch of state rows: hits -> priority -> lists."""
+    from pickwise.operators.priority import candidate_recent_pairs, hits, score_candidates
+    cand = rows.filter(F.col("kind") == "cand").select("userId", "productId", F.col("score").alias("sim"))
+    recent = rows.filter(F.col("kind") == "recent").select("userId", "productId", "score")
+    users = rows.filter(F.col("kind") == "user").select("userId")
+    prio = score_candidates(hits(candidate_recent_pairs(cand, recent), edges, edges_bound=edges_bound))
+    return stream_recs_table(prio, users)
+
+
+def process_ratings_batch(rows: DataFrame, batch_id: int, paths: OnlinePaths,
                           edges_max_rows: int = 2_000_000) -> None:
-    """One set-wise plan per micro-batch (see module doc)."""
-    spark = batch.sparkSession
-    lines = batch.select("value").persist(StorageLevel.MEMORY_AND_DISK)
+    """Score one micro-batch and write its users' lists to
+    ``recs/batch_id=<id>`` (overwrite: a replayed batch rewrites the same files).
+    The edges are re-read each batch, so a new nightly model is picked up (T4)."""
+    spark = rows.sparkSession
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        _write_batch(rejected_rating_lines(lines), paths.rejects, batch_id)
-        events = valid_rating_events(parse_stream_lines(lines)).persist(StorageLevel.MEMORY_AND_DISK)
-        if events.isEmpty():
+        if rows.isEmpty():
             return
-        _write_batch(events.select(*HISTORY_COLS), paths.history, batch_id)
-        users = events.select("userId").distinct()
-        history = read_history(spark, paths.history).select(*HISTORY_COLS).join(users, "userId", "left_semi")
         edges = spark.read.parquet(paths.edges).select("productId", "simProductId", "score").persist()
-        edges_b, n = checked_broadcast(edges, edges_max_rows)
-        prio = stream_priority(history, edges_b, events=events, edges_bound=None)
-        _write_batch(stream_recs_table(prio, users), paths.recs, batch_id)
+        edges_b, _ = checked_broadcast(edges, edges_max_rows)
+        _write_batch(score_batch(rows, edges_b), paths.recs, batch_id)
         edges.unpersist()
-        events.unpersist()
     finally:
-        lines.unpersist()
+        rows.unpersist()
 
 
 def rating_stream_query(lines: DataFrame, paths: OnlinePaths, checkpoint: str,
                         trigger: dict | None = None, query_name: str | None = None):
-    """foreachBatch over the rating lines with a checkpoint. The default
-    trigger is the 2-second processing-time trigger; tests pass
-    ``{"availableNow": True}``."""
+    """Two queries over the rating lines, both checkpointed:
+    the re-ranking query (parse -> keyed state -> foreachBatch scoring) and a
+    rejects query (file sink, exactly once). Default trigger: 2 seconds;
+    tests pass ``{"availableNow": True}``. Returns (main, rejects)."""
+    spark = lines.sparkSession
     trig = trigger or {"processingTime": "2 seconds"}
-    w = (lines.writeStream
-         .foreachBatch(lambda df, bid: process_ratings_batch(df, bid, paths))
-         .option("checkpointLocation", checkpoint)
-         .trigger(**trig))
+    events = valid_rating_events(parse_stream_lines(lines))
+    rows = online_candidates(events, spark.read.parquet(paths.lists))
+    main = (rows.writeStream.outputMode("update")
+            .foreachBatch(lambda df, bid: process_ratings_batch(df, bid, paths))
+            .option("checkpointLocation", f"{checkpoint.rstrip('/')}/main")
+            .trigger(**trig))
     if query_name:
-        w = w.queryName(query_name)
-    return w.start()
+        main = main.queryName(query_name)
+    rejects = (rejected_rating_lines(lines.select("value")).writeStream.format("parquet")
+               .option("path", paths.rejects)
+               .option("checkpointLocation", f"{checkpoint.rstrip('/')}/rejects")
+               .trigger(**trig))
+    return main.start(), rejects.start()
 
 
 # --- T3: per-user bounded recent-ratings queue as keyed state ---------------------

@@ -50,3 +50,19 @@ def test_load_stats_itemcf_offline_content(spark, tmpdir_path):
     jobs.content_job(spark, root)
     cb = spark.read.parquet(jobs.path(root, "content")).collect()
     assert all(e["productId"] != r["productId"] for r in cb for e in r["recs"])
+
+    # online: replay the ratings as log lines through the stream
+    lines = f"{tmpdir_path}/lines"
+    (r2.select(F.concat(F.lit("PRODUCT_RATING_PREFIX:"),
+                        F.concat_ws("|", F.col("userId").cast("string"), F.col("productId").cast("string"),
+                                    F.col("score").cast("string"), F.col("timestamp").cast("string"),
+                                    F.col("seq").cast("string"))).alias("value"))
+     .coalesce(1).write.text(lines))
+    main_q, rej_q = jobs.online_job(spark, root, source_dir=lines, checkpoint=f"{tmpdir_path}/ockpt",
+                                    trigger={"availableNow": True})
+    main_q.awaitTermination(300)
+    rej_q.awaitTermination(300)
+    assert main_q.exception() is None
+    from pickwise.streaming.pipeline import read_stream_recs
+    recs = read_stream_recs(spark, jobs.path(root, "stream_recs"))
+    assert recs.count() == r2.select("userId").distinct().count()

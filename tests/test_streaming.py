@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from pickwise.operators import priority, similarity
+from pickwise.operators import priority, ranking, similarity
 from pickwise.sources import fixtures as fx
 from pickwise.streaming.pipeline import (OnlinePaths, rating_stream_query, read_stream_recs,
                                          recent_queue_state)
@@ -42,16 +42,19 @@ def _recs_rows(df):
 def test_stream_equals_batch(spark, tmpdir_path):
     r2 = fx.ratings_r2(spark, SF_SMALL)
     edges = similarity.item_cf_edges(r2)
-    paths = OnlinePaths(edges=f"{tmpdir_path}/edges", history=f"{tmpdir_path}/history",
+    paths = OnlinePaths(edges=f"{tmpdir_path}/edges", lists=f"{tmpdir_path}/lists",
                         recs=f"{tmpdir_path}/recs", rejects=f"{tmpdir_path}/rejects")
     edges.write.parquet(paths.edges)
+    ranking.collect_recs_per_key(spark.read.parquet(paths.edges)).write.parquet(paths.lists)
     src = f"{tmpdir_path}/in"
     _write_line_files(spark, r2, src)
 
     def run():
         stream = (spark.readStream.option("maxFilesPerTrigger", 1).text(src))
-        q = rating_stream_query(stream, paths, f"{tmpdir_path}/ckpt", trigger={"availableNow": True})
+        q, rq = rating_stream_query(stream, paths, f"{tmpdir_path}/ckpt", trigger={"availableNow": True})
         q.awaitTermination(300)
+        rq.awaitTermination(300)
+        assert rq.exception() is None
         return q
 
     q = run()
