@@ -190,18 +190,26 @@ def _block_counts(ul, il, ur, ir, n_users: int, n_i: int, n_j: int,
     return c
 
 
+MIN_ROWS_PER_GROUP = 250_000       # below this a group is not worth its task
+
+
 def cooc_layout(n_users: int, n_items: int, nnz: int, item_block: int | None = None,
-                user_chunk: int | None = None) -> tuple[int, int]:
+                user_chunk: int | None = None, parallelism: int = 1) -> tuple[int, int]:
     """(item blocks, user chunks). Blocks are as large as the count accumulator
     allows, so each row is replicated to few block pairs; user chunks are sized
-    so a (chunk, block pair) group holds about TARGET_GROUP_ROWS rows."""
+    so a (chunk, block pair) group holds about TARGET_GROUP_ROWS rows, and -
+    when there is enough data - so there are at least ``parallelism`` groups."""
     if item_block is None:
         item_block = min(MAX_ITEM_BLOCK, max(DEFAULT_ITEM_BLOCK, int(math.ceil(n_items / 32.0))))
     nb = _n_blocks(n_items, item_block)
     if user_chunk is None:
+        pairs = nb * (nb + 1) // 2
         rows_per_block_pair = 2.0 * nnz / nb if nb > 1 else float(nnz)
         nc = max(1, int(math.ceil(rows_per_block_pair / TARGET_GROUP_ROWS)))
-        nc = min(nc, max(1, n_users))
+        if pairs * nc < parallelism:
+            nc = max(nc, min(int(math.ceil(parallelism / pairs)),
+                             int(rows_per_block_pair // MIN_ROWS_PER_GROUP)))
+        nc = max(1, min(nc, max(1, n_users)))
     else:
         nc = _n_blocks(n_users, user_chunk)
     return nb, nc
@@ -215,7 +223,8 @@ def cooccurrence_counts(user_items: DataFrame, n_users: int, n_items: int, nnz:
     matrix. Each (user chunk, item block pair) group computes its partial
     counts in memory (``_block_counts``); partials of the chunks are summed by
     a combining aggregate."""
-    nb, nc = cooc_layout(n_users, n_items, nnz if nnz is not None else n_users * 8, item_block, user_chunk)
+    nb, nc = cooc_layout(n_users, n_items, nnz if nnz is not None else n_users * 8, item_block, user_chunk,
+                         user_items.sparkSession.sparkContext.defaultParallelism)
     ui = (user_items.select("userId", "productId")
           .withColumn("blk", F.pmod(F.xxhash64("productId"), F.lit(nb)).cast("int"))
           .withColumn("chunk", F.pmod(F.xxhash64("userId"), F.lit(nc)).cast("int")))

@@ -144,6 +144,10 @@ def test_cooc_layout():
     nb, nc = similarity.cooc_layout(10**8, 10**6, 10**10)
     assert nb <= 245 and 10**6 / nb <= similarity.MAX_ITEM_BLOCK
     assert 2.0 * 10**10 / nb / nc <= similarity.TARGET_GROUP_ROWS
+    # mid-size input on a wide cluster: enough groups for the cores, none tiny
+    nb, nc = similarity.cooc_layout(10**6, 1000, 10**7, parallelism=64)
+    assert nb == 1 and nc == 40
+    assert similarity.cooc_layout(150, 100, 7000, parallelism=64) == (1, 1)
 
 
 @pytest.mark.parametrize("slice_cols", [1, 3, 1000])
