@@ -150,7 +150,9 @@ def process_ratings_batch(rows: DataFrame, batch_id: int, paths: OnlinePaths,
     spark = rows.sparkSession
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if rows.isEmpty():
+        # one full pass materialises every state partition once (a partial
+        # action such as isEmpty would run the stateful stage twice)
+        if rows.count() == 0:
             return
         edges = spark.read.parquet(paths.edges).select("productId", "simProductId", "score").persist()
         edges_b, _ = checked_broadcast(edges, edges_max_rows)
