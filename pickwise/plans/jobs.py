@@ -106,6 +106,11 @@ def online_job(spark: SparkSession, root: str, source_dir: str | None = None, to
     """OnlineRecommender: start the stream; returns the (main, rejects) queries."""
     from pickwise.session import checkpoint_root
     from pickwise.streaming.pipeline import OnlinePaths, rating_stream_query
+    # per-user state (queue + rated set) lives in RocksDB, off the JVM heap,
+    # unless the cluster chose a provider already (it must not change across restarts)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if not spark.conf.get(key, None):
+        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     fmt = "kafka" if topic else "text"
     lines = io.rating_stream_source(spark, fmt, source_dir, topic, bootstrap_servers)
     paths = OnlinePaths(edges=path(root, "itemcf") + "_edges", lists=path(root, "itemcf"),
