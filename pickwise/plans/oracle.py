@@ -67,7 +67,8 @@ pairs AS (SELECT c.userId, c.productId, r.recentProductId, r.recentScore FROM ca
 hit AS (SELECT p.*, e.score AS sim FROM pairs p
         JOIN edges e ON e.productId = p.productId AND e.simProductId = p.recentProductId WHERE e.score > 0.4),
 scored AS (SELECT userId, productId, avg(sim * recentScore) AS baseScore,
-                  count_if(recentScore > 3) AS nHigh, count_if(recentScore <= 3) AS nLow
+                  CAST(count_if(recentScore > 3) AS BIGINT) AS nHigh,
+                  CAST(count_if(recentScore <= 3) AS BIGINT) AS nLow
            FROM hit GROUP BY userId, productId),
 prio AS (SELECT *, baseScore + log10(greatest(nHigh, 1)) - log10(greatest(nLow, 1)) AS priority FROM scored)"""
 
