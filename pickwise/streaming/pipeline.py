@@ -25,6 +25,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -86,46 +87,48 @@ def _online_update(key, pdfs, state, k: int = MAX_SIM_PRODUCTS_NUM, recent_k: in
     """One user's new events -> updated (queue, rated set) and the rows the
     scoring step needs: the 20 best unrated neighbours of the newest event,
     the 21 newest queued ratings, and a marker row (an empty list still
-    replaces the old one, Q6). Work is bounded by the user's events in this
-    batch plus one neighbour list."""
+    replaces the old one, Q6). Vectorised over the user's events; only the
+    newest event's neighbour list (two primitive arrays) is looked at."""
+    ev = pd.concat(list(pdfs), ignore_index=True)
     queue = json.loads(state.get[0]) if state.exists else []
     rated = set(json.loads(state.get[1])) if state.exists else set()
+    rated.update(int(p) for p in np.unique(ev["productId"].to_numpy()))
     seen = {e[3] for e in queue}
-    cur, cur_nbrs = None, None
-    for pdf in pdfs:
-        for pid, score, ts, seq, nbrs in zip(pdf["productId"], pdf["score"], pdf["timestamp"],
-                                             pdf["seq"], pdf["nbrs"]):
-            entry = [int(pid), float(score), int(ts), int(seq)]
-            rated.add(entry[0])
-            if entry[3] not in seen:
-                seen.add(entry[3])
-                queue.append(entry)
-            if cur is None or (entry[2], entry[3]) > (cur[2], cur[3]):
-                cur, cur_nbrs = entry, nbrs
+    fresh = ev[~ev["seq"].isin(seen)].drop_duplicates("seq")
+    queue.extend([int(p), float(s), int(t), int(n)] for p, s, t, n in
+                 zip(fresh["productId"], fresh["score"], fresh["timestamp"], fresh["seq"]))
     queue.sort(key=lambda e: (e[2], e[3]), reverse=True)
     queue = queue[:cap]
     state.update((json.dumps(queue), json.dumps(sorted(rated))))
-    uid = int(key[0])
+    newest = int(np.lexsort((ev["seq"].to_numpy(), ev["timestamp"].to_numpy()))[-1])
+    ids, sims = ev["nbr_ids"].iat[newest], ev["nbr_sims"].iat[newest]
     cands = []
-    if cur_nbrs is not None:
-        cands = [(int(n["productId"]), float(n["score"])) for n in cur_nbrs if int(n["productId"]) not in rated]
-        cands.sort(key=lambda c: (-c[1], c[0]))
-        cands = cands[:k]
+    if ids is not None and len(ids):
+        ids = np.asarray(ids, dtype=np.int64)
+        sims = np.asarray(sims, dtype=np.float64)
+        keep = ~np.isin(ids, np.fromiter(rated, dtype=np.int64, count=len(rated)))
+        ids, sims = ids[keep], sims[keep]
+        order = np.lexsort((ids, -sims))[:k]
+        cands = list(zip(ids[order].tolist(), sims[order].tolist()))
+    uid = int(key[0])
     recents = queue[:recent_k]
     rows = ([(uid, "user", None, None, None)]
             + [(uid, "cand", q, s, i + 1) for i, (q, s) in enumerate(cands)]
             + [(uid, "recent", e[0], e[1], i + 1) for i, e in enumerate(recents)])
     yield pd.DataFrame(rows, columns=["userId", "kind", "productId", "score", "rank"]).astype(
-        {"userId": "int32", "productId": "Int32", "rank": "Int32"})
+        {"userId": "int32", "productId": "Int32", "score": "float64", "rank": "Int32"})
 
 
 def online_candidates(events: DataFrame, lists: DataFrame) -> DataFrame:
     """Streaming (userId, kind, productId, score, rank) rows per trigger for the
     users with new events. ``lists`` is the static nested neighbour table; the
-    stream-static join is one row per event (a product's list travels with it)."""
+    stream-static join is one row per event, the list carried as two
+    primitive arrays (cheap Arrow -> NumPy)."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
-    nb = lists.select("productId", F.col("recs").alias("nbrs"))
+    nb = lists.select("productId",
+                      F.transform("recs", lambda r: r["productId"]).alias("nbr_ids"),
+                      F.transform("recs", lambda r: r["score"]).alias("nbr_sims"))
     joined = events.select(*HISTORY_COLS).join(nb, "productId", "left")
     return (joined.groupBy("userId")
             .applyInPandasWithState(_online_update, ONLINE_OUT, ONLINE_STATE, "update",
