@@ -86,37 +86,45 @@ def _online_update(key, pdfs, state, k: int = MAX_SIM_PRODUCTS_NUM, recent_k: in
                    cap: int = RATING_QUEUE_SIZE):
     """One user's new events -> updated (queue, rated set) and the rows the
     scoring step needs: the 20 best unrated neighbours of the newest event,
-    the 21 newest queued ratings, and a marker row (an empty list still
-    replaces the old one, Q6). Vectorised over the user's events; only the
-    newest event's neighbour list (two primitive arrays) is looked at."""
-    ev = pd.concat(list(pdfs), ignore_index=True)
-    queue = json.loads(state.get[0]) if state.exists else []
-    rated = set(json.loads(state.get[1])) if state.exists else set()
-    rated.update(int(p) for p in np.unique(ev["productId"].to_numpy()))
+    the 21 newest queued ratings, and a marker row (productId -1: an empty
+    list still replaces the old one, Q6). NumPy over the user's events; only
+    the newest event's neighbour list (two primitive arrays) is looked at."""
+    parts = list(pdfs)
+    ev = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    pid, sc = ev["productId"].to_numpy(), ev["score"].to_numpy()
+    ts, sq = ev["timestamp"].to_numpy(), ev["seq"].to_numpy()
+    if state.exists:
+        queue, rated = json.loads(state.get[0]), set(json.loads(state.get[1]))
+    else:
+        queue, rated = [], set()
+    rated.update(np.unique(pid).tolist())
     seen = {e[3] for e in queue}
-    fresh = ev[~ev["seq"].isin(seen)].drop_duplicates("seq")
-    queue.extend([int(p), float(s), int(t), int(n)] for p, s, t, n in
-                 zip(fresh["productId"], fresh["score"], fresh["timestamp"], fresh["seq"]))
+    for i in range(len(sq)):
+        n = int(sq[i])
+        if n not in seen:
+            seen.add(n)
+            queue.append([int(pid[i]), float(sc[i]), int(ts[i]), n])
     queue.sort(key=lambda e: (e[2], e[3]), reverse=True)
-    queue = queue[:cap]
+    del queue[cap:]
     state.update((json.dumps(queue), json.dumps(sorted(rated))))
-    newest = int(np.lexsort((ev["seq"].to_numpy(), ev["timestamp"].to_numpy()))[-1])
+    newest = int(np.lexsort((sq, ts))[-1])
     ids, sims = ev["nbr_ids"].iat[newest], ev["nbr_sims"].iat[newest]
-    cands = []
+    c_ids, c_sims = np.empty(0, np.int64), np.empty(0, np.float64)
     if ids is not None and len(ids):
-        ids = np.asarray(ids, dtype=np.int64)
-        sims = np.asarray(sims, dtype=np.float64)
+        ids, sims = np.asarray(ids, dtype=np.int64), np.asarray(sims, dtype=np.float64)
         keep = ~np.isin(ids, np.fromiter(rated, dtype=np.int64, count=len(rated)))
         ids, sims = ids[keep], sims[keep]
         order = np.lexsort((ids, -sims))[:k]
-        cands = list(zip(ids[order].tolist(), sims[order].tolist()))
-    uid = int(key[0])
-    recents = queue[:recent_k]
-    rows = ([(uid, "user", None, None, None)]
-            + [(uid, "cand", q, s, i + 1) for i, (q, s) in enumerate(cands)]
-            + [(uid, "recent", e[0], e[1], i + 1) for i, e in enumerate(recents)])
-    yield pd.DataFrame(rows, columns=["userId", "kind", "productId", "score", "rank"]).astype(
-        {"userId": "int32", "productId": "Int32", "score": "float64", "rank": "Int32"})
+        c_ids, c_sims = ids[order], sims[order]
+    rec = queue[:recent_k]
+    nc, nr = len(c_ids), len(rec)
+    yield pd.DataFrame({
+        "userId": np.full(1 + nc + nr, int(key[0]), dtype=np.int32),
+        "kind": ["user"] + ["cand"] * nc + ["recent"] * nr,
+        "productId": np.concatenate([[-1], c_ids, [e[0] for e in rec]]).astype(np.int32),
+        "score": np.concatenate([[0.0], c_sims, [e[1] for e in rec]]).astype(np.float64),
+        "rank": np.concatenate([[0], np.arange(1, nc + 1), np.arange(1, nr + 1)]).astype(np.int32),
+    })
 
 
 def online_candidates(events: DataFrame, lists: DataFrame) -> DataFrame:
