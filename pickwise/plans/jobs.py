@@ -1,12 +1,12 @@
-"""The pipeline's programs as Spark jobs (the reference's five main programs).
+"""The pipeline's programs as Spark jobs.
 
-    load       products + ratings files -> Product / Rating tables
-    stats      Rating -> RateMoreProducts, RateMoreRecentlyProducts, AverageProducts
-    offline    Rating -> UserRecs (ALS top 20), ProductRecs (factor cosine > 0.4)
-    itemcf     Rating -> ItemCFProductRecs (co-occurrence cosine > 0.4)
-    content    Product text -> ContentBasedProductRecs (TF-IDF cosine > 0.4)
-    tune       Rating -> ALS grid (rank, lambda, rmse) + best
-    online     rating-line stream -> StreamRecs (foreachBatch re-ranking)
+    load       products + ratings files -> products / ratings tables
+    stats      ratings -> rate_more_products, rate_more_recently_products, average_products
+    offline    ratings -> user_recs (ALS top 20), product_recs (factor cosine > 0.4)
+    itemcf     ratings -> item_cf_recs (co-occurrence cosine > 0.4)
+    content    product text -> content_based_recs (TF-IDF cosine > 0.4)
+    tune       ratings -> als_grid (rank, lambda, rmse) + best
+    online     rating-line stream -> stream_recs (keyed state + foreachBatch re-ranking)
 
 Tables are Parquet directories under one root; the ratings are read once per
 job and cached across its outputs. Usage:
@@ -27,11 +27,11 @@ from pickwise.operators import ranking, similarity, stats
 from pickwise.sources import io
 
 TABLES = {
-    "products": "Product", "ratings": "Rating",
-    "rate_more": "RateMoreProducts", "rate_more_recently": "RateMoreRecentlyProducts",
-    "average": "AverageProducts", "user_recs": "UserRecs", "product_recs": "ProductRecs",
-    "itemcf": "ItemCFProductRecs", "content": "ContentBasedProductRecs", "stream_recs": "StreamRecs",
-    "als_grid": "ALSGrid",
+    "products": "products", "ratings": "ratings",
+    "rate_more": "rate_more_products", "rate_more_recently": "rate_more_recently_products",
+    "average": "average_products", "user_recs": "user_recs", "product_recs": "product_recs",
+    "itemcf": "item_cf_recs", "content": "content_based_recs", "stream_recs": "stream_recs",
+    "als_grid": "als_grid",
 }
 
 
@@ -40,7 +40,7 @@ def path(root: str, table: str) -> str:
 
 
 def load_job(spark: SparkSession, products_file: str, ratings_file: str, root: str) -> None:
-    """DataLoader: parse the two delimited files and store both tables."""
+    """Parse the two delimited input files and store both tables."""
     io.write_overwrite(io.load_products(spark, products_file), path(root, "products"))
     io.write_overwrite(io.load_ratings(spark, ratings_file), path(root, "ratings"))
 
@@ -51,7 +51,7 @@ def _ratings(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stats_job(spark: SparkSession, root: str) -> None:
-    """StatisticsRecommender: three aggregates over one cached scan. The
+    """Statistics: three aggregates over one cached scan. The
     per-month table is partitioned by yearmonth, so the "hot" read prunes to
     the newest months."""
     r = _ratings(spark, root)
@@ -63,7 +63,7 @@ def stats_job(spark: SparkSession, root: str) -> None:
 
 
 def offline_job(spark: SparkSession, root: str) -> None:
-    """OfflineRecommender: ALS -> per-user top 20 (> 0) and item-factor cosine lists."""
+    """Offline model: ALS -> per-user top 20 (> 0) and item-factor cosine lists."""
     r = _ratings(spark, root)
     model = als_ops.als_train(r)
     io.write_overwrite(als_ops.user_recs(model), path(root, "user_recs"))
@@ -92,7 +92,7 @@ def content_job(spark: SparkSession, root: str, text_col: str = "tags") -> None:
 
 
 def tune_job(spark: SparkSession, root: str) -> DataFrame:
-    """ALSTrainer: the 12-point grid, written; returns the best row."""
+    """Model tuning: the 12-point grid, written; returns the best row."""
     r = _ratings(spark, root)
     train, test = als_ops.train_test_split(r)
     grid = als_ops.als_grid_search(spark, train, test)
@@ -103,7 +103,7 @@ def tune_job(spark: SparkSession, root: str) -> DataFrame:
 
 def online_job(spark: SparkSession, root: str, source_dir: str | None = None, topic: str | None = None,
                bootstrap_servers: str | None = None, checkpoint: str | None = None, trigger: dict | None = None):
-    """OnlineRecommender: start the stream; returns the (main, rejects) queries."""
+    """Online re-ranking: start the stream; returns the (main, rejects) queries."""
     from pickwise.session import checkpoint_root
     from pickwise.streaming.pipeline import OnlinePaths, rating_stream_query
     # per-user state (queue + rated set) lives in RocksDB, off the JVM heap,
