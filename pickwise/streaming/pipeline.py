@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pickwise.functions import strip_rating_prefix
 from pickwise.operators.joins import checked_broadcast
 from pickwise.operators.priority import stream_recs_table
 from pickwise.schemas import MAX_SIM_PRODUCTS_NUM, RATING_QUEUE_SIZE, RECENT_ROWS
@@ -51,9 +52,8 @@ class OnlinePaths:
 def parse_stream_lines(lines: DataFrame) -> DataFrame:
     """Lines -> typed ratings; an optional 5th field is the arrival sequence
     (e.g. a Kafka offset) used as the tie-break after timestamp."""
-    seq = F.expr("try_cast(trim(element_at(split(regexp_replace(value, '^.*PRODUCT_RATING_PREFIX:', ''), "
-                 "'[|]'), 5)) AS BIGINT)")
-    with_seq = lines.select("value").withColumn("_seq", seq)
+    fifth = F.try_element_at(F.split(strip_rating_prefix("value"), r"\|"), F.lit(5))
+    with_seq = lines.select("value").withColumn("_seq", F.trim(fifth).try_cast("bigint"))
     parsed = parse_rating_events(with_seq)
     return parsed.select("userId", "productId", "score", "timestamp",
                          F.coalesce(F.col("_seq"), F.lit(0).cast("bigint")).alias("seq"))
