@@ -1,6 +1,8 @@
 """The pipeline's programs as Spark jobs.
 
     load       products + ratings files -> products / ratings tables
+    register   usernames -> users (new names only, Java-hash ids)
+    rate       rate requests -> ratings (append) + rating log lines (the online job's input)
     stats      ratings -> rate_more_products, rate_more_recently_products, average_products
     offline    ratings -> user_recs (ALS top 20), product_recs (factor cosine > 0.4)
     itemcf     ratings -> item_cf_recs (co-occurrence cosine > 0.4)
@@ -31,7 +33,7 @@ TABLES = {
     "rate_more": "rate_more_products", "rate_more_recently": "rate_more_recently_products",
     "average": "average_products", "user_recs": "user_recs", "product_recs": "product_recs",
     "itemcf": "item_cf_recs", "content": "content_based_recs", "stream_recs": "stream_recs",
-    "als_grid": "als_grid",
+    "als_grid": "als_grid", "users": "users", "rating_events": "rating_events",
 }
 
 
@@ -40,14 +42,52 @@ def path(root: str, table: str) -> str:
 
 
 def load_job(spark: SparkSession, products_file: str, ratings_file: str, root: str) -> None:
-    """Parse the two delimited input files and store both tables."""
+    """Parse the two delimited input files and store both tables. Loaded
+    ratings get seq 0; later rate requests carry their arrival sequence."""
     io.write_overwrite(io.load_products(spark, products_file), path(root, "products"))
-    io.write_overwrite(io.load_ratings(spark, ratings_file), path(root, "ratings"))
+    io.write_overwrite(io.load_ratings(spark, ratings_file).withColumn("seq", F.lit(0).cast("bigint")),
+                       path(root, "ratings"))
+
+
+def current_ratings(spark: SparkSession, root: str) -> DataFrame:
+    """The ratings table is an append log; the current rating of a (user,
+    product) is resolved at read time (W5): latest score, first timestamp."""
+    log = io.read_table(spark, path(root, "ratings")).select("userId", "productId", "score", "timestamp", "seq")
+    return ranking.latest_rating_upsert(log)
 
 
 def _ratings(spark: SparkSession, root: str) -> DataFrame:
-    r = io.read_table(spark, path(root, "ratings")).select("userId", "productId", "score", "timestamp")
-    return r.persist(StorageLevel.MEMORY_AND_DISK)
+    return current_ratings(spark, root).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def register_job(spark: SparkSession, root: str, usernames: DataFrame, now_epoch: int) -> int:
+    """Append the usernames not yet registered; returns how many were new."""
+    from pickwise.plans.serving import register_users
+    users_path = path(root, "users")
+    try:
+        existing = io.read_table(spark, users_path).select("username")
+    except Exception:  # noqa: BLE001 - first registration creates the table
+        existing = spark.createDataFrame([], "username string")
+    new = register_users(usernames, existing, now_epoch).persist()
+    n = new.count()
+    if n:
+        io.rating_append(new, users_path)
+    new.unpersist()
+    return n
+
+
+def rate_job(spark: SparkSession, root: str, requests: DataFrame) -> None:
+    """Rate requests (username, productId, rawScore 1..10, timestamp, seq):
+    unknown usernames are skipped; scores are halved (HALF_UP, 2 digits); the
+    ratings are appended to the log and their log lines appended to the
+    rating-event directory the online job reads."""
+    from pickwise.plans.serving import rate_products
+    users = io.read_table(spark, path(root, "users")).select("userId", "username")
+    rated = rate_products(requests, users).persist(StorageLevel.MEMORY_AND_DISK)
+    io.rating_append(rated.select("userId", "productId", "score", "timestamp", "seq"), path(root, "ratings"))
+    rated.select(F.concat_ws("|", "value", F.col("seq").cast("string")).alias("value")) \
+        .write.mode("append").text(path(root, "rating_events"))
+    rated.unpersist()
 
 
 def stats_job(spark: SparkSession, root: str) -> None:
@@ -122,6 +162,7 @@ def online_job(spark: SparkSession, root: str, source_dir: str | None = None, to
 def main(argv=None):
     ap = argparse.ArgumentParser(prog="pickwise.plans.jobs")
     ap.add_argument("job", choices=["load", "stats", "offline", "itemcf", "content", "tune", "online"])
+    # register / rate take DataFrames of requests; call register_job / rate_job from a driver program
     ap.add_argument("--root", required=True)
     ap.add_argument("--products")
     ap.add_argument("--ratings")

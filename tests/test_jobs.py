@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from pickwise.operators import similarity, stats
+from pickwise.operators import ranking, similarity, stats
 from pickwise.plans import jobs
 from pickwise.sources import fixtures as fx
 
@@ -29,7 +29,9 @@ def test_load_stats_itemcf_offline_content(spark, tmpdir_path):
 
     jobs.stats_job(spark, root)
     got = {r["productId"]: r["count"] for r in spark.read.parquet(jobs.path(root, "rate_more")).collect()}
-    want = {r["productId"]: r["count"] for r in stats.rate_more_products(r2).collect()}
+    # statistics count current ratings: one per (user, product) after the upsert
+    current = ranking.latest_rating_upsert(r2)
+    want = {r["productId"]: r["count"] for r in stats.rate_more_products(current).collect()}
     assert got == want
     months = spark.read.parquet(jobs.path(root, "rate_more_recently"))
     assert "yearmonth" in months.columns and months.count() > 0
@@ -51,15 +53,19 @@ def test_load_stats_itemcf_offline_content(spark, tmpdir_path):
     cb = spark.read.parquet(jobs.path(root, "content")).collect()
     assert all(e["productId"] != r["productId"] for r in cb for e in r["recs"])
 
-    # online: replay the ratings as log lines through the stream
-    lines = f"{tmpdir_path}/lines"
-    (r2.select(F.concat(F.lit("PRODUCT_RATING_PREFIX:"),
-                        F.concat_ws("|", F.col("userId").cast("string"), F.col("productId").cast("string"),
-                                    F.col("score").cast("string"), F.col("timestamp").cast("string"),
-                                    F.col("seq").cast("string"))).alias("value"))
-     .coalesce(1).write.text(lines))
-    main_q, rej_q = jobs.online_job(spark, root, source_dir=lines, checkpoint=f"{tmpdir_path}/ockpt",
-                                    trigger={"availableNow": True})
+    # write side: register the customers, rate with the event stream's requests,
+    # then the online job consumes the rating-event lines the rate job emitted
+    users = fx.users(spark, SF_SMALL)
+    assert jobs.register_job(spark, root, users.select("username"), 1700000000) == users.count()
+    assert jobs.register_job(spark, root, users.select("username"), 1700000001) == 0
+    raw = fx.rating_events_raw(spark, SF_SMALL)
+    requests = raw.join(users, "userId").select("username", "productId", "rawScore", "timestamp", "seq")
+    jobs.rate_job(spark, root, requests)
+    current = jobs.current_ratings(spark, root)
+    n_pairs = r2.select("userId", "productId").distinct().count()
+    assert current.count() == 2 * n_pairs          # loaded ids + the hash ids of the registered names
+    main_q, rej_q = jobs.online_job(spark, root, source_dir=jobs.path(root, "rating_events"),
+                                    checkpoint=f"{tmpdir_path}/ockpt", trigger={"availableNow": True})
     main_q.awaitTermination(300)
     rej_q.awaitTermination(300)
     assert main_q.exception() is None
