@@ -39,14 +39,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster must name a shared folder there; only when the setting is unset
-    (local tests) do we fall back to a fresh scratch directory."""
+    A cluster must name a shared folder there (an error otherwise); only a
+    local master with the setting unset (tests) falls back to a fresh
+    scratch directory."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
+                             "(checkpoints and stream state must survive an executor loss)")
         root = tempfile.mkdtemp(prefix="pickwise-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
