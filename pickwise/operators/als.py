@@ -83,17 +83,26 @@ def model_rmse(model, test: DataFrame) -> float:
 
 def als_grid_search(spark: SparkSession, train: DataFrame, test: DataFrame,
                     ranks=GRID_RANKS, regs=GRID_REGS, max_iter: int = ALS_MAX_ITER,
-                    seed: int = SEED, blocks: int | None = None) -> DataFrame:
-    """M6: rank x lambda grid, each fit distributed; returns (rank, lambda, rmse).
-    Only the 12 scalar results come back to the driver."""
+                    seed: int = SEED, blocks: int | None = None, parallelism: int = 4) -> DataFrame:
+    """M6: rank x lambda grid; returns (rank, lambda, rmse). Each fit is a
+    distributed job; up to ``parallelism`` fits run at once from driver
+    threads (as TrainValidationSplit does), so small fits share the cluster.
+    Only the 12 scalar results come back to the driver; fits are seeded, so
+    the result does not depend on the concurrency."""
+    from concurrent.futures import ThreadPoolExecutor
+
     train = train.select("userId", "productId", "score").persist()
     test = test.select("userId", "productId", "score").persist()
     blocks = blocks or auto_blocks(train)
-    rows = []
-    for r in ranks:
-        for lam in regs:
-            model = als_train(train, r, max_iter, lam, seed, blocks)
-            rows.append((int(r), float(lam), float(model_rmse(model, test))))
+    grid = [(int(r), float(lam)) for r in ranks for lam in regs]
+
+    def fit(point):
+        r, lam = point
+        model = als_train(train, r, max_iter, lam, seed, blocks)
+        return (r, lam, float(model_rmse(model, test)))
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(grid)))) as pool:
+        rows = list(pool.map(fit, grid))
     train.unpersist()
     test.unpersist()
     return spark.createDataFrame(rows, "rank int, lambda double, rmse double")

@@ -50,3 +50,12 @@ def test_grid_search_shape(spark):
     assert len(rows) == 4 and all(r["rmse"] > 0 for r in rows)
     best = als.best_params(grid).first()
     assert best["rmse"] == min(r["rmse"] for r in rows)
+
+
+def test_grid_search_concurrency_does_not_change_results(spark):
+    r2 = fx.ratings_r2(spark, SF_SMALL)
+    tr, te = als.train_test_split(r2)
+    kw = dict(ranks=(5, 10), regs=(0.1, 0.01), max_iter=3, blocks=2)
+    seq = sorted(tuple(r) for r in als.als_grid_search(spark, tr, te, parallelism=1, **kw).collect())
+    par = sorted(tuple(r) for r in als.als_grid_search(spark, tr, te, parallelism=4, **kw).collect())
+    assert seq == par
