@@ -58,4 +58,6 @@ def test_grid_search_concurrency_does_not_change_results(spark):
     kw = dict(ranks=(5, 10), regs=(0.1, 0.01), max_iter=3, blocks=2)
     seq = sorted(tuple(r) for r in als.als_grid_search(spark, tr, te, parallelism=1, **kw).collect())
     par = sorted(tuple(r) for r in als.als_grid_search(spark, tr, te, parallelism=4, **kw).collect())
-    assert seq == par
+    # same grid points and RMSEs; the last bits of a distributed average depend on merge order
+    assert [(r, lam) for r, lam, _ in seq] == [(r, lam) for r, lam, _ in par]
+    assert all(abs(a[2] - b[2]) < 1e-9 for a, b in zip(seq, par))
