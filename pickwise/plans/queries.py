@@ -418,6 +418,15 @@ def q_user_recs(spark, sf_dir):
     return ranking.explode_recs(als_ops.user_recs(model), key="userId")
 
 
+def q_als_product_recs(spark, sf_dir):
+    """Item-item lists from the ALS item factors: blocked cosine > 0.4, ranked."""
+    _, model = _als_model(spark, sf_dir)
+    factors = als_ops.item_factors(model).persist()
+    edges = similarity.cosine_all_pairs(factors, n_items=factors.count())
+    ranked = ranking.top_k_per_key(edges, "productId", None, item="simProductId")
+    return ranked.select("productId", "simProductId", _r6("score"), "rank")
+
+
 def q_offline_products(spark, sf_dir):
     r2, model = _als_model(spark, sf_dir)
     u = fx.users(spark, sf_dir)
@@ -506,6 +515,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "item_factors": q_item_factors,
     "als_predict_pairs": q_als_predict_pairs,
     "user_recs": q_user_recs,
+    "als_product_recs": q_als_product_recs,
     "offline_products": q_offline_products,
     "train_test_split": q_train_test_split,
     "als_grid_search": q_als_grid_search,

@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-MODEL_KEYS = {"als_train", "item_factors", "als_predict_pairs", "user_recs", "offline_products",
+MODEL_KEYS = {"als_train", "item_factors", "als_predict_pairs", "user_recs", "offline_products", "als_product_recs",
               "als_grid_search", "best_params"}
 
 
