@@ -63,12 +63,56 @@ def _write_batch(df: DataFrame, root: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch_id={batch_id}")
 
 
+def _snapshots(spark: SparkSession, root: str) -> list[int]:
+    """Batch ids covered by the compacted snapshots under ``<root>_snapshots``."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}_snapshots")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    out = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if name.startswith("upto=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name.split("=", 1)[1]))
+    return sorted(out)
+
+
 def read_stream_recs(spark: SparkSession, root: str) -> DataFrame:
-    """T5 reader: the newest list per user (latest batch wins)."""
+    """T5 reader: the newest list per user (latest batch wins). When a
+    compacted snapshot exists, only the batches after it are read: the
+    ``batch_id > upto`` filter prunes the older partition directories."""
     raw = spark.read.parquet(root)
+    snaps = _snapshots(spark, root)
+    if snaps:
+        upto = snaps[-1]
+        snap = (spark.read.parquet(f"{root.rstrip('/')}_snapshots/upto={upto}")
+                .withColumn("batch_id", F.lit(upto).cast("long")))
+        raw = snap.unionByName(raw.filter(F.col("batch_id") > upto).select("userId", "recs", "batch_id"))
     return raw.groupBy("userId").agg(F.max_by("recs", "batch_id").alias("recs"))
 
 
+def compact_stream_recs(spark: SparkSession, root: str) -> int:
+    """Write the resolved lists as ``<root>_snapshots/upto=<last batch>``; later
+    reads skip every batch directory up to it. Safe next to a running stream:
+    it reads finished batch directories and the previous snapshot, and writes
+    a new snapshot path (never one it reads). Returns the batch id covered."""
+    batches = spark.read.parquet(root).select("userId", "recs", "batch_id")
+    upto = batches.agg(F.max("batch_id")).first()[0]
+    snaps = _snapshots(spark, root)
+    if upto is None or (snaps and upto <= snaps[-1]):
+        return snaps[-1] if snaps else -1
+    part = batches.filter(F.col("batch_id") <= upto)
+    if snaps:
+        last = snaps[-1]
+        prev = (spark.read.parquet(f"{root.rstrip('/')}_snapshots/upto={last}")
+                .withColumn("batch_id", F.lit(last).cast("long")))
+        part = prev.unionByName(part.filter(F.col("batch_id") > last))
+    table = part.groupBy("userId").agg(F.max_by("recs", "batch_id").alias("recs"))
+    table.write.mode("overwrite").parquet(f"{root.rstrip('/')}_snapshots/upto={upto}")
+    return int(upto)
+
+
 # --- keyed state: recent queue + rated set per user ------------------------------
 
 ONLINE_OUT = T.StructType([

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from pickwise.operators import priority, ranking, similarity
 from pickwise.sources import fixtures as fx
-from pickwise.streaming.pipeline import (OnlinePaths, rating_stream_query, read_stream_recs,
-                                         recent_queue_state)
+from pickwise.streaming.pipeline import (OnlinePaths, compact_stream_recs, rating_stream_query,
+                                         read_stream_recs, recent_queue_state)
 
 
 def _write_line_files(spark, r2, root, n_files=4):
@@ -75,6 +75,12 @@ def test_stream_equals_batch(spark, tmpdir_path):
     rejects = spark.read.parquet(paths.rejects)
     assert sorted(r["value"] for r in rejects.collect()) == ["1|2|x|3", "garbage line"]
 
+    # compaction: the snapshot plus later batches resolve to the same lists
+    upto = compact_stream_recs(spark, paths.recs)
+    assert upto == max(int(d.split("=")[1]) for d in os.listdir(paths.recs) if d.startswith("batch_id="))
+    assert _recs_rows(read_stream_recs(spark, paths.recs)) == got
+    assert compact_stream_recs(spark, paths.recs) == upto          # nothing new: no rewrite
+
     # restart from the checkpoint: nothing new, nothing changes
     n_batches = len([d for d in os.listdir(paths.recs) if d.startswith("batch_id=")])
     run()
@@ -109,3 +115,23 @@ def test_recent_queue_state(spark, tmpdir_path):
     want_df = r2.withColumn("position", F.row_number().over(w)).filter("position <= 40")
     want = sorted(tuple(r) for r in want_df.select("userId", "position", "productId", "seq").collect())
     assert got == want
+
+
+def test_compaction_then_new_batches(spark, tmpdir_path):
+    root = f"{tmpdir_path}/recs"
+    schema = "userId int, recs array<struct<productId:int,score:double>>"
+
+    def write(bid, rows):
+        spark.createDataFrame(rows, schema).write.parquet(f"{root}/batch_id={bid}")
+
+    write(0, [(1, [(10, 1.0)]), (2, [(20, 2.0)])])
+    write(1, [(1, [(11, 1.5)])])
+    assert compact_stream_recs(spark, root) == 1
+    write(2, [(2, [])])                                  # an empty list replaces the old one
+    got = {r["userId"]: [(e["productId"], e["score"]) for e in r["recs"]]
+           for r in read_stream_recs(spark, root).collect()}
+    assert got == {1: [(11, 1.5)], 2: []}
+    assert compact_stream_recs(spark, root) == 2
+    got2 = {r["userId"]: [(e["productId"], e["score"]) for e in r["recs"]]
+            for r in read_stream_recs(spark, root).collect()}
+    assert got2 == got
