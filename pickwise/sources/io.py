@@ -94,7 +94,3 @@ def extract_rating_log(lines: DataFrame, prefix: str = RATING_PREFIX, col: str =
     """Keep log lines that carry a rating and strip the layout head."""
     return (lines.filter(F.col(col).contains(prefix + ":"))
             .select(strip_rating_prefix(col, prefix).alias("value")))
-
-
-def write_text(lines: DataFrame, path: str) -> None:
-    lines.select("value").write.mode("append").text(path)
