@@ -22,7 +22,6 @@ the query checkpoint (the shared folder on a cluster).
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 import numpy as np
@@ -122,8 +121,13 @@ ONLINE_OUT = T.StructType([
     T.StructField("score", T.DoubleType()),        # sim for 'cand', rating score for 'recent'
     T.StructField("rank", T.IntegerType()),
 ])
-ONLINE_STATE = T.StructType([T.StructField("queue", T.StringType()),
-                             T.StructField("rated", T.StringType())])
+ONLINE_STATE = T.StructType([
+    T.StructField("qProduct", T.ArrayType(T.IntegerType())),   # recent queue, newest first (<= 40)
+    T.StructField("qScore", T.ArrayType(T.DoubleType())),
+    T.StructField("qTimestamp", T.ArrayType(T.LongType())),
+    T.StructField("qSeq", T.ArrayType(T.LongType())),
+    T.StructField("rated", T.ArrayType(T.IntegerType())),     # every product the user rated, sorted
+])
 
 
 def _online_update(key, pdfs, state, k: int = MAX_SIM_PRODUCTS_NUM, recent_k: int = RECENT_ROWS,
@@ -131,42 +135,46 @@ def _online_update(key, pdfs, state, k: int = MAX_SIM_PRODUCTS_NUM, recent_k: in
     """One user's new events -> updated (queue, rated set) and the rows the
     scoring step needs: the 20 best unrated neighbours of the newest event,
     the 21 newest queued ratings, and a marker row (productId -1: an empty
-    list still replaces the old one, Q6). NumPy over the user's events; only
-    the newest event's neighbour list (two primitive arrays) is looked at."""
+    list still replaces the old one, Q6).
+
+    Vectorised with NumPy; only the newest event's neighbour list (two
+    primitive arrays) is looked at. A replayed batch starts again from the
+    state version before it (the state store commits per batch), so events
+    are not de-duplicated here: a repeated rating counts again, as it should."""
     parts = list(pdfs)
     ev = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-    pid, sc = ev["productId"].to_numpy(), ev["score"].to_numpy()
-    ts, sq = ev["timestamp"].to_numpy(), ev["seq"].to_numpy()
+    pid = ev["productId"].to_numpy(np.int64)
+    sc = ev["score"].to_numpy(np.float64)
+    ts = ev["timestamp"].to_numpy(np.int64)
+    sq = ev["seq"].to_numpy(np.int64)
     if state.exists:
-        queue, rated = json.loads(state.get[0]), set(json.loads(state.get[1]))
+        st = state.get
+        q = [np.asarray(st[i] or [], dtype=t) for i, t in enumerate((np.int64, np.float64, np.int64, np.int64))]
+        rated = np.asarray(st[4] or [], dtype=np.int64)
     else:
-        queue, rated = [], set()
-    rated.update(np.unique(pid).tolist())
-    seen = {e[3] for e in queue}
-    for i in range(len(sq)):
-        n = int(sq[i])
-        if n not in seen:
-            seen.add(n)
-            queue.append([int(pid[i]), float(sc[i]), int(ts[i]), n])
-    queue.sort(key=lambda e: (e[2], e[3]), reverse=True)
-    del queue[cap:]
-    state.update((json.dumps(queue), json.dumps(sorted(rated))))
+        q = [np.empty(0, np.int64), np.empty(0, np.float64), np.empty(0, np.int64), np.empty(0, np.int64)]
+        rated = np.empty(0, np.int64)
+    qp, qs, qt, qn = (np.concatenate([q[0], pid]), np.concatenate([q[1], sc]),
+                      np.concatenate([q[2], ts]), np.concatenate([q[3], sq]))
+    order = np.lexsort((qn, qt))[::-1][:cap]                  # newest first by (timestamp, seq)
+    qp, qs, qt, qn = qp[order], qs[order], qt[order], qn[order]
+    rated = np.union1d(rated, pid)
+    state.update((qp.tolist(), qs.tolist(), qt.tolist(), qn.tolist(), rated.tolist()))
     newest = int(np.lexsort((sq, ts))[-1])
     ids, sims = ev["nbr_ids"].iat[newest], ev["nbr_sims"].iat[newest]
     c_ids, c_sims = np.empty(0, np.int64), np.empty(0, np.float64)
     if ids is not None and len(ids):
         ids, sims = np.asarray(ids, dtype=np.int64), np.asarray(sims, dtype=np.float64)
-        keep = ~np.isin(ids, np.fromiter(rated, dtype=np.int64, count=len(rated)))
+        keep = ~np.isin(ids, rated)
         ids, sims = ids[keep], sims[keep]
-        order = np.lexsort((ids, -sims))[:k]
-        c_ids, c_sims = ids[order], sims[order]
-    rec = queue[:recent_k]
-    nc, nr = len(c_ids), len(rec)
+        top = np.lexsort((ids, -sims))[:k]
+        c_ids, c_sims = ids[top], sims[top]
+    nc, nr = len(c_ids), min(recent_k, len(qp))
     yield pd.DataFrame({
         "userId": np.full(1 + nc + nr, int(key[0]), dtype=np.int32),
         "kind": ["user"] + ["cand"] * nc + ["recent"] * nr,
-        "productId": np.concatenate([[-1], c_ids, [e[0] for e in rec]]).astype(np.int32),
-        "score": np.concatenate([[0.0], c_sims, [e[1] for e in rec]]).astype(np.float64),
+        "productId": np.concatenate([[-1], c_ids, qp[:nr]]).astype(np.int32),
+        "score": np.concatenate([[0.0], c_sims, qs[:nr]]).astype(np.float64),
         "rank": np.concatenate([[0], np.arange(1, nc + 1), np.arange(1, nr + 1)]).astype(np.int32),
     })
 
@@ -250,28 +258,32 @@ QUEUE_OUT = T.StructType([
     T.StructField("timestamp", T.LongType()),
     T.StructField("seq", T.LongType()),
 ])
-QUEUE_STATE = T.StructType([T.StructField("queue", T.StringType())])
+QUEUE_STATE = T.StructType([
+    T.StructField("qProduct", T.ArrayType(T.IntegerType())),
+    T.StructField("qScore", T.ArrayType(T.DoubleType())),
+    T.StructField("qTimestamp", T.ArrayType(T.LongType())),
+    T.StructField("qSeq", T.ArrayType(T.LongType())),
+])
 
 
 def _queue_update(key, pdfs, state, cap: int = RATING_QUEUE_SIZE):
     """Merge the new ratings of one user into the state queue: newest first,
     at most ``cap`` entries; the oldest fall off. Rows are ordered by
     (timestamp, seq), not arrival, so a stale event lands in its place."""
-    q = json.loads(state.get[0]) if state.exists else []
-    for pdf in pdfs:
-        q.extend([int(p), float(s), int(t), int(n)] for p, s, t, n in
-                 zip(pdf["productId"], pdf["score"], pdf["timestamp"], pdf["seq"]))
-    q.sort(key=lambda e: (e[2], e[3]), reverse=True)
-    q = q[:cap]
-    state.update((json.dumps(q),))
-    uid = int(key[0])
+    parts = list(pdfs)
+    ev = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    dtypes = (np.int64, np.float64, np.int64, np.int64)
+    old = ([np.asarray(state.get[i] or [], dtype=t) for i, t in enumerate(dtypes)] if state.exists
+           else [np.empty(0, t) for t in dtypes])
+    cols = ("productId", "score", "timestamp", "seq")
+    qp, qs, qt, qn = (np.concatenate([o, ev[c].to_numpy(t)]) for o, c, t in zip(old, cols, dtypes))
+    order = np.lexsort((qn, qt))[::-1][:cap]
+    qp, qs, qt, qn = qp[order], qs[order], qt[order], qn[order]
+    state.update((qp.tolist(), qs.tolist(), qt.tolist(), qn.tolist()))
     yield pd.DataFrame({
-        "userId": [uid] * len(q),
-        "position": list(range(1, len(q) + 1)),
-        "productId": [e[0] for e in q],
-        "score": [e[1] for e in q],
-        "timestamp": [e[2] for e in q],
-        "seq": [e[3] for e in q],
+        "userId": np.full(len(qp), int(key[0]), dtype=np.int32),
+        "position": np.arange(1, len(qp) + 1, dtype=np.int32),
+        "productId": qp.astype(np.int32), "score": qs, "timestamp": qt, "seq": qn,
     })
 
 

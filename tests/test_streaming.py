@@ -135,3 +135,23 @@ def test_compaction_then_new_batches(spark, tmpdir_path):
     got2 = {r["userId"]: [(e["productId"], e["score"]) for e in r["recs"]]
             for r in read_stream_recs(spark, root).collect()}
     assert got2 == got
+
+
+def test_queue_without_sequence_numbers(spark, tmpdir_path):
+    """Sources without an arrival sequence give every event seq 0: repeated
+    and distinct ratings must all stay in the queue (no collapse on seq)."""
+    r2 = fx.ratings_r2(spark, SF_SMALL).select("userId", "productId", "score", "timestamp",
+                                               F.lit(0).cast("bigint").alias("seq"))
+    src = f"{tmpdir_path}/ratings0"
+    r2.write.parquet(src)
+    out = f"{tmpdir_path}/queue0"
+    stream = spark.readStream.schema(r2.schema).parquet(src)
+    q = (recent_queue_state(stream).writeStream.outputMode("update")
+         .foreachBatch(lambda df, bid: df.write.mode("overwrite").parquet(f"{out}/batch_id={bid}"))
+         .option("checkpointLocation", f"{tmpdir_path}/q0ckpt").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = {r["userId"]: r["n"] for r in spark.read.parquet(out).groupBy("userId")
+           .agg(F.count("*").alias("n")).collect()}
+    want = {r["userId"]: min(40, r["n"]) for r in r2.groupBy("userId").agg(F.count("*").alias("n")).collect()}
+    assert got == want
