@@ -60,13 +60,16 @@ def ranked_edges_to_products(edges: DataFrame, keys: DataFrame | None, products:
 
 
 def user_recs_to_products(user_keys: DataFrame, users: DataFrame, user_recs: DataFrame,
-                          products: DataFrame, ratings: DataFrame) -> DataFrame:
+                          products: DataFrame, ratings: DataFrame, k: int | None = None) -> DataFrame:
     """offline_products / stream_products: username -> recs -> product rows.
-    An unknown user or an empty list gives no rows."""
+    An unknown user or an empty list gives no rows; ``k`` optionally keeps
+    the first k of each list (Q15), default the whole list."""
     nested = recs_for_username(user_keys, users, user_recs)
     rows = (nested.select("username", F.posexplode("recs").alias("pos", "r"))
             .select("username", (F.col("pos") + 1).alias("rank"), F.col("r.productId").alias("productId"),
                     F.col("r.score").alias("recScore")))
+    if k is not None:
+        rows = rows.filter(F.col("rank") <= k)
     prods = enrich_product_score(products, mean_scores(ratings))
     return rows.join(prods, "productId")
 

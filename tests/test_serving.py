@@ -56,3 +56,22 @@ def test_register_users_and_rate_products(spark):
                                   "username string, productId int, rawScore double, timestamp bigint")
     got = sorted((x["productId"], x["score"], x["value"]) for x in serving.rate_products(rates, users).collect())
     assert got == [(5, 3.5, "PRODUCT_RATING_PREFIX:7|5|3.5|100"), (6, 2.5, "PRODUCT_RATING_PREFIX:7|6|2.5|102")]
+
+
+def test_unknown_ids_vanish_and_unknown_users_are_empty(spark, products):
+    from pickwise.operators import joins
+    r = spark.createDataFrame([(0, 1, 4.0, JAN)], RATING)
+    recs = spark.createDataFrame([(1, 1), (2, 999), (3, 3)], "rank int, productId int")
+    got = sorted((x["rank"], x["productId"]) for x in joins.recs_to_products(recs, products).collect())
+    assert got == [(1, 1), (3, 3)]                                   # J6: the unknown id vanishes
+    users = spark.createDataFrame([(7, "alice"), (8, "carol")], "userId int, username string")
+    table = spark.createDataFrame([(7, [(1, 0.9), (3, 0.5), (2, 0.1)])],
+                                  "userId int, recs array<struct<productId:int,score:double>>")
+    asked = spark.createDataFrame([("alice",), ("bob",), ("carol",)], "username string")
+    out = serving.user_recs_to_products(asked, users, table, products, r)
+    assert sorted((x["username"], x["rank"], x["productId"]) for x in out.collect()) == [
+        ("alice", 1, 1), ("alice", 2, 3), ("alice", 3, 2)]             # bob unknown, carol empty: no rows
+    top2 = serving.user_recs_to_products(asked, users, table, products, r, k=2)
+    assert sorted(x["productId"] for x in top2.collect()) == [1, 3]
+    nested = {x["username"]: x["recs"] for x in joins.recs_for_username(asked, users, table).collect()}
+    assert nested["carol"] == [] and "bob" not in nested
