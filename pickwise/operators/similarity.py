@@ -6,8 +6,11 @@ and never by emitting every pair inside a user/term group:
 
 * items are hashed into ``nb`` blocks; each row is replicated to the
   ``nb`` block-pair keys ``(min(b, j), max(b, j))`` it takes part in;
-* one ``applyInPandas`` call per block pair multiplies two dense blocks with
-  NumPy/BLAS and emits only the pairs that pass the threshold.
+* one ``applyInPandas`` call per block pair computes that block of the
+  product in NumPy and emits only the pairs that pass the threshold: dense
+  vectors with BLAS in column slices (C1, M8); user x item 0/1 rows with a
+  heavy/light kernel (M9) - dense BLAS slices for users with many items in
+  the two blocks, a bounded expansion of their own pairs for the rest.
 
 A group therefore holds at most two item blocks (times one user chunk for
 item-CF), whatever the skew of users, items or terms: a user holding a third
