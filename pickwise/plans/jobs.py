@@ -156,7 +156,8 @@ def online_job(spark: SparkSession, root: str, source_dir: str | None = None, to
     paths = OnlinePaths(edges=path(root, "itemcf") + "_edges", lists=path(root, "itemcf"),
                         recs=path(root, "stream_recs"), rejects=path(root, "stream_recs") + "_rejects")
     ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/pickwise-online"
-    return rating_stream_query(lines, paths, ckpt, trigger)
+    # the stored ratings (loaded history + rate-job appends) feed every user's rated set
+    return rating_stream_query(lines, paths, ckpt, trigger, history_path=path(root, "ratings"))
 
 
 def main(argv=None):

@@ -142,7 +142,9 @@ def _online_update(key, pdfs, state, k: int = MAX_SIM_PRODUCTS_NUM, recent_k: in
     state version before it (the state store commits per batch), so events
     are not de-duplicated here: a repeated rating counts again, as it should."""
     parts = list(pdfs)
-    ev = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    allev = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    hist_pid = allev.loc[allev["live"] == 0, "productId"].to_numpy(np.int64)
+    ev = allev[allev["live"] == 1]
     pid = ev["productId"].to_numpy(np.int64)
     sc = ev["score"].to_numpy(np.float64)
     ts = ev["timestamp"].to_numpy(np.int64)
@@ -158,8 +160,10 @@ def _online_update(key, pdfs, state, k: int = MAX_SIM_PRODUCTS_NUM, recent_k: in
                       np.concatenate([q[2], ts]), np.concatenate([q[3], sq]))
     order = np.lexsort((qn, qt))[::-1][:cap]                  # newest first by (timestamp, seq)
     qp, qs, qt, qn = qp[order], qs[order], qt[order], qn[order]
-    rated = np.union1d(rated, pid)
+    rated = np.union1d(rated, np.concatenate([pid, hist_pid]))
     state.update((qp.tolist(), qs.tolist(), qt.tolist(), qn.tolist(), rated.tolist()))
+    if len(ev) == 0:            # only history rows for this user in this trigger: nothing to score
+        return
     newest = int(np.lexsort((sq, ts))[-1])
     ids, sims = ev["nbr_ids"].iat[newest], ev["nbr_sims"].iat[newest]
     c_ids, c_sims = np.empty(0, np.int64), np.empty(0, np.float64)
@@ -179,18 +183,30 @@ def _online_update(key, pdfs, state, k: int = MAX_SIM_PRODUCTS_NUM, recent_k: in
     })
 
 
-def online_candidates(events: DataFrame, lists: DataFrame) -> DataFrame:
+def online_candidates(events: DataFrame, lists: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """Streaming (userId, kind, productId, score, rank) rows per trigger for the
     users with new events. ``lists`` is the static nested neighbour table; the
     stream-static join is one row per event, the list carried as two
-    primitive arrays (cheap Arrow -> NumPy)."""
+    primitive arrays (cheap Arrow -> NumPy). ``history`` (a stream over the
+    stored ratings table) feeds each user's rated set, so candidates exclude
+    products rated before the stream started, and those appended later."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     nb = lists.select("productId",
                       F.transform("recs", lambda r: r["productId"]).alias("nbr_ids"),
                       F.transform("recs", lambda r: r["score"]).alias("nbr_sims"))
-    joined = events.select(*HISTORY_COLS).join(nb, "productId", "left")
-    return (joined.groupBy("userId")
+    live = (events.select(*HISTORY_COLS).join(nb, "productId", "left")
+            .withColumn("live", F.lit(1)))
+    rows = live
+    if history is not None:
+        arr_i, arr_d = T.ArrayType(T.IntegerType()), T.ArrayType(T.DoubleType())
+        past = history.select(F.col("userId").cast("int"), F.col("productId").cast("int"),
+                              F.col("score").cast("double"), F.col("timestamp").cast("bigint"),
+                              F.col("seq").cast("bigint"),
+                              F.lit(None).cast(arr_i).alias("nbr_ids"), F.lit(None).cast(arr_d).alias("nbr_sims"),
+                              F.lit(0).alias("live"))
+        rows = live.unionByName(past)
+    return (rows.groupBy("userId")
             .applyInPandasWithState(_online_update, ONLINE_OUT, ONLINE_STATE, "update",
                                     GroupStateTimeout.NoTimeout))
 
@@ -225,16 +241,24 @@ def process_ratings_batch(rows: DataFrame, batch_id: int, paths: OnlinePaths,
         rows.unpersist()
 
 
+RATING_LOG_SCHEMA = "userId int, productId int, score double, timestamp bigint, seq bigint"
+
+
 def rating_stream_query(lines: DataFrame, paths: OnlinePaths, checkpoint: str,
-                        trigger: dict | None = None, query_name: str | None = None):
+                        trigger: dict | None = None, query_name: str | None = None,
+                        history_path: str | None = None):
     """Two queries over the rating lines, both checkpointed:
     the re-ranking query (parse -> keyed state -> foreachBatch scoring) and a
-    rejects query (file sink, exactly once). Default trigger: 2 seconds;
+    rejects query (file sink, exactly once). With ``history_path`` (the stored
+    ratings table) every user's rated set also covers past ratings. Default trigger: 2 seconds;
     tests pass ``{"availableNow": True}``. Returns (main, rejects)."""
     spark = lines.sparkSession
     trig = trigger or {"processingTime": "2 seconds"}
     events = valid_rating_events(parse_stream_lines(lines))
-    rows = online_candidates(events, spark.read.parquet(paths.lists))
+    history = None
+    if history_path:
+        history = spark.readStream.schema(RATING_LOG_SCHEMA).parquet(history_path)
+    rows = online_candidates(events, spark.read.parquet(paths.lists), history)
     main = (rows.writeStream.outputMode("update")
             .foreachBatch(lambda df, bid: process_ratings_batch(df, bid, paths))
             .option("checkpointLocation", f"{checkpoint.rstrip('/')}/main")

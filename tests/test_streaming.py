@@ -155,3 +155,32 @@ def test_queue_without_sequence_numbers(spark, tmpdir_path):
            .agg(F.count("*").alias("n")).collect()}
     want = {r["userId"]: min(40, r["n"]) for r in r2.groupBy("userId").agg(F.count("*").alias("n")).collect()}
     assert got == want
+
+
+def _run_lines(spark, tmp, lines, edges_rows, history_rows=None):
+    paths = OnlinePaths(edges=f"{tmp}/edges", lists=f"{tmp}/lists", recs=f"{tmp}/recs", rejects=f"{tmp}/rej")
+    spark.createDataFrame(edges_rows, "productId int, simProductId int, score double").write.parquet(paths.edges)
+    ranking.collect_recs_per_key(spark.read.parquet(paths.edges)).write.parquet(paths.lists)
+    os.makedirs(f"{tmp}/in", exist_ok=True)
+    with open(f"{tmp}/in/part-0.txt", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    hist = None
+    if history_rows is not None:
+        hist = f"{tmp}/ratings"
+        spark.createDataFrame(history_rows, "userId int, productId int, score double, timestamp bigint, seq bigint") \
+            .write.parquet(hist)
+    q, rq = rating_stream_query(spark.readStream.text(f"{tmp}/in"), paths, f"{tmp}/ckpt",
+                                trigger={"availableNow": True}, history_path=hist)
+    q.awaitTermination(300)
+    rq.awaitTermination(300)
+    assert q.exception() is None
+    return {r["userId"]: [e["productId"] for e in r["recs"]] for r in read_stream_recs(spark, paths.recs).collect()}
+
+
+def test_history_feeds_the_rated_set(spark, tmpdir_path):
+    edges = [(12, 20, 0.9), (12, 21, 0.8), (20, 10, 0.5), (20, 11, 0.6), (21, 12, 0.7)]
+    lines = ["1|10|2.0|1|1", "1|11|1.0|2|2", "1|10|2.0|3|3", "1|12|4.0|4|4"]
+    without = _run_lines(spark, f"{tmpdir_path}/a", lines, edges)
+    assert without == {1: [21, 20]}
+    with_hist = _run_lines(spark, f"{tmpdir_path}/b", lines, edges, history_rows=[(1, 21, 3.0, 0, 0)])
+    assert with_hist == {1: [20]}
