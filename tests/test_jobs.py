@@ -72,3 +72,25 @@ def test_load_stats_itemcf_offline_content(spark, tmpdir_path):
     from pickwise.streaming.pipeline import read_stream_recs
     recs = read_stream_recs(spark, jobs.path(root, "stream_recs"))
     assert recs.count() == r2.select("userId").distinct().count()
+
+    # read side over the stored tables
+    from pickwise.plans import reads
+    jobs.stats_job(spark, root)
+    jobs.offline_job(spark, root)
+    names = users.select("username")
+    hot = reads.hot(spark, root, 5).collect()
+    assert 0 < len(hot) <= 5 and sorted(r["rank"] for r in hot) == sorted(set(r["rank"] for r in hot))
+    assert [r["rank"] for r in reads.most_rated(spark, root, 5).orderBy("rank").collect()] == [1, 2, 3, 4, 5]
+    ids = spark.createDataFrame([(0,), (1,), (10**6,)], "productId int")
+    info = {r["productId"]: r for r in reads.product_info(spark, root, ids).collect()}
+    assert info[10**6]["name"] is None and info[0]["name"] is not None
+    assert reads.item_cf(spark, root, ids).select("queryProductId").distinct().count() == 2
+    assert reads.item_cf(spark, root, ids, k=3).groupBy("queryProductId").count() \
+        .agg(F.max("count")).first()[0] <= 3
+    assert reads.content_based(spark, root, ids).count() >= 0
+    want_search = p.filter(F.col("name").rlike("ring")).count()
+    assert reads.search(spark, root, "ring").count() == want_search
+    off = reads.offline(spark, root, names, k=3)
+    assert off.count() > 0 and off.groupBy("username").count().agg(F.max("count")).first()[0] <= 3
+    assert reads.stream(spark, root, names).select("username").distinct().count() == \
+        r2.select("userId").distinct().count()
