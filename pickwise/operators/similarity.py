@@ -301,7 +301,9 @@ def content_features(docs: DataFrame, n_docs: int | None = None, vocab_bound: in
     """M7 (exact variant): productId, term, tf, idf, weight with
     idf = ln((N + 1) / (df + 1)), MLlib's IDF formula, weight = tf * idf."""
     n = n_docs if n_docs is not None else docs.count()
-    terms = docs.select("productId", F.explode(tokenize("text")).alias("term"))
+    # explode first, then drop empty tokens with a plain (code-generated) filter
+    terms = (docs.select("productId", F.explode(F.split(F.lower(F.col("text")), r"\s+")).alias("term"))
+             .filter(F.col("term") != F.lit("")))
     tf = terms.groupBy("productId", "term").agg(F.count("*").alias("tf"))
     dfreq = tf.groupBy("term").agg(F.count("*").alias("df"))
     idf = dfreq.select("term", F.log((F.lit(n) + 1.0) / (F.col("df") + 1.0)).alias("idf"))
