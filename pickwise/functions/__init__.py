@@ -8,6 +8,7 @@ from pickwise.functions.scalar import (  # noqa: F401
     java_string_hash,
     log10_count,
     normalise_epoch,
+    now_epoch,
     normalise_rating_score,
     rating_line,
     strip_rating_prefix,

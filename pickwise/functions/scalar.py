@@ -29,6 +29,11 @@ def epoch_seconds(ts, ntz: bool = True) -> Column:
     return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
 
 
+def now_epoch() -> Column:
+    """Epoch seconds of the query's start instant (F14); one value per query."""
+    return F.unix_seconds(F.current_timestamp())
+
+
 def normalise_epoch(ts) -> Column:
     """Epoch values >= 1e11 are milliseconds (server writes) -> seconds (Q1)."""
     c = _col(ts).cast("bigint")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.functions import java_string_hash, normalise_rating_score, rating_line
+from pickwise.functions import now_epoch as now_epoch_col
 from pickwise.operators.joins import enrich_product_score, mean_scores, recs_for_username, serve_products
 from pickwise.operators.ranking import top_k_per_key, top_n
 from pickwise.operators.stats import rate_more_products, rate_more_recently_products
@@ -74,12 +75,14 @@ def user_recs_to_products(user_keys: DataFrame, users: DataFrame, user_recs: Dat
     return rows.join(prods, "productId")
 
 
-def register_users(requests: DataFrame, existing: DataFrame, now_epoch: int) -> DataFrame:
+def register_users(requests: DataFrame, existing: DataFrame, now_epoch: int | None = None) -> DataFrame:
     """New usernames only (left anti on username): userId = Java hash of the
-    name, first = true, timestamp = registration time, no preferences yet."""
+    name, first = true, timestamp = registration time (the query's start
+    instant unless given), no preferences yet."""
     new = requests.select("username").distinct().join(existing.select("username"), "username", "left_anti")
+    ts = F.lit(now_epoch).cast("bigint") if now_epoch is not None else now_epoch_col()
     return new.select(java_string_hash("username").alias("userId"), "username",
-                      F.lit(True).alias("first"), F.lit(now_epoch).cast("bigint").alias("timestamp"),
+                      F.lit(True).alias("first"), ts.alias("timestamp"),
                       F.array().cast("array<string>").alias("prefGenres"))
 
 

@@ -75,3 +75,14 @@ def test_epoch_seconds_ignores_session_zone(spark):
             assert [r[0] for r in df.select(epoch_seconds("ts")).collect()] == want, zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_now_epoch_and_default_registration_time(spark):
+    import time
+    from pickwise.functions import now_epoch
+    from pickwise.plans import serving
+    t = spark.range(1).select(now_epoch()).first()[0]
+    assert abs(t - time.time()) < 120
+    users = spark.createDataFrame([], "username string")
+    row = serving.register_users(spark.createDataFrame([("zed",)], "username string"), users).first()
+    assert abs(row["timestamp"] - time.time()) < 120
