@@ -1,8 +1,8 @@
 """Equivalent DuckDB SQL for the deterministic registered queries.
 
 Tables are the driver's pre-registered views. Column names, types and the
-6-digit rounding match ``pickwise.plans.queries``. Model queries (ALS, hashed
-TF-IDF) have no entry: they are checked by row counts and by unit tests.
+6-digit rounding match ``pickwise.plans.queries``. Model queries (ALS) have no
+entry: they are checked by row counts and by unit tests.
 """
 
 from __future__ import annotations
@@ -95,6 +95,51 @@ tf AS (SELECT productId, term, count(*) AS tf FROM toks WHERE term <> '' GROUP B
 dfreq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 ndocs AS (SELECT count(*) AS n FROM documents)"""
 
+# Hashed TF-IDF (M7 hashed, M8). A term's bucket is HashingTF's: 32-bit murmur3
+# (seed 42) over the term's UTF-8 bytes, little-endian 4-byte blocks, tail bytes
+# mixed as one block, then the non-negative remainder mod 200. Arithmetic is on
+# HUGEINT and reduced mod 2^32 after every step.
+# Fixed values of the hash (murmur3 x86_32): c1 = 0xcc9e2d51 = 3432918353,
+# c2 = 0x1b873593 = 461845907, n = 0xe6546b64 = 3864292196,
+# f1 = 0x85ebca6b = 2246822507, f2 = 0xc2b2ae35 = 3266489909, seed 42, 200 buckets.
+HASHED = TOKENS + """,
+terms AS (SELECT DISTINCT term FROM tf),
+tbytes AS (SELECT term, list_transform(range(octet_length(encode(term))),
+             lambda i: CAST(CAST('0x' || substr(hex(encode(term)), 2 * i + 1, 2) AS INTEGER) AS HUGEINT)) AS b
+           FROM terms),
+tblocks AS (SELECT term, len(b) AS nbytes,
+              list_transform(range(len(b) // 4),
+                lambda j: b[4 * j + 1] | (b[4 * j + 2] << 8) | (b[4 * j + 3] << 16) | (b[4 * j + 4] << 24))
+              || [coalesce(list_sum(list_transform(range(len(b) % 4),
+                    lambda i: b[len(b) - len(b) % 4 + i + 1] << (8 * i))), CAST(0 AS HUGEINT))] AS k
+            FROM tbytes),
+tmixk AS (SELECT term, nbytes, list_transform(list_transform(list_transform(k,
+            lambda x: (x * 3432918353) % 4294967296),
+            lambda x: ((x << 15) | (x >> 17)) & 4294967295),
+            lambda x: (x * 461845907) % 4294967296) AS k FROM tblocks),
+tmixh AS (SELECT term, nbytes, xor(list_reduce(k[1:len(k) - 1],
+            lambda h, x: ((((xor(h, x) << 13) | (xor(h, x) >> 19)) & 4294967295) * 5 + 3864292196) % 4294967296,
+            CAST(42 AS HUGEINT)), k[len(k)]) AS h FROM tmixk),
+tfmix1 AS (SELECT term, (xor(xor(h, nbytes), xor(h, nbytes) >> 16) * 2246822507) % 4294967296 AS h FROM tmixh),
+tfmix2 AS (SELECT term, (xor(h, h >> 13) * 3266489909) % 4294967296 AS h FROM tfmix1),
+tbucket AS (SELECT term, CAST(((CASE WHEN xor(h, h >> 16) >= 2147483648 THEN xor(h, h >> 16) - 4294967296
+                                     ELSE xor(h, h >> 16) END) % 200 + 200) % 200 AS INTEGER) AS bucket
+            FROM tfmix2),
+htf AS (SELECT tf.productId, t.bucket, sum(tf.tf) AS htf FROM tf JOIN tbucket t USING (term) GROUP BY 1, 2),
+hdf AS (SELECT bucket, count(*) AS df FROM htf GROUP BY bucket),
+hw AS (SELECT h.productId, h.bucket, h.htf * ln((ndocs.n + 1.0) / (hdf.df + 1.0)) AS w
+       FROM htf h JOIN hdf USING (bucket), ndocs),
+hv AS (SELECT d.productId, list(coalesce(hw.w, 0.0) ORDER BY bk.i) AS f
+       FROM (SELECT DISTINCT productId FROM htf) d CROSS JOIN range(200) bk(i)
+       LEFT JOIN hw ON hw.productId = d.productId AND hw.bucket = bk.i GROUP BY d.productId),
+hvn AS (SELECT productId, f, sqrt(list_dot_product(f, f)) AS nrm FROM hv),
+hcs AS (SELECT a.productId, b.productId AS simProductId,
+               round(list_dot_product(a.f, b.f) / (a.nrm * b.nrm), 10) AS score
+        FROM hvn a JOIN hvn b ON a.productId <> b.productId WHERE a.nrm > 0 AND b.nrm > 0),
+cedges AS (SELECT productId, simProductId, score,
+             CAST(row_number() OVER (PARTITION BY productId ORDER BY score DESC, simProductId) AS INTEGER) AS rank
+           FROM hcs WHERE score > 0.4)"""
+
 COSINE = """v AS (SELECT CAST(vec_id AS INTEGER) AS productId, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
 vn AS (SELECT productId, f, sqrt(list_sum(list_transform(f, lambda x: x * x))) AS nrm FROM v),
 cs AS (SELECT a.productId, b.productId AS simProductId,
@@ -190,6 +235,16 @@ ORACLE: dict[str, str] = {
     "product_recs": _w(COSINE) + """SELECT productId, simProductId, round(score, 6) AS score,
         CAST(row_number() OVER (PARTITION BY productId ORDER BY score DESC, simProductId) AS INTEGER) AS rank FROM vedges""",
     "cosine_similarity": _w(COSINE) + "SELECT productId, simProductId, round(score, 6) AS score FROM vedges",
+    # the 10-digit scores are rounded HALF_UP as decimals, as Spark's round does
+    # (a binary-double round would send ...5000 ties down)
+    "content_based_recs": _w(HASHED) + """SELECT productId, simProductId,
+        CAST(round(CAST(score AS DECIMAL(18, 10)), 6) AS DOUBLE) AS score, rank FROM cedges""",
+    "content_based_products": _w(R1, ENRICHED, HASHED) + """SELECT r.queryProductId, r.rank, r.productId, p.name,
+            CAST(round(CAST(r.recScore AS DECIMAL(18, 10)), 6) AS DOUBLE) AS recScore,
+            round(p.score_raw, 6) AS score
+        FROM (SELECT productId AS queryProductId, simProductId AS productId, score AS recScore, rank
+              FROM cedges) r
+        JOIN enriched p USING (productId)""",
     "content_features": _w(TOKENS) + """SELECT tf.productId, tf.term, tf.tf,
             round(ln((ndocs.n + 1.0) / (dfreq.df + 1.0)), 6) AS idf,
             round(tf.tf * ln((ndocs.n + 1.0) / (dfreq.df + 1.0)), 6) AS weight

@@ -58,3 +58,24 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns[:2] == ["userId", "productId"]
+
+
+def test_oracle_term_hash_equals_hashing_tf(spark):
+    """The oracle's SQL term hash puts every term in HashingTF's bucket: all
+    tail lengths, multi-byte and 4-byte UTF-8 characters."""
+    import pandas as pd
+    from pyspark.ml.feature import HashingTF
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    from pickwise.plans.oracle import HASHED
+    terms = ["a", "ab", "abc", "abcd", "abcde", "abcdef", "abcdefg", "abcdefgh", "abcdefghi",
+             "héllo", "naïve", "日本語", "straße", "emoji😀x", "1998-01-02", "x|y^z"]
+    con = duckdb.connect()
+    con.register("docs_pdf", pd.DataFrame({"doc_id": range(len(terms)), "text": terms}))
+    con.execute("CREATE VIEW documents AS SELECT * FROM docs_pdf")
+    got = dict(con.sql("WITH " + HASHED + " SELECT term, bucket FROM tbucket").fetchall())
+    sdf = spark.createDataFrame([(t,) for t in terms], "term string").select("term", F.array("term").alias("w"))
+    vec = HashingTF(inputCol="w", outputCol="v", numFeatures=200).transform(sdf)
+    want = {r["term"]: r["a"].index(1.0) for r in vec.select("term", vector_to_array("v").alias("a")).collect()}
+    assert got == want
