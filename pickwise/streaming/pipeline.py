@@ -138,17 +138,14 @@ def _online_update(key, pdfs, state, k: int = MAX_SIM_PRODUCTS_NUM, recent_k: in
     list still replaces the old one, Q6).
 
     Vectorised with NumPy; only the newest event's neighbour list (two
-    primitive arrays) is looked at. A replayed batch starts again from the
-    state version before it (the state store commits per batch), so events
-    are not de-duplicated here: a repeated rating counts again, as it should."""
-    parts = list(pdfs)
-    allev = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-    hist_pid = allev.loc[allev["live"] == 0, "productId"].to_numpy(np.int64)
-    ev = allev[allev["live"] == 1]
-    pid = ev["productId"].to_numpy(np.int64)
-    sc = ev["score"].to_numpy(np.float64)
-    ts = ev["timestamp"].to_numpy(np.int64)
-    sq = ev["seq"].to_numpy(np.int64)
+    primitive arrays) is looked at. The user's rows arrive as Arrow batches and
+    are folded in one batch at a time, so memory holds one batch plus the
+    <= cap queue and the rated set, however many events a hot user has in the
+    trigger. Queue order is (timestamp, seq) newest first, ties by arrival
+    position (later first), so the fold equals one sort over all rows. A
+    replayed batch starts again from the state version before it (the state
+    store commits per batch), so events are not de-duplicated here: a repeated
+    rating counts again, as it should."""
     if state.exists:
         st = state.get
         q = [np.asarray(st[i] or [], dtype=t) for i, t in enumerate((np.int64, np.float64, np.int64, np.int64))]
@@ -156,16 +153,32 @@ def _online_update(key, pdfs, state, k: int = MAX_SIM_PRODUCTS_NUM, recent_k: in
     else:
         q = [np.empty(0, np.int64), np.empty(0, np.float64), np.empty(0, np.int64), np.empty(0, np.int64)]
         rated = np.empty(0, np.int64)
-    qp, qs, qt, qn = (np.concatenate([q[0], pid]), np.concatenate([q[1], sc]),
-                      np.concatenate([q[2], ts]), np.concatenate([q[3], sq]))
-    order = np.lexsort((qn, qt))[::-1][:cap]                  # newest first by (timestamp, seq)
-    qp, qs, qt, qn = qp[order], qs[order], qt[order], qn[order]
-    rated = np.union1d(rated, np.concatenate([pid, hist_pid]))
+    qp, qs, qt, qn = q
+    qpos = np.arange(len(qp), dtype=np.int64)      # arrival position: old state first, then events
+    base = len(qp)
+    newest, ids, sims = None, None, None
+    for pdf in pdfs:
+        live = pdf["live"].to_numpy() == 1
+        allpid = pdf["productId"].to_numpy(np.int64)
+        rated = np.union1d(rated, allpid)            # live events and stored history alike
+        if not live.any():
+            continue
+        ev = pdf[live]
+        pid, sc = allpid[live], ev["score"].to_numpy(np.float64)
+        ts, sq = ev["timestamp"].to_numpy(np.int64), ev["seq"].to_numpy(np.int64)
+        pos = base + np.arange(len(ev), dtype=np.int64)
+        base += len(ev)
+        qp, qs, qt, qn, qpos = (np.concatenate([qp, pid]), np.concatenate([qs, sc]), np.concatenate([qt, ts]),
+                                np.concatenate([qn, sq]), np.concatenate([qpos, pos]))
+        order = np.lexsort((qpos, qn, qt))[::-1][:cap]          # newest first
+        qp, qs, qt, qn, qpos = qp[order], qs[order], qt[order], qn[order], qpos[order]
+        j = int(np.lexsort((sq, ts))[-1])                       # newest of this batch, last on ties
+        if newest is None or (ts[j], sq[j]) >= newest:
+            newest = (ts[j], sq[j])
+            ids, sims = ev["nbr_ids"].iat[j], ev["nbr_sims"].iat[j]
     state.update((qp.tolist(), qs.tolist(), qt.tolist(), qn.tolist(), rated.tolist()))
-    if len(ev) == 0:            # only history rows for this user in this trigger: nothing to score
+    if newest is None:          # only history rows for this user in this trigger: nothing to score
         return
-    newest = int(np.lexsort((sq, ts))[-1])
-    ids, sims = ev["nbr_ids"].iat[newest], ev["nbr_sims"].iat[newest]
     c_ids, c_sims = np.empty(0, np.int64), np.empty(0, np.float64)
     if ids is not None and len(ids):
         ids, sims = np.asarray(ids, dtype=np.int64), np.asarray(sims, dtype=np.float64)

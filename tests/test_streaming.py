@@ -184,3 +184,48 @@ def test_history_feeds_the_rated_set(spark, tmpdir_path):
     assert without == {1: [21, 20]}
     with_hist = _run_lines(spark, f"{tmpdir_path}/b", lines, edges, history_rows=[(1, 21, 3.0, 0, 0)])
     assert with_hist == {1: [20]}
+
+
+class _FakeState:
+    def __init__(self, value=None):
+        self.value = value
+
+    @property
+    def exists(self):
+        return self.value is not None
+
+    @property
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_online_update_fold_equals_one_sort():
+    """A hot user's rows split into many Arrow batches give the same state and
+    output as one batch: ties on (timestamp, seq) included (seq-less source)."""
+    import numpy as np
+    import pandas as pd
+
+    from pickwise.streaming.pipeline import _online_update
+    rng = np.random.default_rng(7)
+    n = 5000
+    nbr = [np.array([1, 2, 3, 50, 60, 70], np.int32), np.array([.9, .8, .7, .6, .5, .45])]
+    pdf = pd.DataFrame({
+        "userId": np.full(n, 1, np.int32),
+        "productId": rng.integers(0, 100, n).astype(np.int32),
+        "score": rng.integers(1, 6, n).astype(np.float64),
+        "timestamp": rng.integers(0, 30, n).astype(np.int64),   # many ties
+        "seq": np.zeros(n, np.int64),                           # seq-less source
+        "nbr_ids": [nbr[0]] * n, "nbr_sims": [nbr[1]] * n,
+        "live": np.where(rng.random(n) < 0.9, 1, 0).astype(np.int32),
+    })
+    old = ([5, 6], [4.0, 2.0], [29, 29], [0, 0], [5, 6, 7])
+    whole_state, split_state = _FakeState(old), _FakeState(old)
+    whole = pd.concat(list(_online_update((1,), iter([pdf]), whole_state)))
+    chunks = [pdf.iloc[i:i + 317] for i in range(0, n, 317)]
+    split = pd.concat(list(_online_update((1,), iter(chunks), split_state)))
+    pd.testing.assert_frame_equal(whole.reset_index(drop=True), split.reset_index(drop=True))
+    assert whole_state.value == split_state.value
+    assert len(whole_state.value[0]) == 40
