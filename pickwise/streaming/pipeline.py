@@ -306,16 +306,24 @@ QUEUE_STATE = T.StructType([
 def _queue_update(key, pdfs, state, cap: int = RATING_QUEUE_SIZE):
     """Merge the new ratings of one user into the state queue: newest first,
     at most ``cap`` entries; the oldest fall off. Rows are ordered by
-    (timestamp, seq), not arrival, so a stale event lands in its place."""
-    parts = list(pdfs)
-    ev = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    (timestamp, seq), not arrival, so a stale event lands in its place; ties
+    by arrival position, later first. Arrow batches are folded in one at a
+    time, so memory stays one batch plus the queue, however hot the user."""
     dtypes = (np.int64, np.float64, np.int64, np.int64)
-    old = ([np.asarray(state.get[i] or [], dtype=t) for i, t in enumerate(dtypes)] if state.exists
-           else [np.empty(0, t) for t in dtypes])
+    qp, qs, qt, qn = ([np.asarray(state.get[i] or [], dtype=t) for i, t in enumerate(dtypes)] if state.exists
+                      else [np.empty(0, t) for t in dtypes])
+    qpos = np.arange(len(qp), dtype=np.int64)
+    base = len(qp)
     cols = ("productId", "score", "timestamp", "seq")
-    qp, qs, qt, qn = (np.concatenate([o, ev[c].to_numpy(t)]) for o, c, t in zip(old, cols, dtypes))
-    order = np.lexsort((qn, qt))[::-1][:cap]
-    qp, qs, qt, qn = qp[order], qs[order], qt[order], qn[order]
+    for ev in pdfs:
+        if len(ev) == 0:
+            continue
+        new = [ev[c].to_numpy(t) for c, t in zip(cols, dtypes)]
+        pos = base + np.arange(len(ev), dtype=np.int64)
+        base += len(ev)
+        qp, qs, qt, qn, qpos = (np.concatenate([a, b]) for a, b in zip((qp, qs, qt, qn, qpos), (*new, pos)))
+        order = np.lexsort((qpos, qn, qt))[::-1][:cap]
+        qp, qs, qt, qn, qpos = qp[order], qs[order], qt[order], qn[order], qpos[order]
     state.update((qp.tolist(), qs.tolist(), qt.tolist(), qn.tolist()))
     yield pd.DataFrame({
         "userId": np.full(len(qp), int(key[0]), dtype=np.int32),

@@ -229,3 +229,20 @@ def test_online_update_fold_equals_one_sort():
     pd.testing.assert_frame_equal(whole.reset_index(drop=True), split.reset_index(drop=True))
     assert whole_state.value == split_state.value
     assert len(whole_state.value[0]) == 40
+
+
+def test_queue_update_fold_equals_one_sort():
+    import numpy as np
+    import pandas as pd
+
+    from pickwise.streaming.pipeline import _queue_update
+    rng = np.random.default_rng(11)
+    n = 3000
+    pdf = pd.DataFrame({"userId": np.full(n, 1, np.int32), "productId": rng.integers(0, 50, n).astype(np.int32),
+                        "score": rng.integers(1, 6, n).astype(np.float64),
+                        "timestamp": rng.integers(0, 10, n).astype(np.int64), "seq": np.zeros(n, np.int64)})
+    a, b = _FakeState(([9], [1.0], [9], [0])), _FakeState(([9], [1.0], [9], [0]))
+    whole = pd.concat(list(_queue_update((1,), iter([pdf]), a))).reset_index(drop=True)
+    split = pd.concat(list(_queue_update((1,), iter([pdf.iloc[i:i + 101] for i in range(0, n, 101)]), b)))
+    pd.testing.assert_frame_equal(whole, split.reset_index(drop=True))
+    assert a.value == b.value and len(whole) == 40
