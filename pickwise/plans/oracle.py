@@ -1,8 +1,9 @@
 """Equivalent DuckDB SQL for the deterministic registered queries.
 
 Tables are the driver's pre-registered views. Column names, types and the
-6-digit rounding match ``pickwise.plans.queries``. Model queries (ALS) have no
-entry: they are checked by row counts and by unit tests.
+6-digit rounding match ``pickwise.plans.queries``. Model queries (ALS fits,
+predictions, recommendations, grid) have no entry: they are checked by row
+counts and by unit tests.
 """
 
 from __future__ import annotations
@@ -140,6 +141,63 @@ cedges AS (SELECT productId, simProductId, score,
              CAST(row_number() OVER (PARTITION BY productId ORDER BY score DESC, simProductId) AS INTEGER) AS rank
            FROM hcs WHERE score > 0.4)"""
 
+# XXH64 as Spark's xxhash64(userId, productId, timestamp, score) computes it
+# (M5 hash split): seed 42, each non-null column hashed with the previous hash
+# as seed; INT columns take the 4-byte path, BIGINT and DOUBLE (its IEEE bits)
+# the 8-byte path. Values are unsigned in [0, 2^64) as HUGEINT; a 64-bit
+# product is split into 32-bit halves so it never leaves HUGEINT's range.
+# Fixed values of XXH64: the five primes.
+_M64 = "18446744073709551616"
+_XX_P1, _XX_P2, _XX_P3, _XX_P4, _XX_P5 = (11400714785074694791, 14029467366897019727, 1609587929392839161,
+                                          9650029242287828579, 2870177450012600261)
+
+
+def _mul64(a: str, c: int) -> str:
+    hi, lo = c >> 32, c & 0xFFFFFFFF
+    return f"(({a}) * {lo} + ((({a}) * {hi}) % 4294967296) * 4294967296) % {_M64}::HUGEINT"
+
+
+def _rotl64(a: str, r: int) -> str:
+    return f"(((({a}) << {r}) | (({a}) >> {64 - r})) % {_M64}::HUGEINT)"
+
+
+def _xx_column(prefix: str, src: str, val: str, width: int, out: str) -> list[str]:
+    """CTEs folding one column into ``h`` (unchanged when the value is null)."""
+    if width == 4:
+        mix = f"xor((h + {_XX_P5} + 4) % {_M64}::HUGEINT, " \
+              f"{_mul64(f'(CAST({val} AS HUGEINT) + 4294967296) % 4294967296', _XX_P1)})"
+        step = f"({_mul64(_rotl64('h', 23), _XX_P2)} + {_XX_P3}) % {_M64}::HUGEINT"
+    else:
+        unsigned = f"(CAST({val} AS HUGEINT) + {_M64}::HUGEINT) % {_M64}::HUGEINT"
+        mix = f"xor((h + {_XX_P5} + 8) % {_M64}::HUGEINT, {_mul64(_rotl64(_mul64(unsigned, _XX_P2), 31), _XX_P1)})"
+        step = f"({_mul64(_rotl64('h', 27), _XX_P1)} + {_XX_P4}) % {_M64}::HUGEINT"
+    stages = [mix, step, _mul64("xor(h, h >> 33)", _XX_P2), _mul64("xor(h, h >> 29)", _XX_P3), "xor(h, h >> 32)"]
+    names = [f"{prefix}{i}" for i in range(len(stages) - 1)] + [out]
+    froms = [src] + names[:-1]
+    return [f"{n} AS (SELECT * REPLACE (CASE WHEN {val} IS NULL THEN h ELSE {e} END AS h) FROM {f})"
+            for n, f, e in zip(names, froms, stages)]
+
+
+_DOUBLE_BITS = """CASE WHEN score IS NULL THEN NULL WHEN score = 0 THEN CAST(0 AS HUGEINT) ELSE
+    (CASE WHEN score < 0 THEN CAST(1 AS HUGEINT) << 63 ELSE CAST(0 AS HUGEINT) END)
+    + (CAST(e + 1023 AS HUGEINT) << 52) + CAST((abs(score) / pow(2.0, e) - 1.0) * pow(2.0, 52) AS HUGEINT) END"""
+
+# r2 rows with xh = xxhash64(userId, productId, timestamp, score); scores are normal doubles
+XXSPLIT = ",\n".join([
+    """x0 AS (SELECT seq, userId, productId, score, "timestamp", CAST(42 AS HUGEINT) AS h,
+             CAST(floor(log2(abs(score))) AS INTEGER) AS e0 FROM r2)""",
+    """x1 AS (SELECT * EXCLUDE (e0), CASE WHEN score IS NULL OR score = 0 THEN 0
+             WHEN pow(2.0, e0) > abs(score) THEN e0 - 1 WHEN pow(2.0, e0 + 1) <= abs(score) THEN e0 + 1
+             ELSE e0 END AS e FROM x0)""",
+    f"x2 AS (SELECT * EXCLUDE (e), {_DOUBLE_BITS} AS sbits FROM x1)",
+    *_xx_column("xu", "x2", "userId", 4, "xhu"),
+    *_xx_column("xp", "xhu", "productId", 4, "xhp"),
+    *_xx_column("xt", "xhp", '"timestamp"', 8, "xht"),
+    *_xx_column("xs", "xht", "sbits", 8, "xhs"),
+    f"""xsplit AS (SELECT *, CAST(CASE WHEN h >= 9223372036854775808 THEN h - {_M64}::HUGEINT ELSE h END AS BIGINT)
+             AS xh FROM xhs)""",
+])
+
 COSINE = """v AS (SELECT CAST(vec_id AS INTEGER) AS productId, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
 vn AS (SELECT productId, f, sqrt(list_sum(list_transform(f, lambda x: x * x))) AS nrm FROM v),
 cs AS (SELECT a.productId, b.productId AS simProductId,
@@ -235,6 +293,8 @@ ORACLE: dict[str, str] = {
     "product_recs": _w(COSINE) + """SELECT productId, simProductId, round(score, 6) AS score,
         CAST(row_number() OVER (PARTITION BY productId ORDER BY score DESC, simProductId) AS INTEGER) AS rank FROM vedges""",
     "cosine_similarity": _w(COSINE) + "SELECT productId, simProductId, round(score, 6) AS score FROM vedges",
+    "train_test_split": _w(R2, XXSPLIT) + """SELECT seq, userId, productId, score,
+        CASE WHEN ((xh % 1000) + 1000) % 1000 < 800 THEN 'train' ELSE 'test' END AS split FROM xsplit""",
     # the 10-digit scores are rounded HALF_UP as decimals, as Spark's round does
     # (a binary-double round would send ...5000 ties down)
     "content_based_recs": _w(HASHED) + """SELECT productId, simProductId,
