@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.llm import exact_dedup, packing, sharding, token_counts, warc
+from pickwise.llm import exact_dedup, packing, quality_rules, sharding, token_counts, warc
 from pickwise.llm.common import read_table
 from pickwise.session import scratch_path
 
@@ -19,6 +19,17 @@ def q_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents of good quality that aren't toxic."""
+    return read_table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
+
+
+def q_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base figures and the verdict of the log-likelihood ratio."""
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.fit(docs, trusted_ids(spark, sf_dir)))
+
+
 def q_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of at most 4096 tokens."""
     pieces = packing.token_pieces(read_table(spark, sf_dir, "documents"),
@@ -48,6 +59,7 @@ def q_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": q_sharding,
+    "op4_quality_rules": q_quality_rules,
     "op5_best_fit_packing": q_best_fit_packing,
     "op6_warc": q_warc,
     "op8_exact_dedup": q_exact_dedup,
