@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.llm import exact_dedup, packing, quality_rules, sharding, token_counts, warc
+from pickwise.llm import exact_dedup, minhash_dedup, packing, quality_rules, sharding, token_counts, warc
 from pickwise.llm.common import read_table
 from pickwise.session import scratch_path
 
@@ -19,6 +19,11 @@ def q_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def q_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near duplicates."""
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents of good quality that aren't toxic."""
     return read_table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
@@ -59,6 +64,7 @@ def q_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": q_sharding,
+    "op3_minhash_dedup": q_minhash_dedup,
     "op4_quality_rules": q_quality_rules,
     "op5_best_fit_packing": q_best_fit_packing,
     "op6_warc": q_warc,
