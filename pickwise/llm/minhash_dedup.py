@@ -6,16 +6,17 @@ two tokens, and below it to the child of the next token, and so on. A tree is he
 as its rows in path order (range-partitioned, so a node that holds a third of all
 rows lies in many tasks): every subtree is a run of neighbouring rows, and
 comparing a row with the next ``NODE`` rows of its first node compares all
-nodes of up to ``NODE`` classes exhaustively, however deep their path. In a larger node every
-row is also compared with the node's first. Two sets of similarity 0.8 meet in one tree's
+nodes of up to ``NODE`` classes exhaustively, however deep their path. Two sets of similarity 0.8 meet in one tree's
 first node with probability 0.64; over 12 trees they miss with probability 5e-6.
 
 Comparison is by 64-token signatures first; pairs whose signatures agree in ``AGREE``
 tokens (a pair of similarity 0.8 fails with probability 2e-5) are confirmed
-on their full sets. Two passes keep the pairs linear in the rows: the first confirms
-one partner for each row and tree; the second confirms every agreeing pair that the
-first pass's links haven't already put into one component. Components of the
-confirmed links give one row per document.
+on their full sets. Two passes keep the pairs linear in the rows. The first confirms
+one partner for each row and tree; in a node larger than ``NODE`` every row is also
+compared with the node's first. The second takes the rows that the first pass's
+links haven't put into one component: all their agreeing pairs in small nodes, and over
+the next ``REACH`` rows, in larger nodes, each row's ``BEST`` best agreeing partners
+in each other component. Components of the confirmed links give one row per document.
 
 Defined results: null, empty or blank text has no shingle, size 0, and is linked
 with nothing; equal sets are linked whatever their texts; ``component_id`` is the
@@ -37,6 +38,7 @@ from pickwise.llm.components import components
 from pickwise.llm.shingles import hash_functions, minwise_tokens, shingle_set
 
 TREES, TOKENS, NODE, AGREE = 12, 64, 64, 37
+REACH, BEST = 2048, 4
 #: A link needs PERCENT of the union in the intersection.
 WIDTH, PERCENT = 2, 80
 #: Bits of the map of documents whose sets are needed: 512 KB whatever the corpus size.
@@ -109,37 +111,44 @@ class _Rows:
         return _Rows(*(np.concatenate([x, y]) for x, y in zip(vars(self).values(), vars(other).values(), strict=True)))
 
 
-def _agreeing(rows: _Rows, new_from: int, has_first: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of one node whose signatures agree, with at least one row at ``new_from`` or later.
-    ``has_first``: row 0 is the first row of the node that goes on."""
-    left, right = [], []
+def _agreeing(rows: _Rows, new_from: int, has_first: bool, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index pairs (i, j) of one node and different labels whose signatures agree, j at
+    ``new_from`` or later and at most ``reach`` rows behind i, with their agreeing
+    tokens; also each row beyond ``reach`` with its node's first row. ``has_first``: row 0
+    is that first row for the rows next to it, at whatever distance."""
+    found: list[tuple] = []
+    label = np.unique(rows.label, return_inverse=True)[1]
 
     def compare(i: np.ndarray, j: np.ndarray) -> None:
+        apart = label[i] != label[j]
+        i, j = i[apart], j[apart]
         for at in range(0, len(i), 50_000):
             x, y = i[at:at + 50_000], j[at:at + 50_000]
-            same = (rows.tokens[x] == rows.tokens[y]).sum(axis=1) >= AGREE
-            left.append(x[same])
-            right.append(y[same])
+            same = (rows.tokens[x] == rows.tokens[y]).sum(axis=1)
+            ok = same >= AGREE
+            found.append((x[ok], y[ok], same[ok]))
 
     n = len(rows.node)
-    for d in range(1, min(NODE, n - 1) + 1):
-        j = np.arange(max(d, new_from), n)
-        j = j[rows.node[j] == rows.node[j - d]]
-        if not len(j) and d > 1:
-            break  # no run is longer than d
-        compare(j - d, j)
     starts = np.flatnonzero(np.r_[True, rows.node[1:] != rows.node[:-1]])
     first = np.repeat(starts, np.diff(np.r_[starts, n]))  # of each row's node
+    at, j = np.arange(n) - first, np.arange(new_from, n)
+    for d in range(1, min(reach, n - 1) + 1):
+        j = j[at[j] >= d]
+        if not len(j):
+            break
+        compare(j - d, j)
     far = np.arange(new_from, n)
-    far = far[(far - first[far] > NODE) | ((first[far] == 0) & has_first)]
-    far = far[far != first[far]]
+    compare(first[far], far) if has_first else None
+    far = far[at[far] > reach]
     compare(first[far], far)
-    return np.concatenate(left) if left else np.empty(0, int), np.concatenate(right) if right else np.empty(0, int)
+    if not found:
+        return np.empty(0, int), np.empty(0, int), np.empty(0, int)
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
-def _streamed(choose: Callable) -> Callable[[Batches], Batches]:
+def _streamed(choose: Callable, reach: int) -> Callable[[Batches], Batches]:
     """A function over a partition in path order: the batches' rows are compared
-    with those kept from before (the last ``NODE`` rows and the first row of the last node)."""
+    with those kept from before (the last ``reach`` rows of the last node, and its first)."""
     def run(batches: Batches) -> Batches:
         kept, has_first = None, False
         for batch in batches:
@@ -148,7 +157,7 @@ def _streamed(choose: Callable) -> Callable[[Batches], Batches]:
             rows, new_from = _Rows.of(batch), 0
             if kept is not None:
                 rows, new_from = kept + rows, len(kept.node)
-            i, j = choose(rows, *_agreeing(rows, new_from, has_first))
+            i, j = choose(rows, *_agreeing(rows, new_from, has_first, reach))
             swap = rows.key[i] > rows.key[j]
             a, b = np.where(swap, j, i).astype(int), np.where(swap, i, j).astype(int)
             yield pa.RecordBatch.from_arrays(
@@ -157,14 +166,13 @@ def _streamed(choose: Callable) -> Callable[[Batches], Batches]:
                 names=["a", "b", "rep_a", "rep_b"])
             n = len(rows.node)
             start = int(np.flatnonzero(np.r_[True, rows.node[1:] != rows.node[:-1]])[-1])
-            tail = np.arange(max(start, n - NODE), n)
+            tail = np.arange(max(start, n - reach), n)
             has_first = start < tail[0]
             kept = rows.take(np.r_[start, tail] if has_first else tail)
-            has_first = True  # either way row 0 is the first row of the last node
     return run
 
 
-def _one_partner(rows: _Rows, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _one_partner(rows: _Rows, i: np.ndarray, j: np.ndarray, agree: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each row its agreeing partner with the smallest key."""
     if not len(i):
         return i, j
@@ -177,17 +185,26 @@ def _one_partner(rows: _Rows, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray,
     return x[first], y[first]
 
 
-def _apart(rows: _Rows, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs that aren't in one component yet."""
-    other = rows.label[i] != rows.label[j]
-    return i[other], j[other]
+def _apart(rows: _Rows, i: np.ndarray, j: np.ndarray, agree: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs at most ``NODE`` rows apart; of the others, each row's best in each other component."""
+    if not len(i):
+        return i, j
+    near = j - i <= NODE
+    x, y = np.r_[i[~near], j[~near]], np.r_[j[~near], i[~near]]
+    label = np.unique(rows.label, return_inverse=True)[1]
+    order = np.lexsort((-np.r_[agree[~near], agree[~near]], label[y], x))
+    x, y = x[order], y[order]
+    run = np.r_[True, (x[1:] != x[:-1]) | (label[y[1:]] != label[y[:-1]])] if len(x) else np.empty(0, bool)
+    nth = np.arange(len(x)) - np.maximum.accumulate(np.where(run, np.arange(len(x)), 0)) if len(x) else x
+    best = nth < BEST
+    return np.r_[i[near], x[best]], np.r_[j[near], y[best]]
 
 
 PAIRS = "a binary, b binary, rep_a long, rep_b long"
 
 
-def _pairs(rows: DataFrame, choose: Callable) -> DataFrame:
-    return (rows.mapInArrow(_streamed(choose), PAIRS).where("a < b")
+def _pairs(rows: DataFrame, choose: Callable, reach: int) -> DataFrame:
+    return (rows.mapInArrow(_streamed(choose, reach), PAIRS).where("a < b")
             .groupBy("a", "b").agg(F.first("rep_a").alias("rep_a"), F.first("rep_b").alias("rep_b")))
 
 
@@ -251,12 +268,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = written(signed.where("set_key is not null").groupBy("set_key").agg(
         F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "near-classes")
     rows = written(_in_path_order(tree_rows(classes)), "near-rows")
-    first = written(_pairs(rows, _one_partner), "near-pairs")
+    first = written(_pairs(rows, _one_partner, NODE), "near-pairs")
     sets = written(needed_sets(docs, first, id_col, text_col, width), "near-sets")
     links = written(confirmed(first, sets, percent), "near-links")
     labelled = rows.join(_first_labels(links), "set_key", "left").select(
         "node", "set_key", "rep", "path", F.coalesce("label", "set_key").alias("label"))
-    second = _pairs(_in_path_order(labelled), _apart).join(first.select("a", "b"), ["a", "b"], "left_anti")
+    second = _pairs(_in_path_order(labelled), _apart, REACH).join(first.select("a", "b"), ["a", "b"], "left_anti")
     more = written(confirmed(second, sets, percent), "near-links")
     grouped = classes.select("set_key", "rep").join(
         components(links.union(more)).withColumnRenamed("vertex", "set_key"), "set_key", "left").select(

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.llm import exact_dedup, minhash_dedup, packing, quality_rules, sharding, token_counts, warc
+from pickwise.llm import exact_dedup, minhash_dedup, packing, quality_rules, sharding, token_counts, toxicity, warc
 from pickwise.llm.common import read_table
 from pickwise.session import scratch_path
 
@@ -62,6 +62,24 @@ def q_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      scratch_path(spark, "token-counts"))
 
 
+#: Chain order; the tables label one kind of toxicity, and quality.
+CATEGORIES = ["low_quality", "toxic"]
+
+
+def toxicity_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+
+
+def toxicity_chain(spark: SparkSession, sf_dir: str) -> toxicity.Chain:
+    """The chain fitted on the labelled documents of the tables in ``sf_dir``."""
+    return toxicity.fit(read_table(spark, sf_dir, "documents"), toxicity_labels(spark, sf_dir), CATEGORIES)
+
+
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's category probabilities and verdict."""
+    return toxicity.judge(read_table(spark, sf_dir, "documents"), toxicity_chain(spark, sf_dir))
+
+
 QUERIES = {
     "op1_sharding": q_sharding,
     "op3_minhash_dedup": q_minhash_dedup,
@@ -70,4 +88,5 @@ QUERIES = {
     "op6_warc": q_warc,
     "op8_exact_dedup": q_exact_dedup,
     "op9_token_counts": q_token_counts,
+    "op10_toxicity": q_toxicity,
 }
