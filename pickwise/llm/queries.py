@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.llm import exact_dedup, minhash_dedup, packing, quality_rules, sharding, token_counts, toxicity, warc
+from pickwise.llm import (exact_dedup, minhash_dedup, packing, quality_rules, sentencepiece_nbest, sharding,
+                          token_counts, toxicity, url_filters, warc)
 from pickwise.llm.common import read_table
 from pickwise.session import scratch_path
 
@@ -19,6 +20,29 @@ def q_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def page_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, good): a page shows the document whose number is the last segment of its
+    path; it is good if that document is labelled of good quality and not toxic."""
+    number = F.regexp_extract(url_filters.path_of(F.col("url")), r"/([0-9]{1,18})(\.[a-z]+)?/?$", 1)
+    pages = read_table(spark, sf_dir, "pages").select("page_id", number.try_cast("long").alias("doc_id"))
+    labels = read_table(spark, sf_dir, "labels").select(
+        "doc_id", ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int").alias("good"))
+    return pages.where("doc_id is not null").join(labels, "doc_id").select("page_id", "good")
+
+
+def q_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the fixed rules, else by its path template."""
+    return url_filters.judge(read_table(spark, sf_dir, "pages"), page_labels(spark, sf_dir))
+
+
+def q_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's four best segmentations, as scores and digests."""
+    best = sentencepiece_nbest.encode_nbest(read_table(spark, sf_dir, "documents"),
+                                            public_tokenizers.path("piece_bpe_32k.model"))
+    return best.select("doc_id", "n_pieces", "scores",
+                       F.transform("ids", lambda b: F.crc32(b)).alias("ids_crc32"), "round_trip")
+
+
 def q_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component of near duplicates."""
     return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -82,10 +106,12 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": q_sharding,
+    "op2_url_filters": q_url_filters,
     "op3_minhash_dedup": q_minhash_dedup,
     "op4_quality_rules": q_quality_rules,
     "op5_best_fit_packing": q_best_fit_packing,
     "op6_warc": q_warc,
+    "op7_sentencepiece_nbest": q_sentencepiece_nbest,
     "op8_exact_dedup": q_exact_dedup,
     "op9_token_counts": q_token_counts,
     "op10_toxicity": q_toxicity,
