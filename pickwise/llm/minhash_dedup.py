@@ -11,12 +11,12 @@ first node with probability 0.64; over 12 trees they miss with probability 5e-6.
 
 Comparison is by 64-token signatures first; pairs whose signatures agree in ``AGREE``
 tokens (a pair of similarity 0.8 fails with probability 2e-5) are confirmed
-on their full sets. Two passes keep the pairs linear in the rows. The first confirms
-one partner for each row and tree; in a node larger than ``NODE`` every row is also
-compared with the node's first. The second takes the rows that the first pass's
-links haven't put into one component: all their agreeing pairs in small nodes, and over
-the next ``REACH`` rows, in larger nodes, each row's ``BEST`` best agreeing partners
-in each other component. Components of the confirmed links give one row per document.
+on their full sets. Two passes keep what is
+moved linear in the rows. The first confirms one partner for each row and tree (in a node
+larger than ``NODE`` every row also has the node's first to agree with). The second takes the
+rows that agree with a row of another component, up to ``REACH`` rows apart in path order, brings
+their sets to their places in the trees, and confirms there all agreeing pairs of
+different components; only links leave the task. Components of all links give one row per document.
 
 Defined results: null, empty or blank text has no shingle, size 0, and is linked
 with nothing; equal sets are linked whatever their texts; ``component_id`` is the
@@ -38,7 +38,7 @@ from pickwise.llm.components import components
 from pickwise.llm.shingles import hash_functions, minwise_tokens, shingle_set
 
 TREES, TOKENS, NODE, AGREE = 12, 64, 64, 37
-REACH, BEST = 2048, 4
+REACH = 2048
 #: A link needs PERCENT of the union in the intersection.
 WIDTH, PERCENT = 2, 80
 #: Bits of the map of documents whose sets are needed: 512 KB whatever the corpus size.
@@ -73,7 +73,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataF
 
 
 def tree_rows(classes: DataFrame) -> DataFrame:
-    """(node, set_key, rep, path) for the nodes with two classes or more, each tree in path order."""
+    """(node, set_key, rep, path, n_shingles) for the nodes with two classes or more, each tree in path order."""
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     first = F.substring("signature", F.lit(8) * F.col("tree") + 1, F.lit(8))  # the tree's own two tokens
     rows = classes.select("set_key", "signature", tree).select(
@@ -81,7 +81,8 @@ def tree_rows(classes: DataFrame) -> DataFrame:
     shared = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("node")
     path = F.concat(F.substring("signature", F.lit(8) * F.col("tree") + 1, F.lit(4 * TOKENS)),
                     F.substring("signature", F.lit(1), F.lit(8) * F.col("tree")))
-    return rows.join(shared, "node").join(classes, "set_key").select("node", "set_key", "rep", path.alias("path"))
+    return rows.join(shared, "node").join(classes, "set_key").select(
+        "node", "set_key", "rep", path.alias("path"), "n_shingles")
 
 
 def _in_path_order(rows: DataFrame) -> DataFrame:
@@ -90,28 +91,35 @@ def _in_path_order(rows: DataFrame) -> DataFrame:
 
 
 class _Rows:
-    """Rows of a partition as arrays."""
+    """Rows of a partition as arrays; ``label`` is the key and ``sets`` None where not given."""
 
-    def __init__(self, node, key, rep, tokens, label):
-        self.node, self.key, self.rep, self.tokens, self.label = node, key, rep, tokens, label
+    def __init__(self, node, key, rep, tokens, size, label, sets):
+        self.node, self.key, self.rep, self.tokens, self.size, self.label, self.sets = (
+            node, key, rep, tokens, size, label, sets)
 
     @classmethod
     def of(cls, batch: pa.RecordBatch) -> _Rows:
-        def fixed(i: int, kind: str, width: int) -> np.ndarray:
-            return np.frombuffer(b"".join(batch.column(i).to_pylist()), kind).reshape(-1, width)
-        key = np.array(batch.column(1).to_pylist(), object)
-        return cls(batch.column(0).to_numpy(), key, np.array(batch.column(2).to_pylist(), object),
-                   fixed(3, "<u4", TOKENS),
-                   np.array(batch.column(4).to_pylist(), object) if batch.num_columns > 4 else key)
+        def objects(i: int) -> np.ndarray:
+            out = np.empty(batch.num_rows, object)
+            out[:] = batch.column(i).to_pylist()
+            return out
+        key = objects(1)
+        tokens = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<u4").reshape(-1, TOKENS)
+        sets = np.empty(batch.num_rows, object)
+        if batch.num_columns > 6:
+            flat, ends = batch.column(6).flatten().to_numpy(), np.cumsum(batch.column(6).value_lengths().to_numpy())
+            sets[:] = np.split(flat, ends[:-1])
+        return cls(batch.column(0).to_numpy(), key, objects(2), tokens, batch.column(4).to_numpy(),
+                   objects(5) if batch.num_columns > 5 else key, sets)
 
     def take(self, at) -> _Rows:
-        return _Rows(self.node[at], self.key[at], self.rep[at], self.tokens[at], self.label[at])
+        return _Rows(*(x[at] for x in vars(self).values()))
 
     def __add__(self, other: _Rows) -> _Rows:
         return _Rows(*(np.concatenate([x, y]) for x, y in zip(vars(self).values(), vars(other).values(), strict=True)))
 
 
-def _agreeing(rows: _Rows, new_from: int, has_first: bool, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _agreeing(rows: _Rows, new_from: int, has_first: bool, reach: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Index pairs (i, j) of one node and different labels whose signatures agree, j at
     ``new_from`` or later and at most ``reach`` rows behind i, with their agreeing
     tokens; also each row beyond ``reach`` with its node's first row. ``has_first``: row 0
@@ -120,8 +128,10 @@ def _agreeing(rows: _Rows, new_from: int, has_first: bool, reach: int) -> tuple[
     label = np.unique(rows.label, return_inverse=True)[1]
 
     def compare(i: np.ndarray, j: np.ndarray) -> None:
-        apart = label[i] != label[j]
-        i, j = i[apart], j[apart]
+        # a smaller set than percent of the larger can't be similar enough
+        small, large = np.minimum(rows.size[i], rows.size[j]), np.maximum(rows.size[i], rows.size[j])
+        possible = (label[i] != label[j]) & (100 * small >= percent * large)
+        i, j = i[possible], j[possible]
         for at in range(0, len(i), 50_000):
             x, y = i[at:at + 50_000], j[at:at + 50_000]
             same = (rows.tokens[x] == rows.tokens[y]).sum(axis=1)
@@ -146,9 +156,10 @@ def _agreeing(rows: _Rows, new_from: int, has_first: bool, reach: int) -> tuple[
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
-def _streamed(choose: Callable, reach: int) -> Callable[[Batches], Batches]:
+def _streamed(emit: Callable, reach: int, percent: int) -> Callable[[Batches], Batches]:
     """A function over a partition in path order: the batches' rows are compared
-    with those kept from before (the last ``reach`` rows of the last node, and its first)."""
+    with those kept from before (the last ``reach`` rows of the last node, and its first),
+    and ``emit`` makes a batch of the rows and their agreeing pairs."""
     def run(batches: Batches) -> Batches:
         kept, has_first = None, False
         for batch in batches:
@@ -157,13 +168,7 @@ def _streamed(choose: Callable, reach: int) -> Callable[[Batches], Batches]:
             rows, new_from = _Rows.of(batch), 0
             if kept is not None:
                 rows, new_from = kept + rows, len(kept.node)
-            i, j = choose(rows, *_agreeing(rows, new_from, has_first, reach))
-            swap = rows.key[i] > rows.key[j]
-            a, b = np.where(swap, j, i).astype(int), np.where(swap, i, j).astype(int)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows.key[a].tolist(), pa.binary()), pa.array(rows.key[b].tolist(), pa.binary()),
-                 pa.array(rows.rep[a].tolist(), pa.int64()), pa.array(rows.rep[b].tolist(), pa.int64())],
-                names=["a", "b", "rep_a", "rep_b"])
+            yield emit(rows, *_agreeing(rows, new_from, has_first, reach, percent))
             n = len(rows.node)
             start = int(np.flatnonzero(np.r_[True, rows.node[1:] != rows.node[:-1]])[-1])
             tail = np.arange(max(start, n - reach), n)
@@ -172,39 +177,72 @@ def _streamed(choose: Callable, reach: int) -> Callable[[Batches], Batches]:
     return run
 
 
-def _one_partner(rows: _Rows, i: np.ndarray, j: np.ndarray, agree: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _pair_batch(rows: _Rows, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    swap = rows.key[i] > rows.key[j]
+    a, b = np.where(swap, j, i).astype(int), np.where(swap, i, j).astype(int)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(rows.key[a].tolist(), pa.binary()), pa.array(rows.key[b].tolist(), pa.binary()),
+         pa.array(rows.rep[a].tolist(), pa.int64()), pa.array(rows.rep[b].tolist(), pa.int64())],
+        names=["a", "b", "rep_a", "rep_b"])
+
+
+def _one_partner(rows: _Rows, i: np.ndarray, j: np.ndarray, agree: np.ndarray) -> pa.RecordBatch:
     """For each row its agreeing partner with the smallest key."""
-    if not len(i):
-        return i, j
     x, y = np.r_[i, j], np.r_[j, i]
     rank = np.empty(len(rows.key), int)
     rank[np.argsort(rows.key, kind="stable")] = np.arange(len(rows.key))
     order = np.lexsort((rank[y], x))
     x, y = x[order], y[order]
-    first = np.r_[True, x[1:] != x[:-1]]
-    return x[first], y[first]
+    first = np.r_[True, x[1:] != x[:-1]] if len(x) else np.empty(0, bool)
+    return _pair_batch(rows, x[first], y[first])
+
+
+def _contested(rows: _Rows, i: np.ndarray, j: np.ndarray, agree: np.ndarray) -> pa.RecordBatch:
+    """The rows that agree with a row of another component."""
+    at = np.unique(np.r_[i, j])
+    tokens = [t.tobytes() for t in rows.tokens[at]]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(rows.node[at], pa.int64()), pa.array(rows.key[at].tolist(), pa.binary()),
+         pa.array(rows.rep[at].tolist(), pa.int64()), pa.array(tokens, pa.binary()),
+         pa.array(rows.size[at], pa.int64()), pa.array(rows.label[at].tolist(), pa.binary())],
+        names=["node", "set_key", "rep", "path", "n_shingles", "label"])
+
+
+def _linking(percent: int) -> Callable:
+    """Confirms agreeing pairs on their full sets, the best first; a pair whose components
+    an earlier link has joined needs no confirming."""
+    def emit(rows: _Rows, i: np.ndarray, j: np.ndarray, agree: np.ndarray) -> pa.RecordBatch:
+        label = np.unique(rows.label, return_inverse=True)[1]
+        parent = list(range(int(label.max()) + 1 if len(label) else 0))
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        left, right = [], []
+        for k in np.argsort(-agree, kind="stable").tolist():
+            x, y = int(i[k]), int(j[k])
+            p, q = root(label[x]), root(label[y])
+            if p == q:
+                continue
+            both = len(np.intersect1d(rows.sets[x], rows.sets[y], assume_unique=True))
+            if 100 * both >= percent * (len(rows.sets[x]) + len(rows.sets[y]) - both):
+                parent[p] = q
+                left.append(x)
+                right.append(y)
+        return _pair_batch(rows, np.array(left, int), np.array(right, int))
+    return emit
 
 
-def _apart(rows: _Rows, i: np.ndarray, j: np.ndarray, agree: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs at most ``NODE`` rows apart; of the others, each row's best in each other component."""
-    if not len(i):
-        return i, j
-    near = j - i <= NODE
-    x, y = np.r_[i[~near], j[~near]], np.r_[j[~near], i[~near]]
-    label = np.unique(rows.label, return_inverse=True)[1]
-    order = np.lexsort((-np.r_[agree[~near], agree[~near]], label[y], x))
-    x, y = x[order], y[order]
-    run = np.r_[True, (x[1:] != x[:-1]) | (label[y[1:]] != label[y[:-1]])] if len(x) else np.empty(0, bool)
-    nth = np.arange(len(x)) - np.maximum.accumulate(np.where(run, np.arange(len(x)), 0)) if len(x) else x
-    best = nth < BEST
-    return np.r_[i[near], x[best]], np.r_[j[near], y[best]]
+PAIRS = "a binary, b binary, rep_a long, rep_b long"
 
 
-PAIRS = "a binary, b binary, rep_a long, rep_b long"
+ROWS = "node long, set_key binary, rep long, path binary, n_shingles long, label binary"
 
 
-def _pairs(rows: DataFrame, choose: Callable, reach: int) -> DataFrame:
-    return (rows.mapInArrow(_streamed(choose, reach), PAIRS).where("a < b")
+def _pairs(rows: DataFrame, emit: Callable, reach: int, percent: int) -> DataFrame:
+    return (rows.mapInArrow(_streamed(emit, reach, percent), PAIRS).where("a < b")
             .groupBy("a", "b").agg(F.first("rep_a").alias("rep_a"), F.first("rep_b").alias("rep_b")))
 
 
@@ -251,30 +289,23 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.withColumn("inter", inter).where(100 * F.col("inter") >= percent * union).select("a", "b")
 
 
-def _first_labels(links: DataFrame) -> DataFrame:
-    """(set_key, label): each class's least neighbour, followed once more. Classes with
-    one label are in one component."""
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = written(both.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("set_key"), F.least("a", "m").alias("label")), "near-labels")
-    follow = least.select(F.col("set_key").alias("label"), F.col("label").alias("next"))
-    return least.join(follow, "label", "left").select("set_key", F.coalesce("next", "label").alias("label"))
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                     percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row per document."""
     signed = written(signatures(docs, id_col, text_col, width), "near-signatures")
     classes = written(signed.where("set_key is not null").groupBy("set_key").agg(
-        F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "near-classes")
+        F.min("doc_id").alias("rep"), F.first("signature").alias("signature"),
+        F.first("n_shingles").alias("n_shingles")), "near-classes")
     rows = written(_in_path_order(tree_rows(classes)), "near-rows")
-    first = written(_pairs(rows, _one_partner, NODE), "near-pairs")
+    first = written(_pairs(rows, _one_partner, NODE, percent), "near-pairs")
     sets = written(needed_sets(docs, first, id_col, text_col, width), "near-sets")
     links = written(confirmed(first, sets, percent), "near-links")
-    labelled = rows.join(_first_labels(links), "set_key", "left").select(
-        "node", "set_key", "rep", "path", F.coalesce("label", "set_key").alias("label"))
-    second = _pairs(_in_path_order(labelled), _apart, REACH).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    more = written(confirmed(second, sets, percent), "near-links")
+    labels = components(links).withColumnsRenamed({"vertex": "set_key", "component": "label"})
+    labelled = rows.join(labels, "set_key", "left").select(
+        *rows.columns, F.coalesce("label", "set_key").alias("label"))
+    contested = _in_path_order(labelled).mapInArrow(_streamed(_contested, REACH, percent), ROWS)
+    with_sets = _in_path_order(contested.join(sets, "set_key").select(*labelled.columns, "shingles"))
+    more = written(_pairs(with_sets, _linking(percent), REACH, percent).select("a", "b"), "near-links")
     grouped = classes.select("set_key", "rep").join(
         components(links.union(more)).withColumnRenamed("vertex", "set_key"), "set_key", "left").select(
         "set_key", "rep", F.coalesce("component", "set_key").alias("component"))
