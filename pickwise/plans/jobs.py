@@ -144,7 +144,7 @@ def tune_job(spark: SparkSession, root: str) -> DataFrame:
 def online_job(spark: SparkSession, root: str, source_dir: str | None = None, topic: str | None = None,
                bootstrap_servers: str | None = None, checkpoint: str | None = None, trigger: dict | None = None):
     """Online re-ranking: start the stream; returns the (main, rejects) queries."""
-    from pickwise.session import checkpoint_root
+    from pickwise.session import stream_checkpoint_path
     from pickwise.streaming.pipeline import OnlinePaths, rating_stream_query
     # per-user state (queue + rated set) lives in RocksDB, off the JVM heap,
     # unless the cluster chose a provider already (it must not change across restarts)
@@ -155,7 +155,7 @@ def online_job(spark: SparkSession, root: str, source_dir: str | None = None, to
     lines = io.rating_stream_source(spark, fmt, source_dir, topic, bootstrap_servers)
     paths = OnlinePaths(edges=path(root, "itemcf") + "_edges", lists=path(root, "itemcf"),
                         recs=path(root, "stream_recs"), rejects=path(root, "stream_recs") + "_rejects")
-    ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/pickwise-online"
+    ckpt = checkpoint or stream_checkpoint_path(spark, "pickwise-online")
     # the stored ratings (loaded history + rate-job appends) feed every user's rated set
     return rating_stream_query(lines, paths, ckpt, trigger, history_path=path(root, "ratings"))
 
@@ -170,6 +170,7 @@ def main(argv=None):
     ap.add_argument("--source")
     ap.add_argument("--topic")
     ap.add_argument("--bootstrap-servers")
+    ap.add_argument("--checkpoint", help="stream checkpoint folder; default: pickwise-online under spark.checkpoint.dir")
     a = ap.parse_args(argv)
     from pickwise.session import build_session
     spark = build_session(app_name=f"pickwise-{a.job}")
@@ -186,7 +187,7 @@ def main(argv=None):
     elif a.job == "tune":
         tune_job(spark, a.root).show()
     else:
-        main_q, _ = online_job(spark, a.root, a.source, a.topic, a.bootstrap_servers)
+        main_q, _ = online_job(spark, a.root, a.source, a.topic, a.bootstrap_servers, checkpoint=a.checkpoint)
         main_q.awaitTermination()
 
 

@@ -59,6 +59,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 ensure_checkpoint_dir = checkpoint_root
 
 
+def stream_checkpoint_path(spark: SparkSession, name: str) -> str:
+    """The same path at every start: ``name`` under the folder that ``spark.checkpoint.dir``
+    names (``checkpoint_root`` has a new sub-folder in each application, in which a
+    restarted stream would not find its state)."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise ValueError("set spark.checkpoint.dir, or pass the stream's checkpoint folder: its state must be found again")
+    return f"{root.rstrip('/')}/{name}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written intermediates."""
     import uuid

@@ -7,7 +7,7 @@ package is on the classpath.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pickwise.functions import normalise_epoch, rating_line, strip_rating_prefix
@@ -67,6 +67,14 @@ def rating_append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("append").format(fmt).save(path)
 
 
+def line_with_offset(value: Column, offset: Column) -> Column:
+    """A line of four fields or more as its first four and the record offset. A
+    shorter line stays as it is, so that an offset never passes for a field."""
+    attr = F.split(value, r"\|")
+    whole = F.concat_ws("|", F.slice(attr, 1, 4), offset.cast("string"))
+    return F.when(F.size(attr) >= 4, whole).otherwise(value)
+
+
 def rating_stream_source(spark: SparkSession, fmt: str = "text", path: str | None = None,
                          topic: str | None = None, bootstrap_servers: str | None = None,
                          options: dict | None = None) -> DataFrame:
@@ -82,8 +90,7 @@ def rating_stream_source(spark: SparkSession, fmt: str = "text", path: str | Non
               .options(**(options or {})))
         # the record offset rides along as the optional 5th field: the arrival
         # sequence used as the tie-break after the event timestamp
-        return rs.load().select(F.concat_ws("|", F.col("value").cast("string"),
-                                            F.col("offset").cast("string")).alias("value"))
+        return rs.load().select(line_with_offset(F.col("value").cast("string"), F.col("offset")).alias("value"))
     rs = rs.format(fmt).options(**(options or {}))
     df = rs.load(path)
     return df.select(F.col("value").cast("string").alias("value"))

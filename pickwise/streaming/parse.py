@@ -29,17 +29,23 @@ def parse_rating_events(lines: DataFrame, col: str = "value") -> DataFrame:
 
 
 def valid_rating_events(parsed: DataFrame) -> DataFrame:
-    """Rows whose four fields all parsed."""
-    return parsed.dropna(subset=["userId", "productId", "score", "timestamp"])
+    """Rows whose four fields all parsed to numbers (a NaN score is none): the exact
+    complement of ``rejected_rating_lines``."""
+    ok = ~F.isnan("score")
+    for c in ("userId", "productId", "score", "timestamp"):
+        ok = ok & F.col(c).isNotNull()
+    return parsed.where(ok)
 
 
 def rejected_rating_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Lines that do not give a full rating: too few fields or a bad number."""
+    """Lines that do not give a full rating: too few fields or a bad number (NaN included)."""
     attr = F.split(strip_rating_prefix(F.col(col).cast("string")), r"\|")
 
     def ok(i, t):
         return F.expr(f"try_cast(trim(_attr[{i}]) AS {t})").isNotNull()
 
     t = lines.withColumn("_attr", attr)
-    good = (F.size("_attr") >= 4) & ok(0, "INT") & ok(1, "INT") & ok(2, "DOUBLE") & ok(3, "BIGINT")
-    return t.filter(~good).drop("_attr")
+    score = F.expr("try_cast(trim(_attr[2]) AS DOUBLE)")
+    good = F.when(F.size("_attr") >= 4, ok(0, "INT") & ok(1, "INT") & score.isNotNull() & ~F.isnan(score)
+                  & ok(3, "BIGINT"))
+    return t.filter(~F.coalesce(good, F.lit(False))).drop("_attr")

@@ -35,9 +35,9 @@ def test_java_string_hash_property(spark, xs):
 
 
 def test_epoch_to_yearmonth(spark):
-    df = spark.createDataFrame([(1395676800,), (0,), (1704067199,), (1704067200,)], "t bigint")
+    df = spark.createDataFrame([(1500000000,), (0,), (1704067199,), (1704067200,)], "t bigint")
     got = [r[0] for r in df.select(epoch_to_yearmonth("t")).collect()]
-    assert got == [201403, 197001, 202312, 202401]
+    assert got == [201707, 197001, 202312, 202401]
 
 
 def test_normalise_rating_score_half_up(spark):
@@ -47,17 +47,17 @@ def test_normalise_rating_score_half_up(spark):
 
 
 def test_normalise_epoch(spark):
-    df = spark.createDataFrame([(1395676800,), (1395676800123,)], "t bigint")
-    assert [r[0] for r in df.select(normalise_epoch("t")).collect()] == [1395676800, 1395676800]
+    df = spark.createDataFrame([(1500000000,), (1500000000123,)], "t bigint")
+    assert [r[0] for r in df.select(normalise_epoch("t")).collect()] == [1500000000, 1500000000]
 
 
 def test_rating_line_roundtrip(spark):
-    df = spark.createDataFrame([(4867, 457976, 5.0, 1395676800)], "u int, p int, s double, t bigint")
+    df = spark.createDataFrame([(31, 77, 5.0, 1500000000)], "u int, p int, s double, t bigint")
     line = df.select(rating_line("u", "p", "s", "t").alias("v")).first()["v"]
-    assert line == "PRODUCT_RATING_PREFIX:4867|457976|5.0|1395676800"
+    assert line == "PRODUCT_RATING_PREFIX:31|77|5.0|1500000000"
     logged = "2024-01-01 00:00:00,000  INFO --- [x]  Api(line: 146)  :  " + line
     ldf = spark.createDataFrame([(logged,)], "v string")
-    assert ldf.select(strip_rating_prefix("v")).first()[0] == "4867|457976|5.0|1395676800"
+    assert ldf.select(strip_rating_prefix("v")).first()[0] == "31|77|5.0|1500000000"
     assert F is not None
 
 
