@@ -25,7 +25,7 @@ ROWS_PER_BLOCK = 1_000_000
 def shard_by_bytes(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text",
                    rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot): shards are contiguous in key
-    order and their sizes differ by less than one row's size; ``slot`` counts
+    order and each is within one largest row of the mean size; ``slot`` counts
     a shard's rows from 0 without a gap."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
