@@ -34,6 +34,8 @@ MAX_LABELLED = 20_000
 #: Characters of a word's beginning that are a feature beside the word.
 STEM = 5
 ITERATIONS, REGULARISATION = 30, 1e-4
+#: Training rows a task: the bounded sample is read by few tasks, so that an iteration is one short stage.
+ROWS_PER_TASK = 5_000
 THRESHOLD = 0.2
 
 
@@ -94,8 +96,10 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str =
     chosen = (labels.select("doc_id", *[F.col(c).cast("double").alias(c) for c in categories])
               .dropna().dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
+    tasks = max(1, -(-max_labelled // ROWS_PER_TASK))
     data = written(features(rows, F.col("text"), "vector").select(
-        "vector", *categories, F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(folds)).alias("fold")), "toxicity-train")
+        "vector", *categories, F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(folds)).alias("fold")),
+        "toxicity-train").coalesce(tasks)
     models, earlier = [], []
     for category in categories:
         models.append(_fit_one(data, category, "vector", earlier))
@@ -106,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str =
             model = _fit_one(data.where(F.col("fold") != fold), category, "vector", earlier)
             part = _predict(data.where(F.col("fold") == fold), model, "vector", earlier, f"p_{category}")
             parts = part if parts is None else parts.unionByName(part)
-        data = written(parts, "toxicity-train")
+        data = written(parts, "toxicity-train").coalesce(tasks)
         earlier.append(f"p_{category}")
     return Chain(list(categories), models)
 
