@@ -57,36 +57,37 @@ class Chain:
 
     def score(self, df: DataFrame, vector: str) -> DataFrame:
         """``df`` with a column ``p_<category>`` for each category."""
-        earlier: list[str] = []
-        for category, model in zip(self.categories, self.models, strict=True):
-            df = _predict(df, model, vector, earlier, f"p_{category}")
-            earlier.append(f"p_{category}")
-        return df
+        df = df.withColumn("chain_in", F.col(vector))
+        for k, (category, model) in enumerate(zip(self.categories, self.models, strict=True)):
+            if k:
+                df = _extended(df, f"p_{self.categories[k - 1]}", FEATURES + k)
+            df = _predict(df, model, f"p_{category}")
+        return df.drop("chain_in")
 
 
-def _inputs(df: DataFrame, vector: str, earlier: list[str]) -> DataFrame:
-    if not earlier:
-        return df.withColumn("chain_in", F.col(vector))
-    return VectorAssembler(inputCols=[vector, *earlier], outputCol="chain_in").transform(df)
+def _extended(df: DataFrame, p: str, width: int) -> DataFrame:
+    """``df`` with the probability ``p`` appended to the input vector, now ``width`` long. The column's
+    metadata tells this width only, in place of a name for every slot."""
+    longer = VectorAssembler(inputCols=["chain_in", p], outputCol="chain_next").transform(df)
+    return longer.withColumn("chain_in", F.col("chain_next").alias(
+        "chain_in", metadata={"ml_attr": {"num_attrs": width}})).drop("chain_next")
 
 
-def _predict(df: DataFrame, model: LogisticRegressionModel | float, vector: str, earlier: list[str],
-             out: str) -> DataFrame:
+def _predict(df: DataFrame, model: LogisticRegressionModel | float, out: str) -> DataFrame:
     if isinstance(model, float):
         return df.withColumn(out, F.lit(model))
-    scored = model.transform(_inputs(df, vector, earlier))
-    return scored.withColumn(out, F.get(vector_to_array("chain_p"), F.lit(1))).drop(
-        "chain_in", "chain_p", "chain_raw", "chain_y")
+    return model.transform(df).withColumn(out, F.get(vector_to_array("chain_p"), F.lit(1))).drop(
+        "chain_p", "chain_raw", "chain_y")
 
 
-def _fit_one(df: DataFrame, category: str, vector: str, earlier: list[str]) -> LogisticRegressionModel | float:
+def _fit_one(df: DataFrame, category: str) -> LogisticRegressionModel | float:
     low, high = df.agg(F.min(category), F.max(category)).first()
     if low is None or low == high:
         return float(low or 0)
     return LogisticRegression(
         featuresCol="chain_in", labelCol=category, probabilityCol="chain_p", rawPredictionCol="chain_raw",
         predictionCol="chain_y", family="binomial", standardization=False, maxIter=ITERATIONS,
-        regParam=REGULARISATION).fit(_inputs(df, vector, earlier))
+        regParam=REGULARISATION).fit(df)
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str = "doc_id", text_col: str = "text",
@@ -97,21 +98,22 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str =
               .dropna().dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
     tasks = max(1, -(-max_labelled // ROWS_PER_TASK))
-    data = written(features(rows, F.col("text"), "vector").select(
-        "vector", *categories, F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(folds)).alias("fold")),
+    data = written(features(rows, F.col("text"), "chain_in").select(
+        "chain_in", *categories, F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(folds)).alias("fold")),
         "toxicity-train").coalesce(tasks)
-    models, earlier = [], []
-    for category in categories:
-        models.append(_fit_one(data, category, "vector", earlier))
-        if category == categories[-1]:
+    models: list[LogisticRegressionModel | float] = []
+    for k, category in enumerate(categories, 1):
+        models.append(_fit_one(data, category))
+        if k == len(categories):
             break
         parts = None
         for fold in range(folds):
-            model = _fit_one(data.where(F.col("fold") != fold), category, "vector", earlier)
-            part = _predict(data.where(F.col("fold") == fold), model, "vector", earlier, f"p_{category}")
+            model = _fit_one(data.where(F.col("fold") != fold), category)
+            part = _predict(data.where(F.col("fold") == fold), model, f"p_{category}")
             parts = part if parts is None else parts.unionByName(part)
-        data = written(parts, "toxicity-train").coalesce(tasks)
-        earlier.append(f"p_{category}")
+        # written with the probability in the vector, so that the next fit's tasks don't carry the assembler's plan
+        longer = _extended(parts, f"p_{category}", FEATURES + k).drop(f"p_{category}")
+        data = written(longer, "toxicity-train").coalesce(tasks)
     return Chain(list(categories), models)
 
 
