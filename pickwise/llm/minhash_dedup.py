@@ -304,6 +304,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = rows.join(labels, "set_key", "left").select(
         *rows.columns, F.coalesce("label", "set_key").alias("label"))
     contested = _in_path_order(labelled).mapInArrow(_streamed(_contested, REACH, percent), ROWS)
+    contested = written(contested, "near-contested").distinct()
+    missing = written(contested.select("set_key", "rep").distinct().join(sets.select("set_key"), "set_key", "left_anti"),
+                      "near-missing")
+    late = needed_sets(docs, missing.select(F.col("rep").alias("rep_a"), F.col("rep").alias("rep_b")),
+                       id_col, text_col, width).join(missing.select("set_key"), "set_key", "left_semi")
+    sets = sets.union(written(late, "near-sets"))
     with_sets = _in_path_order(contested.join(sets, "set_key").select(*labelled.columns, "shingles"))
     more = written(_pairs(with_sets, _linking(percent), REACH, percent).select("a", "b"), "near-links")
     grouped = classes.select("set_key", "rep").join(

@@ -101,6 +101,31 @@ def test_near_duplicates(spark, docs, none):
     assert minhash_dedup.drop_near_duplicates(df).columns == df.columns
 
 
+def _crowd(n, template, own, edits):
+    """``n`` documents that share a passage, each with a near copy (its last ``edits`` words changed)."""
+    rows = []
+    for i in range(n):
+        words = [f"t{k}" for k in range(template)] + [f"d{i}x{k}" for k in range(own)]
+        rows += [(i, " ".join(words)), (n + i, " ".join(words[:len(words) - edits] + [f"e{i}y{k}" for k in range(edits)]))]
+    return rows
+
+
+def _without_first_pass(monkeypatch):
+    whole, calls = minhash_dedup._pairs, []
+
+    def pairs(*args):
+        calls.append(args)
+        return whole(*args).limit(0) if len(calls) == 1 else whole(*args)
+    monkeypatch.setattr(minhash_dedup, "_pairs", pairs)
+
+
+def test_near_duplicates_without_a_first_pass_partner(spark, monkeypatch):
+    _without_first_pass(monkeypatch)
+    rows = _crowd(40, 60, 45, 9)
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i % 40 for i, _ in rows}
+
+
 def test_quality_figures(docs, none):
     labels = docs.select("doc_id").where("doc_id = 1")
     weights = quality_rules.fit(docs, labels)
