@@ -11,12 +11,14 @@ first node with probability 0.64; over 12 trees they miss with probability 5e-6.
 
 Comparison is by 64-token signatures first; pairs whose signatures agree in ``AGREE``
 tokens (a pair of similarity 0.8 fails with probability 2e-5) are confirmed
-on their full sets. Two passes keep what is
-moved linear in the rows. The first confirms one partner for each row and tree (in a node
-larger than ``NODE`` every row also has the node's first to agree with). The second takes the
-rows that agree with a row of another component, up to ``REACH`` rows apart in path order, brings
-their sets to their places in the trees, and confirms there all agreeing pairs of
-different components; only links leave the task. Components of all links give one row per document.
+on their full sets. The first pass confirms one partner for each row and tree (in a node
+larger than ``NODE`` every row also has the node's first to agree with), which joins most
+rows cheaply. The second compares all pairs of different components of every first node, whatever
+its size: a node is cut into blocks, and each pair of blocks is a group of its own, so a large node
+is split over tasks. It finds the rows that agree with a row of another component, brings their
+sets to their blocks, and confirms there all agreeing pairs; only rows and links leave the task.
+Its work grows with the square of a node's classes; no pair that shares a node is left out.
+Components of all links give one row per document.
 
 Defined results: null, empty or blank text has no shingle, size 0, and is linked
 with nothing; equal sets are linked whatever their texts; ``component_id`` is the
@@ -38,7 +40,10 @@ from pickwise.llm.components import components
 from pickwise.llm.shingles import hash_functions, minwise_tokens, shingle_set
 
 TREES, TOKENS, NODE, AGREE = 12, 64, 64, 37
-REACH = 2048
+#: A block of a large node: rows and shingles at most (about); all pairs of blocks are compared, each in a task's group.
+BLOCK, BLOCK_SHINGLES = 4096, 1 << 22
+#: Rows of a tile, columns of an incidence matrix; up to FEW pairs of a tile are confirmed one by one.
+TILE, COLUMNS, FEW = 512, 4096, 2000
 #: A link needs PERCENT of the union in the intersection.
 WIDTH, PERCENT = 2, 80
 #: Bits of the map of documents whose sets are needed: 512 KB whatever the corpus size.
@@ -197,15 +202,17 @@ def _one_partner(rows: _Rows, i: np.ndarray, j: np.ndarray, agree: np.ndarray) -
     return _pair_batch(rows, x[first], y[first])
 
 
-def _contested(rows: _Rows, i: np.ndarray, j: np.ndarray, agree: np.ndarray) -> pa.RecordBatch:
-    """The rows that agree with a row of another component."""
-    at = np.unique(np.r_[i, j])
-    tokens = [t.tobytes() for t in rows.tokens[at]]
+def _contested_batch(rows: _Rows, at: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(rows.node[at], pa.int64()), pa.array(rows.key[at].tolist(), pa.binary()),
-         pa.array(rows.rep[at].tolist(), pa.int64()), pa.array(tokens, pa.binary()),
-         pa.array(rows.size[at], pa.int64()), pa.array(rows.label[at].tolist(), pa.binary())],
-        names=["node", "set_key", "rep", "path", "n_shingles", "label"])
+         pa.array(rows.rep[at].tolist(), pa.int64()), pa.array(rows.size[at], pa.int64()),
+         pa.array(rows.label[at].tolist(), pa.binary())],
+        names=["node", "set_key", "rep", "n_shingles", "label"])
+
+
+def _contested(rows: _Rows, i: np.ndarray, j: np.ndarray, agree: np.ndarray) -> pa.RecordBatch:
+    """The rows that agree with a row of another component."""
+    return _contested_batch(rows, np.unique(np.r_[i, j]))
 
 
 def _linking(percent: int) -> Callable:
@@ -235,10 +242,145 @@ def _linking(percent: int) -> Callable:
     return emit
 
 
+def _tiles(rows: _Rows, left: np.ndarray, right: np.ndarray, label: np.ndarray, percent: int) -> Iterator[tuple]:
+    """All pairs of ``left`` and ``right`` (row numbers) by tiles: (x, y, mask of the pairs of different
+    labels that agree). ``label`` may change between tiles."""
+    tokens = rows.tokens.astype(np.uint8)  # a low byte agrees whenever its token does
+    by_size = [side[np.argsort(rows.size[side], kind="stable")] for side in (left, right)]
+    for a in range(0, len(left), TILE):
+        x = by_size[0][a:a + TILE]
+        tx, sx = np.ascontiguousarray(tokens[x].T), rows.size[x]
+        for b in range(a if left is right else 0, len(right), TILE):
+            y = by_size[1][b:b + TILE]
+            sy = rows.size[y]
+            if 100 * sx[-1] < percent * sy[0] or 100 * sy[-1] < percent * sx[0]:
+                continue
+            mask = label[x][:, None] != label[y][None, :]
+            if not mask.any():
+                continue
+            ty, same = np.ascontiguousarray(tokens[y].T), np.zeros(mask.shape, np.uint8)
+            for k in range(TOKENS):
+                same += tx[k][:, None] == ty[k][None, :]
+            mask &= same >= AGREE
+            mask &= 100 * np.minimum(sx[:, None], sy[None, :]) >= percent * np.maximum(sx[:, None], sy[None, :])
+            if mask.any():
+                yield x, y, mask
+
+
+def _shared(rows: _Rows, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Size of the intersection of each of ``x`` with each of ``y``, as a product of incidence matrices."""
+    sets = [rows.sets[k] for k in np.r_[x, y]]
+    row = np.repeat(np.arange(len(sets)), [len(v) for v in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = times > 1  # the others are in no intersection
+    column, row = (np.cumsum(often) - 1)[column[often[column]]], row[often[column]]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    out = np.zeros((len(x), len(y)), np.float32)
+    for at in range(0, int(often.sum()), COLUMNS):
+        lo, hi = np.searchsorted(column, [at, at + COLUMNS])
+        m = np.zeros((len(sets), COLUMNS), np.float32)
+        m[row[lo:hi], column[lo:hi] - at] = 1
+        out += m[:len(x)] @ m[len(x):].T
+    return out
+
+
+def _tile_contested(percent: int) -> Callable:
+    def emit(rows: _Rows, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+        hit = np.zeros(len(rows.key), bool)
+        for x, y, mask in _tiles(rows, left, right, np.unique(rows.label, return_inverse=True)[1], percent):
+            hit[x[mask.any(axis=1)]] = True
+            hit[y[mask.any(axis=0)]] = True
+        return _contested_batch(rows, np.flatnonzero(hit))
+    return emit
+
+
+def _tile_links(percent: int) -> Callable:
+    def emit(rows: _Rows, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+        label = np.unique(rows.label, return_inverse=True)[1]
+        parent, out = np.arange(int(label.max()) + 1), []
+
+        def root(k: int) -> int:
+            while parent[k] != k:
+                parent[k] = k = parent[parent[k]]
+            return k
+
+        for x, y, mask in _tiles(rows, left, right, label, percent):
+            i, j = np.nonzero(mask)
+            if len(i) <= FEW:
+                both = np.array([len(np.intersect1d(rows.sets[p], rows.sets[q], assume_unique=True))
+                                 for p, q in zip(x[i], y[j], strict=True)])
+            else:
+                both = _shared(rows, x, y)[i, j].astype(np.int64)
+            i, j = x[i], y[j]
+            similar = 100 * both >= percent * (rows.size[i] + rows.size[j] - both)
+            for k, m in zip(i[similar].tolist(), j[similar].tolist(), strict=True):
+                p, q = root(label[k]), root(label[m])
+                if p != q:
+                    parent[p] = q
+                    out.append((k, m))
+            label[:] = np.array([root(k) for k in range(len(parent))])[label]
+        return _pair_batch(rows, np.array([k for k, _ in out], int), np.array([m for _, m in out], int))
+    return emit
+
+
+def _exhaustive(small: Callable, large: Callable, percent: int) -> Callable[[Batches], Batches]:
+    """A function over a partition of ``in_blocks`` rows: all pairs of every group are compared,
+    those of groups of up to ``NODE`` rows together (``small``), larger ones each by itself (``large``)."""
+    def done(batch: pa.RecordBatch, starts: np.ndarray, node_rows: int) -> Batches:
+        sizes = np.diff(np.r_[starts, batch.num_rows])
+        rows = _Rows.of(batch.select(batch.schema.names[3:]))
+        low, high, block = (batch.column(k).to_numpy() for k in range(3))
+        few = (sizes <= node_rows) & (low[starts] == high[starts])
+        at = np.flatnonzero(np.repeat(few, sizes))
+        if len(at):
+            some = rows.take(at)
+            yield small(some, *_agreeing(some, 0, False, node_rows, percent))
+        for start, size in zip(starts[~few], sizes[~few], strict=True):
+            group = np.arange(start, start + size)
+            one, of = rows.take(group), block[group]
+            left = np.flatnonzero(of == low[start])
+            yield large(one, left, left if low[start] == high[start] else np.flatnonzero(of == high[start]))
+
+    def run(batches: Batches) -> Batches:
+        kept = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            batch = batch if kept is None else pa.concat_batches([kept, batch])
+            group = [batch.column(k).to_numpy() for k in (0, 1, 3)]
+            new = np.logical_or.reduce([g[1:] != g[:-1] for g in group])
+            starts = np.flatnonzero(np.r_[True, new])
+            kept = batch.slice(starts[-1])
+            if starts[-1]:
+                yield from done(batch.slice(0, starts[-1]), starts[:-1], NODE)
+        if kept is not None:
+            yield from done(kept, np.array([0]), NODE)
+    return run
+
+
 PAIRS = "a binary, b binary, rep_a long, rep_b long"
 
 
-ROWS = "node long, set_key binary, rep long, path binary, n_shingles long, label binary"
+ROWS = "node long, set_key binary, rep long, n_shingles long, label binary"
+
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` (node, set_key, rep, n_shingles, label) of the nodes with two labels or more, once for
+    each pair (low, high) of blocks of their node that their own ``block`` belongs to. A block has
+    about ``BLOCK`` rows and ``BLOCK_SHINGLES`` shingles at most; most nodes are one."""
+    n = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
+    nodes = rows.groupBy("node").agg(n.alias("blocks"), F.min("label").alias("least"), F.max("label").alias("most")).where(
+        "least != most").select("node", "blocks")
+    block = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
+    return rows.join(nodes, "node").select(
+        "*", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", *rows.columns)
+
+
+def _grouped(rows: DataFrame, more: list[str]) -> DataFrame:
+    return (rows.select("low", "high", "block", "node", "set_key", "rep", "signature", "n_shingles", "label", *more)
+            .repartition("node", "low", "high").sortWithinPartitions("node", "low", "high"))
 
 
 def _pairs(rows: DataFrame, emit: Callable, reach: int, percent: int) -> DataFrame:
@@ -301,17 +443,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = written(needed_sets(docs, first, id_col, text_col, width), "near-sets")
     links = written(confirmed(first, sets, percent), "near-links")
     labels = components(links).withColumnsRenamed({"vertex": "set_key", "component": "label"})
-    labelled = rows.join(labels, "set_key", "left").select(
-        *rows.columns, F.coalesce("label", "set_key").alias("label"))
-    contested = _in_path_order(labelled).mapInArrow(_streamed(_contested, REACH, percent), ROWS)
-    contested = written(contested, "near-contested").distinct()
+    labelled = written(rows.select("node", "set_key", "rep", "n_shingles").join(labels, "set_key", "left").select(
+        "node", "set_key", "rep", "n_shingles", F.coalesce("label", "set_key").alias("label")), "near-labelled")
+    tokens = classes.select("set_key", "signature")
+    contested = written(_grouped(in_blocks(labelled).join(tokens, "set_key"), []).mapInArrow(
+        _exhaustive(_contested, _tile_contested(percent), percent), ROWS).distinct(), "near-contested")
     missing = written(contested.select("set_key", "rep").distinct().join(sets.select("set_key"), "set_key", "left_anti"),
                       "near-missing")
     late = needed_sets(docs, missing.select(F.col("rep").alias("rep_a"), F.col("rep").alias("rep_b")),
                        id_col, text_col, width).join(missing.select("set_key"), "set_key", "left_semi")
     sets = sets.union(written(late, "near-sets"))
-    with_sets = _in_path_order(contested.join(sets, "set_key").select(*labelled.columns, "shingles"))
-    more = written(_pairs(with_sets, _linking(percent), REACH, percent).select("a", "b"), "near-links")
+    with_sets = _grouped(in_blocks(contested).join(tokens, "set_key").join(sets, "set_key"), ["shingles"])
+    more = written(with_sets.mapInArrow(_exhaustive(_linking(percent), _tile_links(percent), percent), PAIRS)
+                   .where("a < b").select("a", "b").distinct(), "near-links")
     grouped = classes.select("set_key", "rep").join(
         components(links.union(more)).withColumnRenamed("vertex", "set_key"), "set_key", "left").select(
         "set_key", "rep", F.coalesce("component", "set_key").alias("component"))

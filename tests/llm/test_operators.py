@@ -5,6 +5,7 @@ import hashlib
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -126,6 +127,29 @@ def test_near_duplicates_without_a_first_pass_partner(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == {i: i % 40 for i, _ in rows}
 
 
+def test_near_duplicates_in_a_large_node(spark, monkeypatch):
+    # no pair is found by the first pass, and the crowd's nodes are larger than what earlier versions reached
+    _without_first_pass(monkeypatch)
+    for name, value in (("NODE", 2), ("REACH", 4), ("BLOCK", 40)):
+        monkeypatch.setattr(minhash_dedup, name, value, raising=False)
+    rows = _crowd(300, 85, 25, 8)
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i % 300 for i, _ in rows}
+
+
+def test_large_groups_count_exactly():
+    rng = np.random.default_rng(3)
+    sets = np.empty(1200, object)
+    sets[:] = [np.unique(np.r_[np.arange(60), rng.integers(100, 400, 40)]) for _ in range(1200)]
+    empty = np.zeros(1200, object)
+    rows = minhash_dedup._Rows(empty, empty, empty, empty, np.array([len(x) for x in sets]), empty, sets)
+    x, y = np.arange(600), np.arange(600, 1200)
+    got = minhash_dedup._shared(rows, x, y)
+    for i in range(0, 600, 7):
+        for j in range(0, 600, 11):
+            assert got[i, j] == len(np.intersect1d(sets[x[i]], sets[y[j]]))
+
+
 def test_quality_figures(docs, none):
     labels = docs.select("doc_id").where("doc_id = 1")
     weights = quality_rules.fit(docs, labels)
