@@ -9,8 +9,7 @@ only what is frequent in the corpus but absent from the target counts against a
 
 The model is two counts for each of ``BUCKETS`` buckets, whatever the corpus size;
 it is the only thing that reaches the driver, and scoring is an expression on the row.
-The trusted sample is bounded by ``MAX_TRUSTED`` documents (those with the smallest
-hashed identifiers); the raw counts take all documents.
+Both are counts over all their documents, however many.
 
 Defined results: a null, empty or blank text has no words, all figures are 0 and it
 fails the base rules; without any trusted document, or without documents, every
@@ -26,7 +25,6 @@ from pyspark.sql import functions as F
 from pickwise.llm.common import words_of
 
 BUCKETS = 1 << 16
-MAX_TRUSTED = 20_000
 PRIOR = 8.0
 THRESHOLD = -0.1
 MIN_WORDS = 50
@@ -49,15 +47,13 @@ def _bucket(h: Column, buckets: int) -> Column:
 
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str,
-                  buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED) -> DataFrame:
-    """(bucket, raw, target). ``trusted`` is (doc_id): at most ``max_trusted`` of its
-    rows are used, so its broadcast is bounded by 8 bytes a row."""
-    chosen = (trusted.where("doc_id is not null").select("doc_id").distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted))
-    flagged = (docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("w"))
-               .join(F.broadcast(chosen.withColumn("good", F.lit(1))), "doc_id", "left"))
+                  buckets: int = BUCKETS) -> DataFrame:
+    """(bucket, raw, target). ``trusted`` is (doc_id), of any size: the planner broadcasts its
+    identifiers only while they are under the session's threshold."""
+    chosen = trusted.where("doc_id is not null").select("doc_id").distinct().withColumn("good", F.lit(1))
+    flagged = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(chosen, "doc_id", "left")
     return (flagged.select(F.coalesce("good", F.lit(0)).alias("good"),
-                           F.explode(gram_hashes(F.col("w"))).alias("h"))
+                           F.explode(gram_hashes(words_of(F.col("text")))).alias("h"))
             .groupBy(_bucket(F.col("h"), buckets).alias("bucket")).agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("target")))
 
 

@@ -168,6 +168,13 @@ def test_quality_figures(docs, none):
     assert quality_rules.filter_documents(docs, weights).columns == docs.columns
 
 
+def test_quality_counts_every_trusted_document(spark):
+    n = 20_500
+    df = spark.range(2 * n).selectExpr("id AS doc_id", "'word' AS text")
+    (row,) = quality_rules.bucket_counts(df, spark.range(n).toDF("doc_id"), "doc_id", "text").collect()
+    assert (row.raw, row.target) == (2 * n, n)
+
+
 def test_packing(docs, none):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(BPE)
