@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from pickwise.llm.common import written
 
-#: Segments below this depth are one wildcard tail.
-MAX_DEPTH = 6
+#: Levels of the tree in one plan; deeper trees are written in between. No effect on results.
+LEVELS = 4
 MIN_CHILDREN, MAX_PAGES_PER_CHILD = 20, 2.0
 #: Two-sided 95 % point of the normal distribution (fixed value).
 Z = 1.96
@@ -57,11 +57,9 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
 
 
 def _segments(path: Column) -> Column:
-    """Segments of a path, identifiers as '*', what lies below MAX_DEPTH as one '**'."""
-    all_ = F.filter(F.split(path, "/"), lambda s: s != "")
-    named = F.transform(all_, lambda s: F.when(s.rlike(IDENTIFIER), F.lit("*")).otherwise(s))
-    tail = F.when(F.size(all_) > MAX_DEPTH, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
-    return F.concat(F.slice(named, 1, MAX_DEPTH), tail)
+    """All segments of a path, identifiers as '*'."""
+    return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""),
+                       lambda s: F.when(s.rlike(IDENTIFIER), F.lit("*")).otherwise(s))
 
 
 def _at(segments: str, depth: int) -> Column:
@@ -111,14 +109,18 @@ def path_templates(urls: DataFrame, labels: DataFrame) -> DataFrame:
              .agg(F.count(F.lit(1)).alias("pages"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"),
                   F.count("good").alias("labelled")).withColumn("segs", _segments(F.col("path"))))
     nodes = written(nodes, "url-nodes")
-    depth = min(MAX_DEPTH, nodes.agg(F.max(F.size("segs"))).first()[0] or 0)
+    depth = nodes.agg(F.max(F.size("segs"))).first()[0] or 0
     for d in range(depth):
         nodes = _generalise(nodes, d)
+        if d % LEVELS == LEVELS - 1 and d + 1 < depth:
+            nodes = written(nodes, "url-nodes")
     nodes = written(nodes.withColumnRenamed("segs", "tmpl"), "url-nodes")
     templates = written(nodes.groupBy("host", "tmpl").agg(F.sum("good").alias("good"), F.sum("labelled").alias("labelled"))
                         .withColumn("now", F.col("tmpl")), "url-templates")
     for d in reversed(range(depth)):
         templates = _merge(templates, d)
+        if d and d % LEVELS == 0:
+            templates = written(templates, "url-templates")
     templates = written(templates, "url-templates")
     overall = templates.agg(F.try_divide(F.sum("good"), F.sum("labelled"))).first()[0]
     prior = 1.0 if overall is None else float(overall)

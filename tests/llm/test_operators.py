@@ -67,6 +67,15 @@ def test_url_templates_reject_impure_branches(spark):
         assert r.template == f"h.test/{'*' if branch == 'ok1' else branch}/*"
 
 
+def test_url_templates_reject_deep_branches(spark):
+    deep = "a/b/c/d/e/f/g"
+    pages = spark.createDataFrame([(i, f"http://h.test/{deep}/{'spam' if i % 3 == 0 else 'ok'}/{i}.html") for i in range(300)],
+                                  "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(0, 300, 2)], "page_id long, good int")
+    got = {(r.path.split("/")[-2], r.template.split("/")[-2], r.verdict) for r in url_filters.judge(pages, labels).collect()}
+    assert got == {("spam", "spam", "block"), ("ok", "ok", "allow")}
+
+
 def _shingles(text):
     w = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     w = WORDS.findall(w)
