@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+#: Words of ``text``: runs of ASCII letters and digits and of all beyond ASCII, with A-Z lower-cased.
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 ORACLE = {
     "op6_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
@@ -15,4 +19,27 @@ ORACLE = {
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM t""",
+    "op13_decontamination": f"""
+        WITH d AS (
+          SELECT row_number() OVER () AS r, doc_id,
+                 {_WORDS} AS w
+          FROM documents),
+        i AS (
+          SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id,
+                 {_WORDS} AS w
+          FROM benchmark),
+        iw AS (
+          SELECT DISTINCT item_id, least(len(w), 10) AS l, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS win
+          FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM i WHERE len(w) > 0)),
+        dw AS (
+          SELECT r, s, l, array_to_string(w[s:s + l - 1], ' ') AS win
+          FROM (SELECT r, w, l, unnest(range(1, len(w) - l + 2)) AS s FROM d, (SELECT DISTINCT l FROM iw))),
+        hits AS (SELECT DISTINCT r, s, l, win FROM dw SEMI JOIN iw USING (l, win)),
+        n_hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + l)) AS p FROM hits) GROUP BY r),
+        items AS (SELECT r, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS digest
+                  FROM (SELECT DISTINCT r, item_id FROM hits JOIN iw USING (l, win)) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(digest, sha256('')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN n_hit USING (r) LEFT JOIN items USING (r)""",
 }

@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.llm import (exact_dedup, minhash_dedup, packing, quality_rules, sentencepiece_nbest, sharding,
-                          token_counts, toxicity, url_filters, warc)
+from pickwise.llm import (decontamination, exact_dedup, minhash_dedup, packing, quality_rules, sentencepiece_nbest,
+                          sharding, spelling_variants, token_counts, toxicity, url_filters, warc, whitening)
 from pickwise.llm.common import read_table
 from pickwise.session import scratch_path
 
@@ -104,6 +104,21 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(read_table(spark, sf_dir, "documents"), toxicity_chain(spark, sf_dir))
 
 
+def q_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its near words, form and root."""
+    return spelling_variants.variants(read_table(spark, sf_dir, "documents"))
+
+
+def q_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding's eight whitened components."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words that lie in windows of the benchmark's items."""
+    return decontamination.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_sharding": q_sharding,
     "op2_url_filters": q_url_filters,
@@ -115,4 +130,7 @@ QUERIES = {
     "op8_exact_dedup": q_exact_dedup,
     "op9_token_counts": q_token_counts,
     "op10_toxicity": q_toxicity,
+    "op11_spelling_variants": q_spelling_variants,
+    "op12_embedding_whitening": q_embedding_whitening,
+    "op13_decontamination": q_decontamination,
 }
