@@ -36,10 +36,12 @@ A_WORD = r"[^\x20\x09-\x0D]"
 
 
 def gram_hashes(words: Column) -> Column:
-    """Hashes of the unigrams and bigrams of an array of words."""
-    one = F.transform(words, lambda w: F.xxhash64(w))
-    two = F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1)))
-    return F.concat(one, F.slice(two, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))))
+    """Hashes of the unigrams and bigrams of an array of words, which is computed once a row."""
+    def of(w: Column) -> Column:
+        one = F.transform(w, lambda x: F.xxhash64(x))
+        two = F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1)))
+        return F.concat(one, F.slice(two, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0))))
+    return _let(words, of)
 
 
 def _bucket(h: Column, buckets: int) -> Column:
