@@ -50,10 +50,10 @@ def _bucket(h: Column, buckets: int) -> Column:
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str,
                   buckets: int = BUCKETS) -> DataFrame:
-    """(bucket, raw, target). ``trusted`` is (doc_id), of any size: the planner broadcasts its
-    identifiers only while they are under the session's threshold."""
+    """(bucket, raw, target). ``trusted`` is (doc_id), of any size: it grows with the corpus, so it is never
+    broadcast, and the texts are sorted to it by identifier once (about the input's size is shuffled)."""
     chosen = trusted.where("doc_id is not null").select("doc_id").distinct().withColumn("good", F.lit(1))
-    flagged = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(chosen, "doc_id", "left")
+    flagged = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(chosen.hint("merge"), "doc_id", "left")
     return (flagged.select(F.coalesce("good", F.lit(0)).alias("good"),
                            F.explode(gram_hashes(words_of(F.col("text")))).alias("h"))
             .groupBy(_bucket(F.col("h"), buckets).alias("bucket")).agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("target")))
