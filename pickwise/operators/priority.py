@@ -1,4 +1,4 @@
-"""Online re-ranking priority (SP) as one set-wise DataFrame plan.
+"""Online re-ranking priority (SP), the same row functions in batch and in the stream.
 
 Relations (the contract shared with the SQL oracle):
   cur    newest rating per user by (timestamp, seq)                       W6
@@ -9,19 +9,21 @@ Relations (the contract shared with the SQL oracle):
   prio   avg(sim * score) + log10(max(#score>3, 1)) - log10(max(#score<=3, 1))
                                                                    A7, A8, F7
 
-Every per-user fan-out is bounded by the features' own caps (20 candidates x
-21 recents); the top-k steps are WindowGroupLimits, which cut before the
-shuffle, so a user holding a third of all rows costs k rows per map task.
+A user is one row: newest product, rated set, recent ratings. That row meets the neighbour list of its
+product, and the first 20 entries that aren't rated are cut inside the row, so users x neighbours never exist as rows
+and nothing but the cut is exchanged. Each of the <= 20 candidates meets its own list, in which the similarities to
+the <= 21 recent products are looked up inside the row too. A user holding a third of all rows costs 21 rows per
+map task (WindowGroupLimit) and its set of rated products, once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.functions import log10_count
-from pickwise.operators.joins import bounded_broadcast, exclude_rated_products
-from pickwise.operators.ranking import latest_event_per_user, recent_ratings_k, top_k_per_key
+from pickwise.operators.joins import bounded_broadcast
+from pickwise.operators.ranking import collect_recs_per_key, latest_event_per_user, recent_ratings_k, top_k_per_key
 from pickwise.schemas import HIGH_SCORE_CUTOFF, MAX_SIM_PRODUCTS_NUM, RECENT_ROWS, SIM_THRESHOLD
 
 
@@ -31,16 +33,51 @@ def current_events(events: DataFrame) -> DataFrame:
                                  order_cols=("timestamp", "seq"))
 
 
+def rated_sets(rated: DataFrame) -> DataFrame:
+    """userId, rated: the products a user rated, once each (combined map-side; bounded by the catalogue)."""
+    return rated.groupBy("userId").agg(F.collect_set(F.col("productId").cast("int")).alias("rated"))
+
+
+def candidates_in_row(users: DataFrame, lists: DataFrame, k: int = MAX_SIM_PRODUCTS_NUM) -> DataFrame:
+    """``users`` (userId, productId, rated, ...) with ``candidates``, the first ``k`` entries of the
+    product's neighbour list that aren't rated. ``lists`` (productId, recs) is sorted by score falling,
+    productId rising. Users whose product has no list fall out; productId is dropped."""
+    ids = F.transform("recs", lambda r: r["productId"])
+    first = F.slice(F.array_except(ids, F.coalesce("rated", F.array().cast("array<int>"))), 1, k)
+    kept = [c for c in users.columns if c not in ("productId", "rated")]
+    found = users.join(lists.select("productId", "recs"), "productId").select(*kept, "recs", first.alias("first"))
+    return found.select(*kept, F.filter("recs", lambda r: F.array_contains("first", r["productId"])).alias("candidates"))
+
+
+def score_in_row(rows: DataFrame, lists: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFrame:
+    """userId, productId, baseScore, nHigh, nLow, priority of the candidates similar to a recent
+    rating. ``rows``: userId, recentProducts, recentScores, candidates. A candidate's similarity to a recent
+    product is that product's entry in the candidate's own list."""
+    pairs = rows.select("userId", "recentProducts", "recentScores", F.explode("candidates.productId").alias("productId"))
+
+    def similar(r: Column) -> Column:
+        return (r["score"] > threshold) & F.array_contains("recentProducts", r["productId"])
+
+    matched = pairs.join(lists.select("productId", "recs"), "productId").select(
+        "userId", "productId", "recentProducts", "recentScores", F.filter("recs", similar).alias("m")).where(F.size("m") > 0)
+    # the recent ratings with their similarity, in order; those without one fall out
+    scored = F.filter(F.zip_with("recentProducts", "recentScores", lambda p, s: F.struct(
+        s.alias("score"), F.get(F.filter("m", lambda e: e["productId"] == p), F.lit(0))["score"].alias("sim"))),
+        lambda h: h["sim"].isNotNull())
+    high = F.size(F.filter("h", lambda h: h["score"] > HIGH_SCORE_CUTOFF)).cast("bigint")
+    base = F.aggregate("h", F.lit(0.0), lambda a, h: a + h["sim"] * h["score"]) / F.size("h")
+    return (matched.select("userId", "productId", scored.alias("h"))
+            .select("userId", "productId", base.alias("baseScore"), high.alias("nHigh"), (F.size("h") - high).alias("nLow"))
+            .withColumn("priority", F.col("baseScore") + log10_count("nHigh") - log10_count("nLow")))
+
+
 def top_k_candidates(cur: DataFrame, edges: DataFrame, rated: DataFrame,
                      k: int = MAX_SIM_PRODUCTS_NUM, edges_bound: int | None = None) -> DataFrame:
-    """J7 -> J4 -> W3: userId, productId (candidate), sim, rank."""
-    e = edges.select(F.col("productId").alias("curProductId"), F.col("simProductId").alias("productId"),
-                     F.col("score").alias("sim"))
-    neighbours = cur.select("userId", F.col("productId").alias("curProductId")).join(
-        bounded_broadcast(e, edges_bound), "curProductId")
-    unrated = exclude_rated_products(neighbours, rated)
-    return top_k_per_key(unrated.select("userId", "productId", "sim"), "userId", k,
-                         score="sim", item="productId", rank_col="candRank")
+    """J7 -> J4 -> W3: userId, productId (candidate), sim, candRank."""
+    users = cur.select("userId", "productId").join(rated_sets(rated), "userId", "left")
+    cut = candidates_in_row(users, bounded_broadcast(collect_recs_per_key(edges), edges_bound), k)
+    return cut.select("userId", F.posexplode("candidates").alias("at", "c")).select(
+        "userId", F.col("c.productId").alias("productId"), F.col("c.score").alias("sim"), (F.col("at") + 1).alias("candRank"))
 
 
 def candidate_recent_pairs(cand: DataFrame, recent: DataFrame) -> DataFrame:
@@ -77,15 +114,15 @@ def stream_priority(ratings: DataFrame, edges: DataFrame, events: DataFrame | No
     ``ratings`` is the rating history *including* the events (the event is
     stored and queued before it reaches the stream)."""
     cur = current_events(events if events is not None else ratings)
-    users = cur.select("userId")
     hist = ratings.select("userId", "productId", "score", "timestamp", "seq")
     if events is not None:
-        hist = hist.join(users, "userId", "left_semi")
-    rated = hist.select("userId", "productId")
-    cand = top_k_candidates(cur, edges, rated, k, edges_bound)
-    recent = recent_ratings_k(hist, recent_k)
-    hit = hits(candidate_recent_pairs(cand, recent), edges, threshold, edges_bound)
-    return score_candidates(hit)
+        hist = hist.join(cur.select("userId"), "userId", "left_semi")
+    newest = F.struct("recency", F.col("productId").cast("int").alias("productId"), "score")
+    recent = recent_ratings_k(hist, recent_k).groupBy("userId").agg(F.sort_array(F.collect_list(newest)).alias("r")).select(
+        "userId", F.col("r.productId").alias("recentProducts"), F.col("r.score").alias("recentScores"))
+    users = cur.select("userId", "productId").join(rated_sets(hist), "userId").join(recent, "userId")
+    lists = bounded_broadcast(collect_recs_per_key(edges), edges_bound)
+    return score_in_row(candidates_in_row(users, lists, k), lists, threshold)
 
 
 def rank_priorities(prio: DataFrame) -> DataFrame:

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from pickwise.operators import joins
 from pickwise.operators.ranking import top_n
+from pickwise.plans import name_index
 from pickwise.plans.jobs import path
 from pickwise.plans.serving import PRODUCT_COLS
 from pickwise.schemas import HOT_DEFAULT_NUM
+from pickwise.sources.keyed import current_keyed
 
 
 def _t(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -49,8 +51,7 @@ def most_rated(spark: SparkSession, root: str, n: int = HOT_DEFAULT_NUM) -> Data
 
 
 def _lists(spark: SparkSession, root: str, table: str, ids: DataFrame, k: int | None) -> DataFrame:
-    nested = _t(spark, root, table).join(ids.select(F.col("productId").cast("int")).distinct(),
-                                         "productId", "left_semi")
+    nested = current_keyed(spark, path(root, table), "productId").of_keys(ids)  # only the buckets of these products
     rows = (nested.select(F.col("productId").alias("queryProductId"), F.posexplode("recs").alias("pos", "r"))
             .select("queryProductId", (F.col("pos") + 1).alias("rank"),
                     F.col("r.productId").alias("productId"), F.col("r.score").alias("recScore")))
@@ -69,11 +70,13 @@ def content_based(spark: SparkSession, root: str, ids: DataFrame, k: int | None
 
 def product_info(spark: SparkSession, root: str, ids: DataFrame) -> DataFrame:
     k = ids.select(F.col("productId").cast("int")).distinct()
-    return k.join(_enriched(spark, root), "productId", "left").select(*PRODUCT_COLS)
+    found = current_keyed(spark, f"{root.rstrip('/')}/products_by_id", "productId").of_keys(k)  # only these ids' buckets
+    return k.join(joins.enrich_product_score(found, _t(spark, root, "average")), "productId", "left").select(*PRODUCT_COLS)
 
 
 def search(spark: SparkSession, root: str, pattern: str) -> DataFrame:
-    return _enriched(spark, root).filter(F.col("name").rlike(pattern)).select(*PRODUCT_COLS)
+    found = name_index.search(spark, root.rstrip("/"), pattern)
+    return joins.enrich_product_score(found, _t(spark, root, "average")).select(*PRODUCT_COLS)
 
 
 def _user_lists(spark: SparkSession, root: str, recs: DataFrame, usernames: DataFrame,

@@ -11,37 +11,76 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pickwise.functions import normalise_epoch, rating_line, strip_rating_prefix
-from pickwise.schemas import PRODUCT_FILE, RATING_FILE, RATING_PREFIX
+from pickwise.schemas import PRODUCT_FILE, RATING_PREFIX
+
+
+def _lines(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """line, file, and the line's fields ``a`` (an array, split once)."""
+    return spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+                                        F.split("value", sep, -1).alias("a"))
+
+
+def _with_reasons(lines: DataFrame, of_fields) -> DataFrame:
+    """``lines`` with the struct ``row`` and ``reason``, null where the line is good. One generator types a line, so
+    that neither is computed again by what filters on it."""
+    return lines.select("line", "file", F.inline(F.transform(F.array("a"), of_fields)))
+
+
+def accepted(lines: DataFrame) -> DataFrame:
+    """The typed rows of the good lines of ``read_products`` or ``read_ratings``."""
+    return lines.where(F.col("reason").isNull()).select("row.*")
+
+
+def rejected(lines: DataFrame) -> DataFrame:
+    """line, file, reason of the others: accepted and rejected lines together are the input, each line once."""
+    return lines.where(F.col("reason").isNotNull()).select("line", "file", "reason")
+
+
+def read_products(spark: SparkSession, path: str) -> DataFrame:
+    """Line, file, row, reason of a '^'-separated product file, 7 fields; row keeps 0, 1, 4, 5, 6, trimmed.
+
+    There is no quoting: names may hold a literal '"' that a plain split keeps.
+    Missing trailing fields read as '' (an empty tag list is legal); a blank line or a bad id is rejected."""
+    names = PRODUCT_FILE.names
+
+    def of_fields(a: Column) -> Column:
+        def text(name: str) -> Column:
+            return F.trim(F.coalesce(F.get(a, F.lit(names.index(name))), F.lit(""))).alias(name)
+
+        number = F.trim(F.get(a, F.lit(0))).try_cast("int")
+        reason = (F.when((F.size(a) == 1) & (F.trim(F.get(a, F.lit(0))) == ""), "blank line")
+                  .when(number.isNull(), "bad productId"))
+        row = F.struct(number.alias("productId"), text("name"), text("imageUrl"), text("categories"), text("tags"))
+        return F.struct(row.alias("row"), reason.alias("reason"))
+
+    return _with_reasons(_lines(spark, path, r"\^"), of_fields)
+
+
+def read_ratings(spark: SparkSession, path: str) -> DataFrame:
+    """Line, file, row, reason of ',' separated ``userId,productId,score,timestamp``; a missing field or a bad
+    number (NaN included) is rejected, the first bad field named."""
+    kinds = (("userId", "int"), ("productId", "int"), ("score", "double"), ("timestamp", "bigint"))
+
+    def of_fields(a: Column) -> Column:
+        numbers = {n: F.trim(F.get(a, F.lit(i))).try_cast(t) for i, (n, t) in enumerate(kinds)}
+        reason = F.when((F.size(a) == 1) & (F.trim(F.get(a, F.lit(0))) == ""), "blank line").when(F.size(a) < 4, "too few fields")
+        for n, t in kinds:
+            bad = numbers[n].isNull() | (F.isnan(numbers[n]) if t == "double" else F.lit(False))
+            reason = reason.when(bad, f"bad {n}")
+        numbers["timestamp"] = normalise_epoch(numbers["timestamp"])
+        return F.struct(F.struct(*[c.alias(n) for n, c in numbers.items()]).alias("row"), reason.alias("reason"))
+
+    return _with_reasons(_lines(spark, path, ","), of_fields)
 
 
 def load_products(spark: SparkSession, path: str) -> DataFrame:
-    """S1: '^'-separated product file, 7 fields; keep 0, 1, 4, 5, 6; trimmed.
-
-    Quoting is off: names may hold a literal '"' that a plain split keeps.
-    Missing trailing fields read as '' (an empty tag list is legal)."""
-    raw = (spark.read.schema(PRODUCT_FILE)
-           .option("sep", "^").option("quote", "").option("escape", "")
-           .option("header", "false").option("mode", "PERMISSIVE")
-           .csv(path))
-    return raw.select(
-        F.expr("try_cast(trim(productId) AS INT)").alias("productId"),
-        F.trim(F.coalesce("name", F.lit(""))).alias("name"),
-        F.trim(F.coalesce("imageUrl", F.lit(""))).alias("imageUrl"),
-        F.trim(F.coalesce("categories", F.lit(""))).alias("categories"),
-        F.trim(F.coalesce("tags", F.lit(""))).alias("tags"),
-    ).filter(F.col("productId").isNotNull())
+    """The products of a file; ``rejected(read_products(...))`` has the lines that give none."""
+    return accepted(read_products(spark, path))
 
 
 def load_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """S2: ',' separated ``userId,productId,score,timestamp``; bad numbers drop."""
-    raw = spark.read.schema(RATING_FILE).option("sep", ",").option("header", "false").csv(path)
-    out = raw.select(
-        F.expr("try_cast(trim(userId) AS INT)").alias("userId"),
-        F.expr("try_cast(trim(productId) AS INT)").alias("productId"),
-        F.expr("try_cast(trim(score) AS DOUBLE)").alias("score"),
-        normalise_epoch(F.expr("try_cast(trim(timestamp) AS BIGINT)")).alias("timestamp"),
-    )
-    return out.dropna(subset=["userId", "productId", "score", "timestamp"])
+    """The ratings of a file; ``rejected(read_ratings(...))`` has the lines that give none."""
+    return accepted(read_ratings(spark, path))
 
 
 def read_table(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
@@ -67,18 +106,11 @@ def rating_append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("append").format(fmt).save(path)
 
 
-def line_with_offset(value: Column, offset: Column) -> Column:
-    """A line of four fields or more as its first four and the record offset. A
-    shorter line stays as it is, so that an offset never passes for a field."""
-    attr = F.split(value, r"\|")
-    whole = F.concat_ws("|", F.slice(attr, 1, 4), offset.cast("string"))
-    return F.when(F.size(attr) >= 4, whole).otherwise(value)
-
-
 def rating_stream_source(spark: SparkSession, fmt: str = "text", path: str | None = None,
                          topic: str | None = None, bootstrap_servers: str | None = None,
                          options: dict | None = None) -> DataFrame:
-    """Unbounded ``value`` lines. Kafka (from the latest offset; bound a
+    """Unbounded lines as ``value``, ``partition`` and ``offset`` (null for files). Kafka (a new query starts at the
+    latest offset, which its checkpoint records, so a restart goes on where it stopped; bound a
     trigger with the ``maxOffsetsPerTrigger`` option) where the connector is
     on the classpath; a text-file directory otherwise."""
     rs = spark.readStream
@@ -88,12 +120,11 @@ def rating_stream_source(spark: SparkSession, fmt: str = "text", path: str | Non
               .option("subscribe", topic)
               .option("startingOffsets", "latest")
               .options(**(options or {})))
-        # the record offset rides along as the optional 5th field: the arrival
-        # sequence used as the tie-break after the event timestamp
-        return rs.load().select(line_with_offset(F.col("value").cast("string"), F.col("offset")).alias("value"))
+        return rs.load().select(F.col("value").cast("string").alias("value"), "partition", "offset")
     rs = rs.format(fmt).options(**(options or {}))
     df = rs.load(path)
-    return df.select(F.col("value").cast("string").alias("value"))
+    return df.select(F.col("value").cast("string").alias("value"), F.lit(None).cast("int").alias("partition"),
+                     F.lit(None).cast("bigint").alias("offset"))
 
 
 def emit_rating_events(ratings: DataFrame, prefix: str = RATING_PREFIX) -> DataFrame:

@@ -1,12 +1,34 @@
-"""Rating event parsing (P1, P2) — identical in batch and in micro-batches."""
+"""Rating event parsing (P1, P2) — identical in batch and in micro-batches.
+
+A line is split once: the typed fields come out of one generator, so that neither the filter nor
+any field repeats the prefix search and the split."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.functions import normalise_epoch, strip_rating_prefix
 
+FIELDS = ("userId", "productId", "score", "timestamp")
+
+
+def typed_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """Every line with the typed ``FIELDS`` (null where a number is bad or missing), ``fifth`` (the optional
+    fifth field as a long), ``n_fields`` and ``valid`` (four fields or more, all numbers, the score no NaN)."""
+    def fields(a: Column) -> Column:
+        def field(i: int, t: str) -> Column:
+            return F.trim(F.get(a, F.lit(i))).try_cast(t)
+
+        user, product, score, when = field(0, "int"), field(1, "int"), field(2, "double"), field(3, "bigint")
+        valid = (F.size(a) >= 4) & user.isNotNull() & product.isNotNull() & score.isNotNull() & ~F.isnan(score) & when.isNotNull()
+        return F.struct(user.alias("userId"), product.alias("productId"), score.alias("score"),
+                        normalise_epoch(when).alias("timestamp"), field(4, "bigint").alias("fifth"),
+                        F.size(a).alias("n_fields"), F.coalesce(valid, F.lit(False)).alias("valid"))
+
+    attr = F.split(strip_rating_prefix(F.col(col).cast("string")), r"\|")
+    return lines.select("*", F.inline(F.transform(F.array(attr), fields)))
+
 
 def parse_rating_events(lines: DataFrame, col: str = "value") -> DataFrame:
     """P1 + P2: strip the optional log prefix, split on '|', keep lines with at
@@ -15,37 +37,18 @@ def parse_rating_events(lines: DataFrame, col: str = "value") -> DataFrame:
     brought to seconds (Q1). Other columns (e.g. an
     arrival ``seq``) are carried."""
     keep = [c for c in lines.columns if c != col]
-    attr = F.split(strip_rating_prefix(F.col(col).cast("string")), r"\|")
-    parts = lines.select(*keep, attr.alias("_attr")).filter(F.size("_attr") >= 4)
-
-    def field(i, t):
-        return F.expr(f"try_cast(trim(_attr[{i}]) AS {t})")
-
-    return parts.select(*keep,
-                        field(0, "INT").alias("userId"),
-                        field(1, "INT").alias("productId"),
-                        field(2, "DOUBLE").alias("score"),
-                        normalise_epoch(field(3, "BIGINT")).alias("timestamp"))
+    return typed_lines(lines, col).where("n_fields >= 4").select(*keep, *FIELDS)
 
 
 def valid_rating_events(parsed: DataFrame) -> DataFrame:
     """Rows whose four fields all parsed to numbers (a NaN score is none): the exact
     complement of ``rejected_rating_lines``."""
     ok = ~F.isnan("score")
-    for c in ("userId", "productId", "score", "timestamp"):
+    for c in FIELDS:
         ok = ok & F.col(c).isNotNull()
     return parsed.where(ok)
 
 
 def rejected_rating_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """Lines that do not give a full rating: too few fields or a bad number (NaN included)."""
-    attr = F.split(strip_rating_prefix(F.col(col).cast("string")), r"\|")
-
-    def ok(i, t):
-        return F.expr(f"try_cast(trim(_attr[{i}]) AS {t})").isNotNull()
-
-    t = lines.withColumn("_attr", attr)
-    score = F.expr("try_cast(trim(_attr[2]) AS DOUBLE)")
-    good = F.when(F.size("_attr") >= 4, ok(0, "INT") & ok(1, "INT") & score.isNotNull() & ~F.isnan(score)
-                  & ok(3, "BIGINT"))
-    return t.filter(~F.coalesce(good, F.lit(False))).drop("_attr")
+    return typed_lines(lines, col).where("not valid").select(*lines.columns)

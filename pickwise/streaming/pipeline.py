@@ -1,18 +1,16 @@
 """Online re-ranking with Structured Streaming.
 
-Rating lines arrive on a stream (Kafka, or a directory of text files):
-
-1. parse (P1/P2); malformed lines go to a rejects table (a second query,
-   file sink);
-2. each event is joined, one row to one row, with its product's neighbour
-   list (static nested table, re-read by the planner every trigger);
-3. ``applyInPandasWithState`` keyed by user keeps the user's recent-ratings
-   queue (newest 40) and rated-product set, and emits only what scoring
-   needs: the 20 best unrated neighbours of the newest event and the 21
-   newest ratings. No history table is read: per-trigger work grows with
-   the batch, not with the history;
-4. ``foreachBatch`` joins candidates x recents x edges, scores (SP) and writes
-   the users' new lists; an empty list replaces the old one (Q6).
+Rating lines arrive on a stream (Kafka, or a directory of text files). One query reads them, so one
+checkpoint holds one set of start offsets, and every line goes to exactly one side:
+
+1. the lines are typed (P1/P2); malformed ones become ``reject`` rows of the same micro-batch;
+2. ``applyInPandasWithState`` keyed by user keeps the user's recent-ratings queue (newest 40) and
+   rated-product set and gives one row per user with new events: the newest event's product, the 21 newest ratings,
+   and the rated set. No history table is read: per-trigger work grows with the batch, not with the history;
+3. ``foreachBatch`` resolves the model version in use (a model published between two triggers serves the
+   second one), reads of its neighbour lists only the buckets of the products asked for, takes the 20 best unrated
+   neighbours inside the row, scores them against the recent ratings inside the row (SP), and writes the users' new
+   lists; an empty list replaces the old one (Q6). Rejects and the batch's counts (A10) are written beside them.
 
 Every write goes to ``<table>/batch_id=<id>`` in overwrite mode, so a batch
 replayed after a failure rewrites the same files (idempotent sink); readers
@@ -22,6 +20,7 @@ the query checkpoint (the shared folder on a cluster).
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,258 +30,234 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pickwise.functions import strip_rating_prefix
-from pickwise.operators.joins import checked_broadcast
-from pickwise.operators.priority import stream_recs_table
-from pickwise.schemas import MAX_SIM_PRODUCTS_NUM, RATING_QUEUE_SIZE, RECENT_ROWS
-from pickwise.streaming.parse import parse_rating_events, rejected_rating_lines, valid_rating_events
+from pickwise.operators.priority import candidates_in_row, score_in_row, stream_recs_table
+from pickwise.schemas import MAX_SIM_PRODUCTS_NUM, RATING_QUEUE_SIZE, RECENT_ROWS, RECS
+from pickwise.sources.keyed import KeyedTable
+from pickwise.sources.upsert import DELTA, UpsertLog
+from pickwise.sources.versions import VERSIONS, current_version
+from pickwise.streaming.parse import typed_lines
 
 HISTORY_COLS = ["userId", "productId", "score", "timestamp", "seq"]
 
 
+#: Measured bytes of a micro-batch's users up to which their side of the list joins is broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
 @dataclass
 class OnlinePaths:
-    edges: str          # parquet: productId, simProductId, score  (exploded similarity edges)
-    lists: str          # parquet: productId, recs ARRAY<STRUCT<productId, score>> (the same edges, nested)
-    recs: str           # parquet, partitioned by batch_id: userId, recs
-    rejects: str        # parquet (file sink): value
+    lists: str          # versioned table (sources.versions) of keyed neighbour lists: productId, recs
+    recs: str           # log of lists (sources.upsert), a delta per batch: userId, recs
+    rejects: str        # parquet, partitioned by batch_id: value, partition, offset
+    metrics: str        # parquet, partitioned by batch_id: query, rows, valid, rejected, users, model, ms
+
+
+class ModelLists:
+    """The neighbour lists of the version in use; a version's files are listed once, when it is first seen."""
+
+    def __init__(self, spark: SparkSession, table: str):
+        self.spark, self.table = spark, table
+        self.version: str | None = None
+        self.lists: KeyedTable | None = None
+
+    def resolve(self) -> KeyedTable:
+        version = current_version(self.spark, self.table)
+        if version != self.version:
+            self.lists = KeyedTable(self.spark, f"{self.table}/{VERSIONS}/{version}", "productId")
+            self.version = version
+        return self.lists
+
+
+def source_lines(lines: DataFrame) -> DataFrame:
+    """value, partition, offset: the two null where the source has no such columns."""
+    return lines.select("value", *[(F.col(c) if c in lines.columns else F.lit(None)).cast(t).alias(c)
+                                   for c, t in (("partition", "int"), ("offset", "bigint"))])
 
 
 def parse_stream_lines(lines: DataFrame) -> DataFrame:
-    """Lines -> typed ratings; an optional 5th field is the arrival sequence
-    (e.g. a Kafka offset) used as the tie-break after timestamp."""
-    fifth = F.try_element_at(F.split(strip_rating_prefix("value"), r"\|"), F.lit(5))
-    with_seq = lines.select("value").withColumn("_seq", F.trim(fifth).try_cast("bigint"))
-    parsed = parse_rating_events(with_seq)
-    return parsed.select("userId", "productId", "score", "timestamp",
-                         F.coalesce(F.col("_seq"), F.lit(0).cast("bigint")).alias("seq"))
+    """Typed ratings and rejects of the lines: a fifth field, else the source's offset, is the arrival sequence used
+    as the tie-break after timestamp. Offsets count within their partition only; events of one user are in one
+    order if the producer keys its records by user. Otherwise equal timestamps and offsets are told apart by
+    partition number, which is fixed but says nothing about time."""
+    typed = typed_lines(source_lines(lines))
+    return typed.withColumn("seq", F.coalesce("fifth", "offset", F.lit(0).cast("bigint"))).withColumn(
+        "part", F.coalesce("partition", F.lit(0)))
 
 
 def _write_batch(df: DataFrame, root: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch_id={batch_id}")
 
 
-def _snapshots(spark: SparkSession, root: str) -> list[int]:
-    """Batch ids covered by the compacted snapshots under ``<root>_snapshots``."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}_snapshots")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("upto=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
+def stream_recs_log(spark: SparkSession, root: str) -> UpsertLog:
+    """T5: the lists as a log of batches; of a user's lists the one of the latest batch counts."""
+    return UpsertLog(spark, root, keys=["userId"], latest={"recs": RECS}, order=["batch_id"], bucket_key="userId")
 
 
 def read_stream_recs(spark: SparkSession, root: str) -> DataFrame:
-    """T5 reader: the newest list per user (latest batch wins). When a
-    compacted snapshot exists, only the batches after it are read: the
-    ``batch_id > upto`` filter prunes the older partition directories."""
-    raw = spark.read.parquet(root)
-    snaps = _snapshots(spark, root)
-    if snaps:
-        upto = snaps[-1]
-        snap = (spark.read.parquet(f"{root.rstrip('/')}_snapshots/upto={upto}")
-                .withColumn("batch_id", F.lit(upto).cast("long")))
-        raw = snap.unionByName(raw.filter(F.col("batch_id") > upto).select("userId", "recs", "batch_id"))
-    return raw.groupBy("userId").agg(F.max_by("recs", "batch_id").alias("recs"))
+    """The newest list per user: the compacted lists, and the batches since."""
+    return stream_recs_log(spark, root).read().select("userId", "recs")
 
 
 def compact_stream_recs(spark: SparkSession, root: str) -> int:
-    """Write the resolved lists as ``<root>_snapshots/upto=<last batch>``; later
-    reads skip every batch directory up to it. Safe next to a running stream:
-    it reads finished batch directories and the previous snapshot, and writes
-    a new snapshot path (never one it reads). Returns the batch id covered."""
-    batches = spark.read.parquet(root).select("userId", "recs", "batch_id")
-    upto = batches.agg(F.max("batch_id")).first()[0]
-    snaps = _snapshots(spark, root)
-    if upto is None or (snaps and upto <= snaps[-1]):
-        return snaps[-1] if snaps else -1
-    part = batches.filter(F.col("batch_id") <= upto)
-    if snaps:
-        last = snaps[-1]
-        prev = (spark.read.parquet(f"{root.rstrip('/')}_snapshots/upto={last}")
-                .withColumn("batch_id", F.lit(last).cast("long")))
-        part = prev.unionByName(part.filter(F.col("batch_id") > last))
-    table = part.groupBy("userId").agg(F.max_by("recs", "batch_id").alias("recs"))
-    table.write.mode("overwrite").parquet(f"{root.rstrip('/')}_snapshots/upto={upto}")
-    return int(upto)
+    """Fold the batches written since the last compaction into the lists (only the buckets of their users are
+    rewritten) and delete what no reader of the last two states needs. Safe next to a running stream. Returns
+    how many batches were folded."""
+    log = stream_recs_log(spark, root)
+    folded = log.compact()
+    if folded:
+        log.retire(drop_deltas=True)
+    return folded
 
 
 # --- keyed state: recent queue + rated set per user ------------------------------
 
 ONLINE_OUT = T.StructType([
     T.StructField("userId", T.IntegerType()),
-    T.StructField("kind", T.StringType()),          # 'user' marker, 'cand' candidate, 'recent' rating
-    T.StructField("productId", T.IntegerType()),
-    T.StructField("score", T.DoubleType()),        # sim for 'cand', rating score for 'recent'
-    T.StructField("rank", T.IntegerType()),
+    T.StructField("n_events", T.LongType()),
+    T.StructField("productId", T.IntegerType()),                    # of the newest event of this trigger
+    T.StructField("recentProducts", T.ArrayType(T.IntegerType())),  # newest first (<= 21), repeats count
+    T.StructField("recentScores", T.ArrayType(T.DoubleType())),
+    T.StructField("rated", T.ArrayType(T.IntegerType())),           # sorted
 ])
 ONLINE_STATE = T.StructType([
     T.StructField("qProduct", T.ArrayType(T.IntegerType())),   # recent queue, newest first (<= 40)
     T.StructField("qScore", T.ArrayType(T.DoubleType())),
     T.StructField("qTimestamp", T.ArrayType(T.LongType())),
     T.StructField("qSeq", T.ArrayType(T.LongType())),
+    T.StructField("qPart", T.ArrayType(T.IntegerType())),
     T.StructField("rated", T.ArrayType(T.IntegerType())),     # every product the user rated, sorted
 ])
+QUEUE_TYPES = (np.int64, np.float64, np.int64, np.int64, np.int64)
 
 
-def _online_update(key, pdfs, state, k: int = MAX_SIM_PRODUCTS_NUM, recent_k: int = RECENT_ROWS,
-                   cap: int = RATING_QUEUE_SIZE):
-    """One user's new events -> updated (queue, rated set) and the rows the
-    scoring step needs: the 20 best unrated neighbours of the newest event,
-    the 21 newest queued ratings, and a marker row (productId -1: an empty
-    list still replaces the old one, Q6).
+def _online_update(key, pdfs, state, recent_k: int = RECENT_ROWS, cap: int = RATING_QUEUE_SIZE):
+    """One user's new events -> updated (queue, rated set) and one row: how many events, the newest
+    event's product, the 21 newest queued ratings, the rated set.
 
-    Vectorised with NumPy; only the newest event's neighbour list (two
-    primitive arrays) is looked at. The user's rows arrive as Arrow batches and
-    are folded in one batch at a time, so memory holds one batch plus the
-    <= cap queue and the rated set, however many events a hot user has in the
-    trigger. Queue order is (timestamp, seq) newest first, ties by arrival
+    Vectorised with NumPy. The user's rows arrive as Arrow batches and are folded in one batch at a time,
+    so memory holds one batch plus the <= cap queue and the rated set, however many events a hot user has in the
+    trigger. Queue order is (timestamp, seq, partition) newest first, ties by arrival
     position (later first), so the fold equals one sort over all rows. A
     replayed batch starts again from the state version before it (the state
     store commits per batch), so events are not de-duplicated here: a repeated
     rating counts again, as it should."""
     if state.exists:
         st = state.get
-        q = [np.asarray(st[i] or [], dtype=t) for i, t in enumerate((np.int64, np.float64, np.int64, np.int64))]
-        rated = np.asarray(st[4] or [], dtype=np.int64)
+        queue = [np.asarray(st[i] or [], dtype=t) for i, t in enumerate(QUEUE_TYPES)]
+        rated = np.asarray(st[5] or [], dtype=np.int64)
     else:
-        q = [np.empty(0, np.int64), np.empty(0, np.float64), np.empty(0, np.int64), np.empty(0, np.int64)]
+        queue = [np.empty(0, t) for t in QUEUE_TYPES]
         rated = np.empty(0, np.int64)
-    qp, qs, qt, qn = q
-    qpos = np.arange(len(qp), dtype=np.int64)      # arrival position: old state first, then events
-    base = len(qp)
-    newest, ids, sims = None, None, None
+    pos = np.arange(len(queue[0]), dtype=np.int64)      # arrival position: old state first, then events
+    base, n_events, newest, product = len(pos), 0, None, None
     for pdf in pdfs:
         live = pdf["live"].to_numpy() == 1
-        allpid = pdf["productId"].to_numpy(np.int64)
-        rated = np.union1d(rated, allpid)            # live events and stored history alike
+        all_products = pdf["productId"].to_numpy(np.int64)
+        rated = np.union1d(rated, all_products)          # live events and stored history alike
         if not live.any():
             continue
         ev = pdf[live]
-        pid, sc = allpid[live], ev["score"].to_numpy(np.float64)
-        ts, sq = ev["timestamp"].to_numpy(np.int64), ev["seq"].to_numpy(np.int64)
-        pos = base + np.arange(len(ev), dtype=np.int64)
+        n_events += len(ev)
+        new = [ev[c].to_numpy(t) for c, t in zip(("productId", "score", "timestamp", "seq", "part"), QUEUE_TYPES)]
+        new_pos = base + np.arange(len(ev), dtype=np.int64)
         base += len(ev)
-        qp, qs, qt, qn, qpos = (np.concatenate([qp, pid]), np.concatenate([qs, sc]), np.concatenate([qt, ts]),
-                                np.concatenate([qn, sq]), np.concatenate([qpos, pos]))
-        order = np.lexsort((qpos, qn, qt))[::-1][:cap]          # newest first
-        qp, qs, qt, qn, qpos = qp[order], qs[order], qt[order], qn[order], qpos[order]
-        j = int(np.lexsort((sq, ts))[-1])                       # newest of this batch, last on ties
-        if newest is None or (ts[j], sq[j]) >= newest:
-            newest = (ts[j], sq[j])
-            ids, sims = ev["nbr_ids"].iat[j], ev["nbr_sims"].iat[j]
-    state.update((qp.tolist(), qs.tolist(), qt.tolist(), qn.tolist(), rated.tolist()))
+        j = int(np.lexsort((new[4], new[3], new[2]))[-1])    # newest of this Arrow batch, last on ties
+        rank = (new[2][j], new[3][j], new[4][j])
+        if newest is None or rank >= newest:
+            newest, product = rank, int(new[0][j])
+        queue = [np.concatenate([a, b]) for a, b in zip(queue, new)]
+        pos = np.concatenate([pos, new_pos])
+        order = np.lexsort((pos, queue[4], queue[3], queue[2]))[::-1][:cap]          # newest first
+        queue, pos = [a[order] for a in queue], pos[order]
+    state.update((*[a.tolist() for a in queue], rated.tolist()))
     if newest is None:          # only history rows for this user in this trigger: nothing to score
         return
-    c_ids, c_sims = np.empty(0, np.int64), np.empty(0, np.float64)
-    if ids is not None and len(ids):
-        ids, sims = np.asarray(ids, dtype=np.int64), np.asarray(sims, dtype=np.float64)
-        keep = ~np.isin(ids, rated)
-        ids, sims = ids[keep], sims[keep]
-        top = np.lexsort((ids, -sims))[:k]
-        c_ids, c_sims = ids[top], sims[top]
-    nc, nr = len(c_ids), min(recent_k, len(qp))
-    yield pd.DataFrame({
-        "userId": np.full(1 + nc + nr, int(key[0]), dtype=np.int32),
-        "kind": ["user"] + ["cand"] * nc + ["recent"] * nr,
-        "productId": np.concatenate([[-1], c_ids, qp[:nr]]).astype(np.int32),
-        "score": np.concatenate([[0.0], c_sims, qs[:nr]]).astype(np.float64),
-        "rank": np.concatenate([[0], np.arange(1, nc + 1), np.arange(1, nr + 1)]).astype(np.int32),
-    })
+    yield pd.DataFrame({"userId": np.array([int(key[0])], np.int32), "n_events": np.array([n_events], np.int64),
+                        "productId": np.array([product], np.int32),
+                        "recentProducts": [queue[0][:recent_k].astype(np.int32)], "recentScores": [queue[1][:recent_k]],
+                        "rated": [rated.astype(np.int32)]})
 
 
-def online_candidates(events: DataFrame, lists: DataFrame, history: DataFrame | None = None) -> DataFrame:
-    """Streaming (userId, kind, productId, score, rank) rows per trigger for the
-    users with new events. ``lists`` is the static nested neighbour table; the
-    stream-static join is one row per event, the list carried as two
-    primitive arrays (cheap Arrow -> NumPy). ``history`` (a stream over the
+def online_rows(lines: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """Streaming rows of each trigger: ``kind`` 'user' (``ONLINE_OUT``) for the users with new events, and
+    'reject' (value, partition, offset) for malformed lines. ``history`` (a stream over the
     stored ratings table) feeds each user's rated set, so candidates exclude
     products rated before the stream started, and those appended later."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
-    nb = lists.select("productId",
-                      F.transform("recs", lambda r: r["productId"]).alias("nbr_ids"),
-                      F.transform("recs", lambda r: r["score"]).alias("nbr_sims"))
-    live = (events.select(*HISTORY_COLS).join(nb, "productId", "left")
-            .withColumn("live", F.lit(1)))
-    rows = live
+    typed = parse_stream_lines(lines)
+    rows = typed.where("valid").select(*HISTORY_COLS, "part", F.lit(1).alias("live"))
     if history is not None:
-        arr_i, arr_d = T.ArrayType(T.IntegerType()), T.ArrayType(T.DoubleType())
         past = history.select(F.col("userId").cast("int"), F.col("productId").cast("int"),
                               F.col("score").cast("double"), F.col("timestamp").cast("bigint"),
-                              F.col("seq").cast("bigint"),
-                              F.lit(None).cast(arr_i).alias("nbr_ids"), F.lit(None).cast(arr_d).alias("nbr_sims"),
-                              F.lit(0).alias("live"))
-        rows = live.unionByName(past)
-    return (rows.groupBy("userId")
-            .applyInPandasWithState(_online_update, ONLINE_OUT, ONLINE_STATE, "update",
-                                    GroupStateTimeout.NoTimeout))
-
-
-def score_batch(rows: DataFrame, edges: DataFrame, edges_bound: int | None = None) -> DataFrame:
-    """T2 scoring of one micro-batch of state rows: hits -> priority -> lists."""
-    from pickwise.operators.priority import candidate_recent_pairs, hits, score_candidates
-    cand = rows.filter(F.col("kind") == "cand").select("userId", "productId", F.col("score").alias("sim"))
-    recent = rows.filter(F.col("kind") == "recent").select("userId", "productId", "score")
-    users = rows.filter(F.col("kind") == "user").select("userId")
-    prio = score_candidates(hits(candidate_recent_pairs(cand, recent), edges, edges_bound=edges_bound))
-    return stream_recs_table(prio, users)
-
-
-def process_ratings_batch(rows: DataFrame, batch_id: int, paths: OnlinePaths,
-                          edges_max_rows: int = 2_000_000) -> None:
-    """Score one micro-batch and write its users' lists to
-    ``recs/batch_id=<id>`` (overwrite: a replayed batch rewrites the same files).
-    The edges are re-read each batch, so a new nightly model is picked up (T4)."""
+                              F.col("seq").cast("bigint"), F.lit(0).alias("part"), F.lit(0).alias("live"))
+        rows = rows.unionByName(past)
+    users = (rows.groupBy("userId")
+             .applyInPandasWithState(_online_update, ONLINE_OUT, ONLINE_STATE, "update", GroupStateTimeout.NoTimeout)
+             .withColumn("kind", F.lit("user")))
+    rejects = typed.where("not valid").select(F.lit("reject").alias("kind"), "value", "partition", "offset")
+    return users.unionByName(rejects, allowMissingColumns=True)
+
+
+def process_ratings_batch(rows: DataFrame, batch_id: int, paths: OnlinePaths, model: ModelLists,
+                          query: str = "online") -> None:
+    """Score one micro-batch and write its users' lists, rejects and counts to
+    ``<table>/batch_id=<id>`` (overwrite: a replayed batch rewrites the same files, and counts once).
+    The model version is resolved here, once for the batch (T4)."""
+    started = time.time()
     spark = rows.sparkSession
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows, top = rows.persist(StorageLevel.MEMORY_AND_DISK), None
     try:
         # one full pass materialises every state partition once (a partial
         # action such as isEmpty would run the stateful stage twice)
-        if rows.count() == 0:
+        user = F.col("kind") == "user"
+        size = F.sum(F.when(user, 4 * F.size("rated") + 12 * F.size("recentProducts") + 64))
+        n_users, valid, rejected, bytes_ = rows.agg(
+            F.count_if(user), F.coalesce(F.sum("n_events"), F.lit(0)), F.count_if(~user), F.coalesce(size, F.lit(0))).first()
+        if not n_users + rejected:
             return
-        edges = spark.read.parquet(paths.edges).select("productId", "simProductId", "score").persist()
-        edges_b, _ = checked_broadcast(edges, edges_max_rows)
-        _write_batch(score_batch(rows, edges_b), paths.recs, batch_id)
-        edges.unpersist()
+        if rejected:
+            _write_batch(rows.where(~user).select("value", "partition", "offset"), paths.rejects, batch_id)
+        if n_users:
+            # the batch's side of both list joins is measured; a candidate row carries the recent ratings, at most k a user
+            small = bytes_ + n_users * MAX_SIM_PRODUCTS_NUM * (12 * RECENT_ROWS + 64) <= BROADCAST_BYTES
+            users, lists = rows.where(user), model.resolve()
+            asked = users.select("userId", "productId", "recentProducts", "recentScores", "rated")
+            top = candidates_in_row(F.broadcast(asked) if small else asked,
+                                    lists.part(lists.touched(users))).persist(StorageLevel.MEMORY_AND_DISK)
+            own = lists.part(lists.touched(top.select(F.explode("candidates.productId").alias("productId"))))
+            prio = score_in_row(F.broadcast(top) if small else top, own)
+            _write_batch(stream_recs_table(prio, users), f"{paths.recs}/{DELTA}", batch_id)
+        counts = [(query, valid + rejected, valid, rejected, n_users, model.version, int(1000 * (time.time() - started)))]
+        _write_batch(spark.createDataFrame(counts, METRICS_SCHEMA).coalesce(1), paths.metrics, batch_id)
     finally:
+        if top is not None:
+            top.unpersist()
         rows.unpersist()
 
 
+METRICS_SCHEMA = "query string, rows long, valid long, rejected long, users long, model string, ms long"
 RATING_LOG_SCHEMA = "userId int, productId int, score double, timestamp bigint, seq bigint"
 
 
 def rating_stream_query(lines: DataFrame, paths: OnlinePaths, checkpoint: str,
                         trigger: dict | None = None, query_name: str | None = None,
                         history_path: str | None = None):
-    """Two queries over the rating lines, both checkpointed:
-    the re-ranking query (parse -> keyed state -> foreachBatch scoring) and a
-    rejects query (file sink, exactly once). With ``history_path`` (the stored
+    """One checkpointed query over the rating lines: typing, keyed state, and a foreachBatch that writes lists,
+    rejects and counts. With ``history_path`` (the stored
     ratings table) every user's rated set also covers past ratings. Default trigger: 2 seconds;
-    tests pass ``{"availableNow": True}``. Returns (main, rejects)."""
+    tests pass ``{"availableNow": True}``."""
     spark = lines.sparkSession
-    trig = trigger or {"processingTime": "2 seconds"}
-    events = valid_rating_events(parse_stream_lines(lines))
-    history = None
-    if history_path:
-        history = spark.readStream.schema(RATING_LOG_SCHEMA).parquet(history_path)
-    rows = online_candidates(events, spark.read.parquet(paths.lists), history)
-    main = (rows.writeStream.outputMode("update")
-            .foreachBatch(lambda df, bid: process_ratings_batch(df, bid, paths))
+    history = spark.readStream.schema(RATING_LOG_SCHEMA).parquet(history_path) if history_path else None
+    model = ModelLists(spark, paths.lists)
+    name = query_name or "online"
+    main = (online_rows(lines, history).writeStream.outputMode("update")
+            .foreachBatch(lambda df, bid: process_ratings_batch(df, bid, paths, model, name))
             .option("checkpointLocation", f"{checkpoint.rstrip('/')}/main")
-            .trigger(**trig))
+            .trigger(**(trigger or {"processingTime": "2 seconds"})))
     if query_name:
         main = main.queryName(query_name)
-    rejects = (rejected_rating_lines(lines.select("value")).writeStream.format("parquet")
-               .option("path", paths.rejects)
-               .option("checkpointLocation", f"{checkpoint.rstrip('/')}/rejects")
-               .trigger(**trig))
-    return main.start(), rejects.start()
+    return main.start()
 
 
 # --- T3: per-user bounded recent-ratings queue as keyed state ---------------------

@@ -6,6 +6,7 @@ from conftest import SF_SMALL
 from pickwise.operators import ranking, similarity, stats
 from pickwise.plans import jobs
 from pickwise.sources import fixtures as fx
+from pickwise.sources.keyed import current_keyed
 
 
 def _write_inputs(spark, tmp):
@@ -25,7 +26,9 @@ def test_load_stats_itemcf_offline_content(spark, tmpdir_path):
     root = f"{tmpdir_path}/tables"
     jobs.load_job(spark, f"{tmpdir_path}/products", f"{tmpdir_path}/ratings", root)
     assert spark.read.parquet(jobs.path(root, "products")).count() == p.count()
-    assert spark.read.parquet(jobs.path(root, "ratings")).count() == r2.count()
+    assert spark.read.parquet(jobs.path(root, "ratings") + "/delta").count() == r2.count()
+    for table in ("products", "ratings"):
+        assert spark.read.parquet(jobs.path(root, table) + "_rejects").count() == 0
 
     jobs.stats_job(spark, root)
     got = {r["productId"]: r["count"] for r in spark.read.parquet(jobs.path(root, "rate_more")).collect()}
@@ -37,20 +40,18 @@ def test_load_stats_itemcf_offline_content(spark, tmpdir_path):
     assert "yearmonth" in months.columns and months.count() > 0
 
     jobs.itemcf_job(spark, root)
-    edges = {(r["productId"], r["simProductId"]) for r in
-             spark.read.parquet(jobs.path(root, "itemcf") + "_edges").collect()}
-    assert edges == {(r["productId"], r["simProductId"]) for r in similarity.item_cf_edges(r2).collect()}
-    nested = spark.read.parquet(jobs.path(root, "itemcf"))
-    assert nested.select(F.sum(F.size("recs"))).first()[0] == len(edges)
+    nested = current_keyed(spark, jobs.path(root, "itemcf"), "productId").all()
+    listed = nested.select("productId", F.explode("recs.productId").alias("simProductId")).collect()
+    assert {tuple(r) for r in listed} == {(r["productId"], r["simProductId"]) for r in similarity.item_cf_edges(r2).collect()}
 
     jobs.offline_job(spark, root)
     ur = spark.read.parquet(jobs.path(root, "user_recs")).collect()
     assert ur and all(0 < len(r["recs"]) <= 20 for r in ur)
-    pr = spark.read.parquet(jobs.path(root, "product_recs")).collect()
+    pr = current_keyed(spark, jobs.path(root, "product_recs"), "productId").all().collect()
     assert all(e["score"] > 0.4 for r in pr for e in r["recs"])
 
     jobs.content_job(spark, root)
-    cb = spark.read.parquet(jobs.path(root, "content")).collect()
+    cb = current_keyed(spark, jobs.path(root, "content"), "productId").all().collect()
     assert all(e["productId"] != r["productId"] for r in cb for e in r["recs"])
 
     # write side: register the customers, rate with the event stream's requests,
@@ -60,19 +61,30 @@ def test_load_stats_itemcf_offline_content(spark, tmpdir_path):
     assert jobs.register_job(spark, root, users.select("username"), 1700000001) == 0
     raw = fx.rating_events_raw(spark, SF_SMALL)
     requests = raw.join(users, "userId").select("username", "productId", "rawScore", "timestamp", "seq")
-    jobs.rate_job(spark, root, requests)
+    name = jobs.rate_job(spark, root, requests)
+    assert jobs.rate_job(spark, root, requests, request=name) == name      # run again: nothing doubles
     current = jobs.current_ratings(spark, root)
+    assert spark.read.parquet(jobs.path(root, "ratings") + "/delta").count() == r2.count() + requests.count()
     n_pairs = r2.select("userId", "productId").distinct().count()
     assert current.count() == 2 * n_pairs          # loaded ids + the hash ids of the registered names
-    main_q, rej_q = jobs.online_job(spark, root, source_dir=jobs.path(root, "rating_events"),
-                                    checkpoint=f"{tmpdir_path}/ockpt", trigger={"availableNow": True})
-    main_q.awaitTermination(300)
-    rej_q.awaitTermination(300)
-    assert main_q.exception() is None
+    query = jobs.online_job(spark, root, source_dir=jobs.path(root, "rating_events"),
+                            checkpoint=f"{tmpdir_path}/ockpt", trigger={"availableNow": True})
+    query.awaitTermination(300)
+    assert query.exception() is None
     from pickwise.streaming.pipeline import read_stream_recs
     recs = read_stream_recs(spark, jobs.path(root, "stream_recs"))
     assert recs.count() == r2.select("userId").distinct().count()
 
+    # compaction leaves both logs' contents as they are
+    before = sorted(tuple(r) for r in jobs.current_ratings(spark, root).collect())
+    lists = sorted((r["userId"], str(r["recs"])) for r in recs.collect())
+    folded = jobs.compact_job(spark, root)
+    assert folded["ratings"] == 2 and folded["stream_recs"] >= 1
+    assert sorted(tuple(r) for r in jobs.current_ratings(spark, root).collect()) == before
+    again = read_stream_recs(spark, jobs.path(root, "stream_recs"))
+    assert sorted((r["userId"], str(r["recs"])) for r in again.collect()) == lists
+    assert jobs.compact_job(spark, root) == {"ratings": 0, "stream_recs": 0}
+
     # read side over the stored tables
     from pickwise.plans import reads
     jobs.stats_job(spark, root)

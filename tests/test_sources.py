@@ -63,11 +63,12 @@ def test_emit_then_extract(spark):
 
 
 def test_offset_is_no_field(spark):
-    rows = [("1|2|3.0|9", 17), ("1|2|3.0", 18), ("1|2|3.0|9|x", 19)]
-    df = spark.createDataFrame(rows, "value string, offset long")
-    lines = df.select(io.line_with_offset(df["value"], df["offset"]).alias("value"))
-    assert [r[0] for r in lines.collect()] == ["1|2|3.0|9|17", "1|2|3.0", "1|2|3.0|9|19"]
-    assert [r["value"] for r in rejected_rating_lines(lines).collect()] == ["1|2|3.0"]
+    """The offset is a column of its own: it never makes a short line whole, and gives way to a fifth field."""
+    from pickwise.streaming.pipeline import parse_stream_lines
+    rows = [("1|2|3.0|9", 0, 17), ("1|2|3.0", 1, 18), ("1|2|3.0|9|5", 1, 19), (None, 0, 20)]
+    typed = parse_stream_lines(spark.createDataFrame(rows, "value string, partition int, offset long"))
+    assert sorted((r["valid"], r["seq"], r["part"]) for r in typed.collect()) == [
+        (False, 18, 1), (False, 20, 0), (True, 5, 1), (True, 17, 0)]
 
 
 def test_stream_checkpoint_path_is_fixed():
