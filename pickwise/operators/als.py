@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pickwise.operators.inner_product import top_inner_products
 from pickwise.operators.stats import rmse
 from pickwise.schemas import (ALS_MAX_ITER, ALS_RANK, ALS_REG, GRID_RANKS, GRID_REGS, SEED,
                               TRAIN_FRACTION, USER_MAX_RECOMMENDATION)
@@ -50,16 +51,11 @@ def als_predict_pairs(model, pairs: DataFrame) -> DataFrame:
 
 
 def user_recs(model, k: int = USER_MAX_RECOMMENDATION) -> DataFrame:
-    """M3: top-k predictions per user, only those > 0, users with none absent.
-    ``recommendForAllUsers`` is a blocked top-k over factor blocks, so the
-    |users| x |items| grid is never materialised."""
-    raw = model.recommendForAllUsers(k)
-    recs = F.filter(F.transform("recommendations",
-                                lambda r: F.struct(r["productId"].cast("int").alias("productId"),
-                                                   r["rating"].cast("double").alias("score"))),
-                    lambda r: r["score"] > 0)
-    return (raw.select(F.col("userId").cast("int").alias("userId"), recs.alias("recs"))
-            .filter(F.size("recs") > 0))
+    """M3: top-k predictions per user, only those > 0, users with none absent. Exact, by pruned inner
+    products: a user meets the item factors in blocks of falling norm until none left can reach the list."""
+    users = model.userFactors.select(F.col("id").alias("userId"), "features")
+    found = top_inner_products(users, item_factors(model), k, "userId", "productId")
+    return found.where(F.size("recs") > 0).select("userId", "recs")
 
 
 def item_factors(model) -> DataFrame:

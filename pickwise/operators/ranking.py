@@ -76,3 +76,11 @@ def top_n(df: DataFrame, n: int, order_cols: list) -> DataFrame:
     over the <= n kept rows."""
     kept = df.orderBy(*order_cols).limit(n)
     return kept.withColumn("rank", F.row_number().over(Window.orderBy(*order_cols)))
+
+
+def first_match(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """L4: one row per key, the first by ``order`` (ascending, nulls first; equal ones by their other columns): what a
+    store's "find one" returns, but the same one every time. An aggregate that combines map-side, no sort."""
+    rest = [c for c in df.columns if c != key and c not in order]
+    first = F.min(F.struct(*order, *rest)).alias("row")
+    return df.groupBy(key).agg(first).select(key, "row.*").select(*df.columns)

@@ -222,6 +222,40 @@ ORACLE: dict[str, str] = {
     "epoch_to_yearmonth": _w(R1) + f"SELECT DISTINCT \"timestamp\", {YM.format(t='\"timestamp\"')} AS yearmonth FROM r1",
     "rmse": _w(R1, AVG1) + """SELECT round(sqrt(avg((r.score - a.avg) * (r.score - a.avg))), 6) AS rmse
         FROM r1 r JOIN avg1 a USING (productId)""",
+    "load_products": _w(PRODUCTS, """lines AS (
+          SELECT CASE WHEN productId % 29 = 0 THEN '  ' WHEN productId % 23 = 0 THEN productId || '^' || name
+                      ELSE CASE WHEN productId % 17 = 0 THEN 'x' ELSE '' END || productId || '^ ' || name || ' ^1,2^B00^'
+                           || imageUrl || '^' || categories || '^' || tags END AS line FROM products),
+        parts AS (SELECT line, string_split(line, '^') AS a, TRY_CAST(trim(string_split(line, '^')[1]) AS INTEGER) AS id
+                  FROM lines)""") + """SELECT id AS productId,
+            CASE WHEN id IS NOT NULL THEN trim(coalesce(a[2], '')) END AS name,
+            CASE WHEN id IS NOT NULL THEN trim(coalesce(a[5], '')) END AS imageUrl,
+            CASE WHEN id IS NOT NULL THEN trim(coalesce(a[6], '')) END AS categories,
+            CASE WHEN id IS NOT NULL THEN trim(coalesce(a[7], '')) END AS tags,
+            CASE WHEN id IS NULL THEN line END AS line,
+            CASE WHEN id IS NULL THEN CASE WHEN trim(line) = '' THEN 'blank line' ELSE 'bad productId' END END AS reason
+        FROM parts""",
+    "load_ratings": _w(R2, """lines AS (
+          SELECT userId || ',' || productId || ',' || CASE WHEN seq % 13 = 0 THEN 'x' WHEN seq % 31 = 0 THEN 'NaN'
+                      ELSE CAST(score AS VARCHAR) END || CASE WHEN seq % 19 = 0 THEN ''
+                      ELSE ',' || CASE WHEN seq % 7 = 0 THEN "timestamp" * 1000 + 123 ELSE "timestamp" END END AS line,
+                 CASE WHEN seq % 19 = 0 THEN 'too few fields' WHEN seq % 13 = 0 OR seq % 31 = 0 THEN 'bad score' END AS reason,
+                 userId, productId, score, "timestamp" FROM r2)""") + """SELECT
+            CASE WHEN reason IS NULL THEN userId END AS userId, CASE WHEN reason IS NULL THEN productId END AS productId,
+            CASE WHEN reason IS NULL THEN score END AS score, CASE WHEN reason IS NULL THEN "timestamp" END AS "timestamp",
+            CASE WHEN reason IS NOT NULL THEN line END AS line, reason FROM lines""",
+    "top_inner_products": """WITH v AS (SELECT CAST(vec_id AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
+        s AS (SELECT a.id AS userId, b.id AS productId, round(list_dot_product(a.f, b.f), 10) AS s
+              FROM v a, v b WHERE a.id % 20 = 0)
+        SELECT userId, CAST(rk AS INTEGER) AS rank, productId, round(s, 6) AS score
+        FROM (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY s DESC, productId) AS rk FROM s WHERE s > 0)
+        WHERE rk <= 20""",
+    "search_products_by_index": _w(PRODUCTS, """patterns AS (SELECT unnest(['ring', '^s.*bolt$', 'red|gizmo', 'w[aeiou]dge',
+            'colou?r', 'old', 'e{2}n', 'a.l']) AS pattern)""") + """SELECT pattern, productId, name
+        FROM patterns, products WHERE regexp_matches(name, pattern)""",
+    "first_match": _w(R1) + """SELECT userId, productId, score, "timestamp" FROM (
+            SELECT *, row_number() OVER (PARTITION BY userId ORDER BY "timestamp", productId, score) AS rn FROM r1)
+        WHERE rn = 1""",
     "hot_products": _w(R1, ENRICHED) + f"""SELECT CAST(min(t.rk) AS INTEGER) AS rank, e.productId, e.name, e.imageUrl,
             e.categories, e.tags, round(e.score_raw, 6) AS score
         FROM (SELECT productId, row_number() OVER (ORDER BY yearmonth DESC, cnt DESC, productId) AS rk

@@ -16,15 +16,17 @@ from pickwise.functions import (cosine_expr, epoch_to_yearmonth, from_document,
                                 to_document)
 from pickwise.operators import als as als_ops
 from pickwise.operators import joins, priority, ranking, similarity, stats
-from pickwise.plans import serving
+from pickwise.operators.inner_product import top_inner_products
+from pickwise.plans import name_index, serving
 from pickwise.sources import fixtures as fx
-from pickwise.session import materialize
+from pickwise.session import materialize, scratch_path
 from pickwise.sources import io
 from pickwise.streaming.parse import parse_rating_events, valid_rating_events
 
 R6 = 6
 REGISTRATION_EPOCH = 1735689600      # registration time used by the register_users query
 SEARCH_QUERY = "ring"
+SEARCH_PATTERNS = ["ring", "^s.*bolt$", "red|gizmo", "w[aeiou]dge", "colou?r", "old", "e{2}n", "a.l"]
 
 
 def _r6(c):
@@ -211,6 +213,40 @@ def q_rate_products(spark, sf_dir):
     return serving.rate_products(req, u).select("seq", "userId", "productId", "score", "timestamp", "value")
 
 
+def q_load_products(spark, sf_dir):
+    """The products written as a delimited file, some lines spoilt by rule, and read back: every line as a
+    product or as a reject with its reason."""
+    pid = F.col("productId")
+    line = F.concat_ws("^", F.when(pid % 17 == 0, F.concat(F.lit("x"), pid)).otherwise(pid.cast("string")),
+                       F.concat(F.lit(" "), "name", F.lit(" ")), F.lit("1,2"), F.lit("B00"), "imageUrl", "categories", "tags")
+    short = F.concat_ws("^", pid.cast("string"), "name")
+    spoilt = F.when(pid % 29 == 0, F.lit("  ")).when(pid % 23 == 0, short).otherwise(line)
+    return _loaded(spark, fx.products(spark, sf_dir).select(spoilt.alias("value")), io.read_products)
+
+
+def q_load_ratings(spark, sf_dir):
+    """The ratings written as a delimited file, some lines spoilt by rule and some with milliseconds, and read
+    back: every line as a rating or as a reject with its reason."""
+    seq, ids = F.col("seq"), [F.col("userId").cast("string"), F.col("productId").cast("string")]
+    score = F.when(seq % 13 == 0, F.lit("x")).when(seq % 31 == 0, F.lit("NaN")).otherwise(F.col("score").cast("string"))
+    when = F.when(seq % 7 == 0, F.col("timestamp") * 1000 + 123).otherwise(F.col("timestamp")).cast("string")
+    spoilt = F.when(seq % 19 == 0, F.concat_ws(",", *ids, score)).otherwise(F.concat_ws(",", *ids, score, when))
+    return _loaded(spark, fx.ratings_r2(spark, sf_dir).select(spoilt.alias("value")), io.read_ratings)
+
+
+def _loaded(spark, lines, read):
+    path = scratch_path(spark, "load")
+    lines.write.text(path)
+    found = read(spark, path)
+    return io.accepted(found).unionByName(io.rejected(found).select("line", "reason"), allowMissingColumns=True)
+
+
+def q_first_match(spark, sf_dir):
+    """L4: every user's first rating."""
+    r1 = fx.ratings_r1(spark, sf_dir).select("userId", "productId", "score", "timestamp")
+    return ranking.first_match(r1, "userId", ["timestamp", "productId"])
+
+
 # --- item-CF, similarity lists ----------------------------------------------------
 
 def q_item_cf_recs(spark, sf_dir):
@@ -240,11 +276,10 @@ def q_explode_recs(spark, sf_dir):
 def q_similarity_map(spark, sf_dir):
     _, edges, _ = _edges_item_cf(spark, sf_dir)
     m = ranking.similarity_map(ranking.collect_recs_per_key(edges))
-    probe = m.select("productId", F.explode("sims").alias("simProductId", "score"))
-    # look each neighbour up through the map again (try_element_at), as the online path does
-    looked = probe.join(m, "productId").select(
-        "productId", "simProductId", F.try_element_at("sims", F.col("simProductId")).alias("score"))
-    return looked.select("productId", "simProductId", _r6("score"))
+    # each neighbour is looked up in its row's own map, as the online path does: no row meets another
+    looked = F.transform(F.map_keys("sims"), lambda k: F.struct(
+        k.alias("simProductId"), F.try_element_at("sims", k).alias("score")))
+    return m.select("productId", F.inline(looked)).select("productId", "simProductId", _r6("score"))
 
 
 def q_recs_to_products(spark, sf_dir):
@@ -282,6 +317,25 @@ def q_cosine_similarity(spark, sf_dir):
     return out.select("productId", "simProductId", F.round(cosine_expr("fa", "fb"), R6).alias("score"))
 
 
+def q_search_by_index(spark, sf_dir):
+    """P8 through the trigram index: several patterns (plain, anchored, alternatives, classes, without a literal)."""
+    root = scratch_path(spark, "name-index")
+    name_index.publish_name_index(spark, root, fx.products(spark, sf_dir))
+    found = [name_index.search(spark, root, p).select(F.lit(p).alias("pattern"), "productId", "name") for p in SEARCH_PATTERNS]
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def q_top_inner_products(spark, sf_dir):
+    """M3's search on given vectors: every twentieth vector against all, the 20 largest positive inner products."""
+    v = fx.item_vectors(spark, sf_dir)
+    asked = v.where(F.col("productId") % 20 == 0).withColumnRenamed("productId", "userId")
+    return ranking.explode_recs(top_inner_products(asked, v, 20, "userId", "productId").select("userId", "recs"), key="userId") \
+        .select("userId", "rank", "productId", _r6("score"))
+
+
 # --- content features -----------------------------------------------------------------
 
 def q_content_features(spark, sf_dir):
@@ -452,6 +506,9 @@ def q_best_params(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    # loaders
+    "load_products": q_load_products,
+    "load_ratings": q_load_ratings,
     # statistics
     "rate_more_products": q_rate_more_products,
     "rate_more_recently_products": q_rate_more_recently_products,
@@ -465,10 +522,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # top-N serving and lookups
     "hot_products": q_hot_products,
     "most_rated_products": q_most_rated_products,
+    "first_match": q_first_match,
     "enrich_product_score": q_enrich_product_score,
     "product_info": q_product_info,
     "product_documents": q_product_documents,
     "search_products_by_name": q_search_products_by_name,
+    "search_products_by_index": q_search_by_index,
     # ratings, events, users
     "normalise_rating_score": q_normalise_rating_score,
     "user_ratings": q_user_ratings,
@@ -493,6 +552,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "item_cf_products": q_item_cf_products,
     # dense vectors, content
     "product_recs": q_product_recs,
+    "top_inner_products": q_top_inner_products,
     "cosine_similarity": q_cosine_similarity,
     "content_features": q_content_features,
     "content_based_recs": q_content_based_recs,

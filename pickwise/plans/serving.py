@@ -6,32 +6,43 @@ DataFrame, and a batch of keys is joined once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pickwise.functions import java_string_hash, normalise_rating_score, rating_line
 from pickwise.functions import now_epoch as now_epoch_col
-from pickwise.operators.joins import enrich_product_score, mean_scores, recs_for_username, serve_products
+from pickwise.operators.joins import bounded_broadcast, enrich_product_score, mean_scores, recs_for_username
 from pickwise.operators.ranking import top_k_per_key, top_n
-from pickwise.operators.stats import rate_more_products, rate_more_recently_products
+from pickwise.operators.stats import rating_month_projection
 from pickwise.schemas import HOT_DEFAULT_NUM
 
 PRODUCT_COLS = ["productId", "name", "imageUrl", "categories", "tags", "score"]
 
 
+def _ranked_products(ranked: DataFrame, products: DataFrame, n: int) -> DataFrame:
+    """At most ``n`` ranked ids with their mean (productId, rank, avg) as product rows; the products scan is cut down
+    to them by the broadcast join."""
+    return (bounded_broadcast(ranked, n).join(products, "productId")
+            .withColumn("score", F.coalesce("avg", F.lit(0.0))).select("rank", *PRODUCT_COLS))
+
+
 def hot_products(ratings: DataFrame, products: DataFrame, n: int = HOT_DEFAULT_NUM) -> DataFrame:
     """L1: the n newest-month (product, month) rows by count; a product seen in
-    several of those rows keeps its best rank; enriched with the mean score."""
-    top = top_n(rate_more_recently_products(ratings), n,
-                [F.col("yearmonth").desc(), F.col("count").desc(), F.col("productId").asc()])
-    keys = top.groupBy("productId").agg(F.min("rank").alias("rank"))
-    return serve_products(keys, products, ratings, bound=n).select("rank", *PRODUCT_COLS)
+    several of those rows keeps its best rank; enriched with the mean score. The facts are
+    read once: a product's mean comes from its months' sums."""
+    months = (rating_month_projection(ratings).groupBy("yearmonth", "productId")
+              .agg(F.count("productId").alias("count"), F.sum("score").alias("s"), F.count("score").alias("m")))
+    whole = Window.partitionBy("productId")
+    with_mean = months.select("yearmonth", "productId", "count", (F.sum("s").over(whole) / F.sum("m").over(whole)).alias("avg"))
+    top = top_n(with_mean, n, [F.col("yearmonth").desc(), F.col("count").desc(), F.col("productId").asc()])
+    return _ranked_products(top.groupBy("productId").agg(F.min("rank").alias("rank"), F.first("avg").alias("avg")), products, n)
 
 
 def most_rated_products(ratings: DataFrame, products: DataFrame, n: int = HOT_DEFAULT_NUM) -> DataFrame:
-    """L2: the n most rated products, enriched."""
-    top = top_n(rate_more_products(ratings), n, [F.col("count").desc(), F.col("productId").asc()])
-    return serve_products(top.select("productId", "rank"), products, ratings, bound=n).select("rank", *PRODUCT_COLS)
+    """L2: the n most rated products, enriched; counts and means from one aggregate."""
+    counts = ratings.groupBy("productId").agg(F.count("productId").alias("count"), F.avg("score").alias("avg"))
+    top = top_n(counts, n, [F.col("count").desc(), F.col("productId").asc()])
+    return _ranked_products(top.select("productId", "rank", "avg"), products, n)
 
 
 def product_info(keys: DataFrame, products: DataFrame, ratings: DataFrame) -> DataFrame:

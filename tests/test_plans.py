@@ -38,7 +38,7 @@ def test_filters_pushed_to_parquet(spark):
     assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,3)]" in plan
 
 
-@pytest.mark.parametrize("key", ["recent_ratings_k", "top_k_candidates", "top_k_per_user"])
+@pytest.mark.parametrize("key", ["recent_ratings_k", "top_k_per_user"])
 def test_top_k_limits_before_shuffle(spark, key):
     """Top-k is a WindowGroupLimit; where an exchange feeds the window, a
     partial limit runs below it, so a hot key ships only k rows per map task."""
@@ -54,3 +54,25 @@ def test_top_k_limits_before_shuffle(spark, key):
 def test_top_n_is_take_ordered(spark):
     plan = _plan(E.queries()["most_rated_products"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in plan
+
+
+@pytest.mark.parametrize("key", ["top_k_candidates", "stream_priority"])
+def test_candidates_are_cut_inside_the_row(spark, key):
+    """No row per (user, neighbour): the top 20 are cut from the list in the projection of the join itself, so
+    neither a window nor an exchange of candidates before the cut is in the plan."""
+    plan = _plan(E.queries()[key](spark, SF_SMALL))
+    above = plan[:plan.index("array_except")]
+    if key == "top_k_candidates":
+        assert "Exchange hashpartitioning" not in above and "Window" not in plan
+    assert "LeftAnti" not in plan
+
+
+@pytest.mark.parametrize("key", ["hot_products", "most_rated_products"])
+def test_facts_are_read_once(spark, key):
+    plan = _plan(E.queries()[key](spark, SF_SMALL))
+    assert sum("FileScan" in ln and "lineitem" in ln for ln in plan.splitlines()) == (1 if "Initial Plan" not in plan else 2)
+
+
+def test_a_line_is_split_once(spark):
+    plan = _plan(E.queries()["valid_event_filter"](spark, SF_SMALL))
+    assert plan.count("split(") == 1
