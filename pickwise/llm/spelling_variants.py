@@ -4,13 +4,15 @@
 inserted, deleted or replaced code point:
 
 1. The bigrams of a word, with their positions, are ordered by rarity in the vocabulary. The first three are its
-   prefix (``EDITS`` * 2 + 1; with all further places of the third's bigram, so that equal bigrams can't fall on both
-   sides of the end).
+   prefix (``EDITS`` * 2 + 1), equal bigrams in the order of their positions; an edit may move a position by one, so the
+   third's bigram counts at the next position too, if it is there.
 2. Two disjoint bigrams of the prefix (``EDITS`` + 1) are its pivots: those that are rarest together, chosen by
    dynamic programming over the prefix in position order.
 3. One edit can't touch both pivots. Of two near words, the one whose prefix ends first in the order has
-   a pivot that the other has too, and then in its prefix. So pivots are joined with all prefixes, on the bigram, the
-   length and the position where one edit would leave it: the same, or moved along with the length.
+   a pivot that the other has too, and then in its prefix. The edit lies on one side of that pivot, so on the other
+   side the words are equal: pivots are joined with all prefixes on the word's beginning up to the bigram's end
+   (the position is then the same) or on its end from the bigram on (the position moves with the length), and
+   on the length, which is the same or one more or less.
 4. Candidates are compared by their edit distance, in the task that joins them.
 
 ``variants`` then gives each word the form it is probably a variant of: its most frequent near word, if ``RATIO``
@@ -18,7 +20,7 @@ times as frequent; and by pointer doubling the root at which the forms end (coun
 along them, so there is no circle and 27 steps are beyond any count).
 
 The table of bigrams has at most 90 x 90 rows (the alphabet is a-z and 64 letters) and is the only thing on the
-driver. Words meet by bigram, length and position; such a key with many words is dealt to several tasks.
+driver. Words meet by bigram, what is beside it, and length; such a key with many words is dealt to several tasks.
 
 Defined results: null, empty and wordless texts have no words; a null identifier reads as the
 empty string; repeated rows count each; words of any length are compared whole; equally frequent near words: the
@@ -117,8 +119,9 @@ def prefix_and_pivots(word: str, ranks: dict[str, int]) -> list[tuple[int, bool]
     """(position, is a pivot) of the word's prefix grams, in position order."""
     order = sorted(range(len(word) - GRAM + 1), key=lambda i: (ranks[word[i:i + GRAM]], i))
     size = EDITS * GRAM + 1
-    last = ranks[word[order[size - 1]:order[size - 1] + GRAM]]
-    places = sorted(i for i in order if ranks[word[i:i + GRAM]] <= last)
+    last = order[size - 1]
+    moved = [last + EDITS] if word[last + EDITS:last + EDITS + GRAM] == word[last:last + GRAM] else []
+    places = sorted({*order[:size], *moved})
     weights = [ranks[word[i:i + GRAM]] for i in places]
     # best[k][m]: least weight of k disjoint grams among the first m places, and the last of them
     best: list[list[tuple[int, int] | None]] = [[(0, -1)] * (len(places) + 1)]
@@ -158,15 +161,14 @@ def near_words(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n): both ways round, every pair of words (word, n) one edit apart."""
     grams = written(word_grams(words, gram_ranks(words)), "grams")
 
-    def key(length, pos):
-        return F.concat_ws(" ", "gram", length, pos)
-
-    # where one edit leaves a gram: (change of length, change of position)
-    moves = F.explode(F.array(*[F.struct(F.lit(a).alias("l"), F.lit(b).alias("p"))
-                                for a, b in ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1))]))
-    pivots = (grams.where("pivot").withColumn("m", moves)
-              .select("word", "n", key(F.col("length") + F.col("m.l"), F.col("pos") + F.col("m.p")).alias("key")))
-    index = grams.select(F.col("word").alias("near"), F.col("n").alias("near_n"), key(F.col("length"), F.col("pos")).alias("key"))
+    # the unchanged side of a gram; keys are hashes, which choose candidates alone
+    sides = F.explode(F.array(F.concat(F.lit("<"), F.substring("word", F.lit(1), F.col("pos") + GRAM)),
+                              F.concat(F.lit(">"), F.substring("word", F.col("pos") + 1, F.col("length")))))
+    sided = grams.withColumn("side", sides)
+    lengths = F.explode(F.array(*[F.col("length") + change for change in range(-EDITS, EDITS + 1)]))
+    pivots = (sided.where("pivot").withColumn("length", lengths)
+              .select("word", "n", F.xxhash64("side", "length").alias("key")))
+    index = sided.select(F.col("word").alias("near"), F.col("n").alias("near_n"), F.xxhash64("side", "length").alias("key"))
     pairs = salted_join(pivots, index, "key", ["word"]).where(
         (F.col("word") != F.col("near")) & (F.levenshtein("word", "near", EDITS) == EDITS))
     once = pairs.select(*[F.when(F.col("word") < F.col("near"), F.col(a)).otherwise(F.col(b)).alias(a) for a, b in (
