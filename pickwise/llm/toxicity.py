@@ -15,7 +15,7 @@ weights (half a MB a model). Every document's whole text is scored where it is r
 Defined results: a null, empty or blank text has no feature and gets the models' base
 rates; a label that is null leaves its row out of the training; without any labelled
 row, or where a category has one value only, that value (0 without rows) is its
-probability; with one value of the last category the threshold is ``THRESHOLD``; a probability equal to the
+probability; with few rows of one value of the last category the threshold is ``THRESHOLD``; a probability equal to the
 threshold is toxic; repeated rows are scored each, and train as one; an empty table gives an empty result;
 other columns are carried by ``drop_toxic`` under any name."""
 
@@ -41,7 +41,8 @@ MAX_LABELLED, MAX_IDS = 20_000, 1 << 25
 #: Characters of a word's beginning that are a feature beside the word.
 STEM = 5
 ITERATIONS, REGULARISATION = 30, 1e-4
-THRESHOLD = 0.5
+#: The last category's threshold where fewer than EVIDENCE training rows have one of its values.
+THRESHOLD, EVIDENCE = 0.5, 30
 #: Features worked on together in a fit.
 BLOCK_IDS = 1 << 20
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -215,7 +216,7 @@ def _fit_task(position: int, fold: int):
 
 def best_threshold(p: np.ndarray, labels: np.ndarray) -> float:
     """The probability from which on calling rows toxic finds most of the toxic and fewest of the others."""
-    if not 0 < labels.sum() < len(labels):
+    if min(labels.sum(), len(labels) - labels.sum()) < EVIDENCE:
         return THRESHOLD
     cuts, at = np.unique(p, return_inverse=True)
     toxic = np.bincount(at, labels, len(cuts))
