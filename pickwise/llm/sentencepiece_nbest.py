@@ -24,6 +24,7 @@ gives an empty result; other columns are ignored."""
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 
 BEST = 4
 META = "▁"
+#: A word with the meta spaces before it (those of the text itself included), or the last ones.
+WORD = re.compile(f"{META}*[^{META}]+|{META}+")
 #: A character outside the vocabulary scores this much below the lowest piece, per byte.
 UNKNOWN = 10.0
 #: Characters of the texts that are worked on together (one text alone may be longer).
@@ -140,6 +143,7 @@ class Lattice:
         self.unknown = min(real, default=0.0) - UNKNOWN
         self.longest = max(map(len, self.piece), default=1)
         self.spanned = {p[k:k + 2] for p in self.piece for k in range(len(p) - 1)}
+        self.tied = any(a != META and b == META for a, b in self.spanned)  # a piece across the end of a word
         self.table = PieceTable(list(self.piece), self.longest)
         self.piece_ids = np.array([i for i, _ in self.piece.values()] + [0], "<u4")
         self.piece_scores = np.array([s for _, s in self.piece.values()] + [NO])
@@ -272,9 +276,9 @@ class Lattice:
 
     def split(self, text: str) -> list[str]:
         """Units of a text."""
-        out = []
-        for word in words_with_space(text):
-            if len(word) <= UNIT_CHARS:
+        out, whole = [], META + text.replace(" ", META)  # a space before the text, spaces as meta spaces
+        for word in [whole] if self.tied else WORD.findall(whole):
+            if len(word) <= UNIT_CHARS and not self.tied:
                 out.append(word)
                 continue
             cuts = [0] + [k for k in range(1, len(word)) if word[k - 1:k + 1] not in self.spanned] + [len(word)]
@@ -331,20 +335,6 @@ class Lattice:
         return _gathered(self.id_bytes, self.id_start[ids], self.id_size[ids]).tobytes()
 
 
-def words_with_space(text: str) -> list[str]:
-    """A space before the text, spaces as meta spaces, cut before every run of them."""
-    if "  " not in text and text[0] != " " and text[-1] != " ":
-        return [META + w for w in text.split(" ")]
-    out: list[str] = []
-    gap = META  # the space before the text
-    for k, w in enumerate(text.split(" ")):
-        gap += META if k else ""
-        if w:
-            out.append(gap + w)
-            gap = ""
-    return out + [gap] if gap else out
-
-
 def n_best_picks(costs: list[list[float]], n: int) -> list[tuple[float, list[tuple[int, int]]]]:
     """The n cheapest choices of one path per part: (cost, [(part, path)] where it isn't the
     part's best). ``costs``: of each part's other paths, over its best."""
