@@ -48,19 +48,26 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: str, by: list[str], sizes: DataFrame | None = None) -> DataFrame:
-    """``left`` inner-joined with the smaller ``right`` on the column ``on``, where single keys may hold a large
-    share of ``left``. A key with more rows than an average partition is dealt to several by
+def hot_keys(sizes: DataFrame, on: str) -> DataFrame:
+    """(``on``, salts) of the keys with more rows than an average partition would have, from ``sizes`` (``on``, n): at
+    most as many as there are shuffle partitions. ``salts``: how many partitions a key's rows would fill."""
+    parts = shuffle_partitions(sizes.sparkSession)
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = sizes.where(F.col("n") * parts > total).select(on, F.ceil(F.col("n") * parts / total).cast("int").alias("salts"))
+    return sizes.sparkSession.createDataFrame(hot.collect(), hot.schema)
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: str, by: list[str], sizes: DataFrame | None = None,
+                how: str = "inner") -> DataFrame:
+    """``left`` joined (``how``: inner or left) with the smaller ``right`` on the column ``on``, where single keys may hold
+    a large share of ``left``. A key with more rows than an average partition is dealt to several by
     the hash of the columns ``by``, and its rows of ``right`` are copied to each. There are
     at most as many such keys as shuffle partitions, so their broadcast is bounded, and at most twice as many copies.
     ``sizes`` (``on``, n): rows of ``left`` for each key, where already counted."""
-    parts = shuffle_partitions(left.sparkSession)
     if sizes is None:
         sizes = left.groupBy(on).agg(F.count(F.lit(1)).alias("n"))
-    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    hot = sizes.where(F.col("n") * parts > total).select(on, F.ceil(F.col("n") * parts / total).cast("int").alias("salts"))
-    hot = F.broadcast(left.sparkSession.createDataFrame(hot.collect(), hot.schema))
+    hot = F.broadcast(hot_keys(sizes, on))
     salts = F.coalesce("salts", F.lit(1))
     dealt = left.join(hot, on, "left").withColumn("salt", F.pmod(F.xxhash64(*by), salts).cast("int")).drop("salts")
     copied = right.join(hot, on, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
-    return dealt.join(copied, [on, "salt"]).drop("salt")
+    return dealt.join(copied, [on, "salt"], how).drop("salt")

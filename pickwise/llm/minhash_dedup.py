@@ -44,8 +44,8 @@ TREES, TOKENS, NODE, AGREE = 12, 64, 64, 37
 BLOCK, BLOCK_SHINGLES = 4096, 1 << 22
 #: Rows of a tile, columns of an incidence matrix; up to FEW pairs of a tile are confirmed one by one.
 TILE, COLUMNS, FEW = 512, 4096, 2000
-#: A link needs PERCENT of the union in the intersection.
-WIDTH, PERCENT = 2, 80
+#: Words of a shingle; a link needs PERCENT of the union in the intersection.
+WIDTH, PERCENT = 5, 80
 #: Bits of the map of documents whose sets are needed: 512 KB whatever the corpus size.
 MAP_BITS = 1 << 22
 TEXTS_PER_CALL = 256

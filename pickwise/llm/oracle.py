@@ -8,12 +8,27 @@ _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQ
 
 ORACLE = {
     "op6_warc": """
-        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
-        d AS (SELECT page_id, strlen(h) AS n, sha1(h) AS s, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+        WITH p AS (SELECT page_id, coalesce(url, '') AS u, coalesce(html, '') AS h FROM pages),
+        d AS (SELECT page_id, h, replace(replace(u, chr(13), '%0D'), chr(10), '%0A') AS u, strlen(h) AS n, sha1(h) AS s,
+                     max(page_id) OVER (PARTITION BY h) AS last FROM p),
+        k AS (SELECT *, n < 1000 OR page_id = last AS whole, md5(coalesce(CAST(page_id AS VARCHAR), '')) AS a,
+                     md5(coalesce(CAST(last AS VARCHAR), '')) AS b, chr(13) || chr(10) AS nl FROM d),
+        f AS (SELECT *, 'HTTP/1.1 200 OK' || nl || 'Content-Type: text/html; charset=utf-8' || nl || 'Content-Length: ' || n
+                     || nl || nl AS http FROM k),
+        r AS (SELECT *, 'WARC/1.1' || nl || 'WARC-Type: ' || CASE WHEN whole THEN 'response' ELSE 'revisit' END || nl
+                || 'WARC-Record-ID: <urn:uuid:' || a[1:8] || '-' || a[9:12] || '-' || a[13:16] || '-' || a[17:20] || '-' || a[21:32]
+                || '>' || nl || 'WARC-Date: 2020-01-01T00:00:00Z' || nl || 'WARC-Target-URI: ' || u || nl
+                || 'Content-Type: application/http;msgtype=response' || nl || 'WARC-Payload-Digest: sha1:' || s || nl
+                || 'Content-Length: ' || (strlen(http) + CASE WHEN whole THEN n ELSE 0 END) || nl
+                || CASE WHEN whole THEN '' ELSE 'WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest' || nl
+                   || 'WARC-Refers-To: <urn:uuid:' || b[1:8] || '-' || b[9:12] || '-' || b[13:16] || '-' || b[17:20] || '-'
+                   || b[21:32] || '>' || nl END
+                || nl || http || CASE WHEN whole THEN h ELSE '' END || nl || nl AS record FROM f)
         SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, s AS payload_digest,
-               CASE WHEN n < 1000 OR page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
-               CASE WHEN n < 1000 OR page_id = last THEN NULL ELSE last END AS refers_to
-        FROM d""",
+               CASE WHEN whole THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN whole THEN NULL ELSE last END AS refers_to,
+               CAST(strlen(record) AS BIGINT) AS record_bytes, sha256(record) AS record_sha256
+        FROM r""",
     "op8_exact_dedup": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,

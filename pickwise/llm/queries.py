@@ -44,8 +44,8 @@ def q_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its component of near duplicates."""
-    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+    """Every document with its component of near duplicates, by the contract's two-word shingles."""
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), width=2)
 
 
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,11 +67,12 @@ def q_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page written to an archive and read back."""
+    """Every page written to an archive and read back; the digest is of the whole rebuilt record."""
     folder = scratch_path(spark, "warc")
     warc.write_archive(read_table(spark, sf_dir, "pages"), folder)
     return warc.read_archive(spark, folder).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+        F.octet_length("record").cast("long").alias("record_bytes"), F.sha2("record", 256).alias("record_sha256"))
 
 
 def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

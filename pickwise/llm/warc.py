@@ -1,9 +1,11 @@
 """WARC records in a content-addressed archive.
 
 An archive is two tables in one folder: ``payloads`` holds the bytes of every
-distinct payload once, under its SHA-256; ``headers`` holds each record's exact
+distinct payload once, under its SHA-256, in buckets of that digest; ``headers`` holds each record's exact
 WARC and HTTP header bytes, with the SHA-256 of the payload they go with. Reading
-joins the two and gives back the original records. The payload's digests are taken
+joins the two and gives back the original records: the headers go to the payloads' buckets, the payloads themselves stay
+where they are. Payloads that very many records share (at most one for each shuffle partition) are
+copied to several tasks instead, and their records dealt among those. The payload's digests are taken
 again from the stored bytes when they are read: a record whose payload no longer
 has its address, or whose header states another digest or length, raises.
 
@@ -18,9 +20,13 @@ give repeated records; an empty table gives an empty archive; other columns are
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pickwise.llm.common import hot_keys, salted_join, shuffle_partitions
+
 CRLF = "\r\n"
 REVISIT_FROM = 1000
 #: Fixed by the WARC 1.1 format.
@@ -43,13 +49,31 @@ def _one_line(url: Column) -> Column:
     return F.replace(F.replace(url, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
 
+def _table_name() -> str:
+    """A name for the catalog's entry of a bucketed folder; the entry lives as long as the session."""
+    return f"warc_payloads_{uuid.uuid4().hex}"
+
+
+def _payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """sha256, payload; known to lie in buckets, so that a join on the digest doesn't move it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/payloads")
+    (layout,) = [s.getPath() for s in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
+    name = _table_name()
+    spark.sql(f"CREATE TABLE {name} (sha256 BINARY, payload BINARY) USING parquet CLUSTERED BY (sha256) "
+              f"INTO {layout.getName().split('=')[1]} BUCKETS LOCATION '{layout}'")
+    return spark.table(name)
+
+
 def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url",
                   html_col: str = "html", date: str = "2020-01-01T00:00:00Z",
                   revisit_from: int = REVISIT_FROM) -> None:
     """Write one record per page to the archive ``folder``."""
     payload = F.encode(F.coalesce(html_col, F.lit("")), "utf-8")
+    spark = pages.sparkSession
+    buckets = shuffle_partitions(spark)  # as the aggregate's output lies: one file for each
     (pages.select(payload.alias("payload")).groupBy(F.unhex(F.sha2("payload", 256)).alias("sha256"))
-     .agg(F.first("payload").alias("payload")).write.parquet(f"{folder}/payloads"))
+     .agg(F.first("payload").alias("payload")).write.bucketBy(buckets, "sha256").option("compression", "zstd")
+     .option("path", f"{folder}/payloads/buckets={buckets}").saveAsTable(_table_name()))
     slim = pages.select(F.col(id_col).cast("long").alias("id"), _one_line(F.coalesce(url_col, F.lit(""))).alias("url"),
                         F.unhex(F.sha2(payload, 256)).alias("sha256"), F.sha1(payload).alias("sha1"),
                         F.octet_length(payload).cast("long").alias("n_bytes"))
@@ -82,13 +106,18 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     """Every record, rebuilt: (page_id, target_uri, record_type, refers_to, payload_bytes,
     payload_digest, payload, record). ``payload`` is the full payload also for a revisit,
     ``record`` the exact bytes of the WARC record, which for a revisit has none.
-    The digests are taken from the stored bytes in the scan of ``payloads``; a
-    query that doesn't ask for the bytes doesn't move them."""
-    stored = spark.read.parquet(f"{folder}/payloads").select(
-        F.col("sha256"), F.col("payload"), F.unhex(F.sha2("payload", 256)).alias("actual"),
-        F.sha1("payload").alias("payload_digest"), F.octet_length("payload").cast("long").alias("payload_bytes"))
+    The digests are taken from the stored bytes, for each record."""
+    payloads = _payloads(spark, folder)
     headers = spark.read.parquet(f"{folder}/headers").withColumnsRenamed({"id": "page_id"})
-    rows = headers.join(stored, "sha256", "left").withColumn("record_type", _field("warc_header", "WARC-Type"))
+    sizes = headers.groupBy("sha256").agg(F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(hot_keys(sizes, "sha256").select("sha256"))
+    few = headers.join(hot, "sha256", "left_anti").join(payloads, "sha256", "left")
+    many = salted_join(headers.join(hot, "sha256", "left_semi"), payloads.join(hot, "sha256", "left_semi"), "sha256",
+                       ["page_id", "warc_header"], sizes=sizes, how="left")
+    joined = few.unionByName(many).withColumns({
+        "actual": F.unhex(F.sha2("payload", 256)), "payload_digest": F.sha1("payload"),
+        "payload_bytes": F.octet_length("payload").cast("long")})
+    rows = joined.withColumn("record_type", _field("warc_header", "WARC-Type"))
     stated = _field("warc_header", "WARC-Payload-Digest")
     length = _field("warc_header", "Content-Length").cast("long")
     is_response = F.col("record_type") == "response"
