@@ -1,11 +1,15 @@
 """URL filters: fixed rules first, then a path-template tree per host.
 
-Every url is a path from its host down a tree of path segments. Top down, a segment
-becomes a wildcard when it looks like an identifier, or when its node has many
-children that are mostly seen once. Bottom up, a branch whose labelled pages don't differ
+Every url is a path from its host down a tree of path segments; what counts is different urls, so that pages seen
+again change nothing. Top down, a segment becomes a wildcard when it looks like an identifier, or when it is variable:
+its node has at least ``MIN_CHILDREN`` effective children (the inverse of the probability that two of
+the node's urls share their child, which doesn't shift when the node is seen more often), except children whose labelled
+urls differ significantly from those of the others. Bottom up, a branch whose labelled urls don't differ
 significantly from those of all branches beside it is merged into the wildcard there.
 What remains are templates such as ``host/en/*``; a template is rejected when the
-smoothed share of good pages among its labelled pages is below ``MIN_PURITY``.
+smoothed share of good urls among its labelled urls is below ``MIN_PURITY``. A url is labelled if one of its pages
+is, and good if all its labelled pages are. Levels that fewer than ``MIN_CHILDREN`` urls of any host reach are
+wildcards, so one very long url adds no level to the work.
 
 All of it is grouping and joining of distinct (host, path) rows: counts are
 pre-aggregated, so a host that holds a third of all urls is one row for each distinct
@@ -19,14 +23,14 @@ columns are ignored."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pickwise.llm.common import written
 
 #: Levels of the tree in one plan; deeper trees are written in between. No effect on results.
 LEVELS = 4
-MIN_CHILDREN, MAX_PAGES_PER_CHILD = 20, 2.0
+MIN_CHILDREN = 20
 #: Two-sided 95 % point of the normal distribution (fixed value).
 Z = 1.96
 SMOOTHING, MIN_PURITY = 10.0, 0.5
@@ -71,17 +75,41 @@ def _wild(segments: str, depth: int) -> Column:
     return F.transform(F.col(segments), lambda s, i: F.when(i == depth, F.lit("*")).otherwise(s))
 
 
+def _differs(good: Column, n: Column, all_good: Column, all_n: Column) -> Column:
+    """Whether a branch's share of good urls differs significantly from that of the others beside it."""
+    other_n = all_n - n
+    share, other = F.try_divide(good, n), F.try_divide(all_good - good, other_n)
+    p = F.try_divide(all_good, all_n)
+    error = F.sqrt(p * (1 - p) * (F.try_divide(F.lit(1.0), n) + F.try_divide(F.lit(1.0), other_n)))
+    return F.coalesce(F.abs(share - other) > Z * error, F.lit(False))
+
+
 def _generalise(nodes: DataFrame, depth: int) -> DataFrame:
-    """Wildcards at ``depth`` where a (host, prefix) has many children of few pages each."""
+    """Wildcards at ``depth`` below the variable nodes, but for the children that differ from the others."""
     prefix = F.slice("segs", 1, depth) if depth else F.array().cast("array<string>")
-    keyed = nodes.withColumn("prefix", prefix)
-    here = keyed.where(F.size("segs") > depth).where(_at("segs", depth) != "*")
-    children = here.groupBy("host", "prefix", _at("segs", depth).alias("child")).agg(F.sum("pages").alias("pages"))
-    variable = (children.groupBy("host", "prefix").agg(F.count(F.lit(1)).alias("n"), F.sum("pages").alias("all_pages"))
-                .where((F.col("n") >= MIN_CHILDREN) & (F.col("all_pages") <= MAX_PAGES_PER_CHILD * F.col("n")))
-                .select("host", "prefix", F.lit(True).alias("variable")))
-    segs = F.when(F.col("variable") & (F.size("segs") > depth), _wild("segs", depth)).otherwise(F.col("segs"))
-    return keyed.join(variable, ["host", "prefix"], "left").withColumn("segs", segs).drop("prefix", "variable")
+    keyed = nodes.withColumn("prefix", prefix).withColumn("child", _at("segs", depth))
+    children = keyed.where(F.col("child") != "*").groupBy("host", "prefix", "child").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("good").alias("g"), F.sum("labelled").alias("m"))
+    variable = (children.groupBy("host", "prefix")
+                .agg(F.sum("n").alias("all_n"), F.sum(F.col("n") * F.col("n")).alias("squares"),
+                     F.sum("g").alias("all_g"), F.sum("m").alias("all_m"))
+                .where(F.col("all_n") * F.col("all_n") >= MIN_CHILDREN * F.col("squares"))
+                .select("host", "prefix", "all_g", "all_m", F.lit(True).alias("variable")))
+    apart = (children.join(variable, ["host", "prefix"])
+             .where(_differs(F.col("g"), F.col("m"), F.col("all_g"), F.col("all_m")))
+             .select("host", "prefix", "child", F.lit(True).alias("apart")))
+    wild = F.col("variable") & F.col("apart").isNull()
+    return (keyed.join(variable.select("host", "prefix", "variable"), ["host", "prefix"], "left")
+            .join(apart, ["host", "prefix", "child"], "left")
+            .withColumn("segs", F.when(wild & F.col("child").isNotNull(), _wild("segs", depth)).otherwise(F.col("segs")))
+            .drop("prefix", "child", "variable", "apart"))
+
+
+def _depth(nodes: DataFrame) -> int:
+    """Levels that ``MIN_CHILDREN`` urls of some host reach."""
+    sizes = nodes.groupBy("host", F.size("segs").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    deeper = Window.partitionBy("host").orderBy(F.desc("d"))
+    return sizes.withColumn("reach", F.sum("n").over(deeper)).where(F.col("reach") >= MIN_CHILDREN).agg(F.max("d")).first()[0] or 0
 
 
 def _merge(templates: DataFrame, depth: int) -> DataFrame:
@@ -90,11 +118,7 @@ def _merge(templates: DataFrame, depth: int) -> DataFrame:
     t = templates.withColumn("wide", F.when(F.size("now") > depth, _wild("now", depth)).otherwise(F.col("now")))
     per = t.groupBy("host", "wide", "now").agg(F.sum("good").alias("g"), F.sum("labelled").alias("n"))
     pool = per.groupBy("host", "wide").agg(F.sum("g").alias("pool_g"), F.sum("n").alias("pool_n"))
-    other_n = F.col("pool_n") - F.col("n")
-    share, other = F.try_divide("g", "n"), F.try_divide(F.col("pool_g") - F.col("g"), other_n)
-    p = F.try_divide("pool_g", "pool_n")
-    error = F.sqrt(p * (1 - p) * (F.try_divide(F.lit(1.0), F.col("n")) + F.try_divide(F.lit(1.0), other_n)))
-    differs = F.coalesce(F.abs(share - other) > Z * error, F.lit(False))
+    differs = _differs(F.col("g"), F.col("n"), F.col("pool_g"), F.col("pool_n"))
     kept = per.join(pool, ["host", "wide"]).where(differs).select("host", "now", F.lit(True).alias("apart"))
     return (t.join(kept, ["host", "now"], "left")
             .withColumn("now", F.when(F.col("apart"), F.col("now")).otherwise(F.col("wide"))).drop("apart", "wide"))
@@ -103,13 +127,14 @@ def _merge(templates: DataFrame, depth: int) -> DataFrame:
 def path_templates(urls: DataFrame, labels: DataFrame) -> DataFrame:
     """(host, path, template, purity). ``urls``: (page_id, host, path); ``labels``: (page_id,
     good 0/1). One row for each distinct host and path."""
-    evidence = labels.where("page_id is not null").groupBy("page_id").agg(F.max("good").cast("long").alias("good"))
+    evidence = labels.where("page_id is not null").groupBy("page_id").agg(F.min("good").cast("long").alias("good"))
     spread = urls.withColumn("page_id", F.coalesce(F.col("page_id"), -F.abs(F.xxhash64("path")) - 1))
     nodes = (spread.join(evidence, "page_id", "left").groupBy("host", "path")
-             .agg(F.count(F.lit(1)).alias("pages"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"),
-                  F.count("good").alias("labelled")).withColumn("segs", _segments(F.col("path"))))
+             .agg(F.coalesce(F.min("good"), F.lit(0)).alias("good"), (F.count("good") > 0).cast("long").alias("labelled"))
+             .withColumn("segs", _segments(F.col("path"))))
     nodes = written(nodes, "url-nodes")
-    depth = nodes.agg(F.max(F.size("segs"))).first()[0] or 0
+    depth = _depth(nodes)
+    nodes = nodes.withColumn("segs", F.transform("segs", lambda x, i: F.when(i >= depth, F.lit("*")).otherwise(x)))
     for d in range(depth):
         nodes = _generalise(nodes, d)
         if d % LEVELS == LEVELS - 1 and d + 1 < depth:
