@@ -218,9 +218,27 @@ def cooc_layout(n_users: int, n_items: int, nnz: int, item_block: int | None = N
     return nb, nc
 
 
+def route(user_items: DataFrame, nb: int, chunks: int, target_rows: int = TARGET_GROUP_ROWS) -> DataFrame:
+    """The groups' rows: userId, productId, blk, lo, hi, chunk. A user's rows go only to the pairs (lo, hi) of item
+    blocks in which that user has items, so copies follow the user's own history, not the catalogue. The users
+    of a pair are dealt to at least ``chunks`` groups, and to so many that none has more than about ``target_rows`` rows by
+    the blocks' measured sizes: a block with a hot item is cut finer than the others."""
+    ui = user_items.select("userId", "productId").withColumn("blk", F.pmod(F.xxhash64("productId"), F.lit(nb)).cast("int"))
+    sizes = F.broadcast(user_items.sparkSession.createDataFrame(
+        ui.groupBy("blk").agg(F.count("*").alias("n")).collect(), "b int, n long"))      # nb rows
+    own = ui.groupBy("userId").agg(F.collect_set("blk").alias("own"))                    # nb numbers at most
+    pairs = ui.join(own, "userId").select("userId", "productId", "blk", F.explode("own").alias("other")).select(
+        "userId", "productId", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
+    rows = F.col("n_lo") + F.when(F.col("lo") == F.col("hi"), 0).otherwise(F.col("n_hi"))
+    groups = F.greatest(F.lit(chunks), F.ceil(rows / F.lit(target_rows)))
+    return (pairs.join(sizes.select(F.col("b").alias("lo"), F.col("n").alias("n_lo")), "lo")
+            .join(sizes.select(F.col("b").alias("hi"), F.col("n").alias("n_hi")), "hi")
+            .select("userId", "productId", "blk", "lo", "hi", F.pmod(F.xxhash64("userId"), groups).cast("int").alias("chunk")))
+
+
 def cooccurrence_counts(user_items: DataFrame, n_users: int, n_items: int, nnz: int | None = None,
                         item_block: int | None = None, user_chunk: int | None = None,
-                        dense_factor: float = DENSE_FACTOR) -> DataFrame:
+                        dense_factor: float = DENSE_FACTOR, target_rows: int = TARGET_GROUP_ROWS) -> DataFrame:
     """|U_p ∩ U_q| for all ordered pairs p != q with a common user, from distinct
     (userId, productId) rows: the blocked product A^T A of the user x item 0/1
     matrix. Each (user chunk, item block pair) group computes its partial
@@ -228,10 +246,7 @@ def cooccurrence_counts(user_items: DataFrame, n_users: int, n_items: int, nnz:
     a combining aggregate."""
     nb, nc = cooc_layout(n_users, n_items, nnz if nnz is not None else n_users * 8, item_block, user_chunk,
                          user_items.sparkSession.sparkContext.defaultParallelism)
-    ui = (user_items.select("userId", "productId")
-          .withColumn("blk", F.pmod(F.xxhash64("productId"), F.lit(nb)).cast("int"))
-          .withColumn("chunk", F.pmod(F.xxhash64("userId"), F.lit(nc)).cast("int")))
-    rep = _replicate_to_block_pairs(ui, "blk", nb)
+    rep = route(user_items, nb, nc, target_rows)
 
     def block_cooc(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(pdf["lo"].iat[0]), int(pdf["hi"].iat[0])
@@ -252,8 +267,6 @@ def cooccurrence_counts(user_items: DataFrame, n_users: int, n_items: int, nnz:
         return _emit_pairs(items_l, items_r, c, lo == hi, 0, value_name="cnt")
 
     counts = rep.groupBy("chunk", "lo", "hi").applyInPandas(block_cooc, schema=COUNT_SCHEMA)
-    if nc == 1:
-        return counts
     return counts.groupBy("productId", "simProductId").agg(F.sum("cnt").alias("cnt"))
 
 

@@ -253,6 +253,14 @@ ORACLE: dict[str, str] = {
     "search_products_by_index": _w(PRODUCTS, """patterns AS (SELECT unnest(['ring', '^s.*bolt$', 'red|gizmo', 'w[aeiou]dge',
             'colou?r', 'old', 'e{2}n', 'a.l']) AS pattern)""") + """SELECT pattern, productId, name
         FROM patterns, products WHERE regexp_matches(name, pattern)""",
+    "als_normal_equations": _w(R2) + "SELECT userId, count(*) AS nRatings, TRUE AS solved FROM r2 GROUP BY userId",
+    "als_factor_ranks": _w(R2) + "SELECT DISTINCT productId, CAST(1 AS BIGINT) AS vectors, CAST(5 AS INTEGER) AS rank FROM r2",
+    "als_predictions_are_products": _w(R2) + """SELECT userId, productId, count(*) AS n, TRUE AS isProduct FROM r2
+        GROUP BY userId, productId""",
+    "user_recs_are_lists": _w(R2) + "SELECT DISTINCT userId, TRUE AS wellFormed FROM r2",
+    "als_product_recs_are_cosines": _w(R2) + "SELECT DISTINCT productId, TRUE AS areCosines FROM r2",
+    "grid_has_its_minimum": """SELECT CAST(r.r AS INTEGER) AS rank, CAST(l.l AS DOUBLE) AS lambda, TRUE AS ok
+        FROM (VALUES (5), (10), (20), (50)) r(r), (VALUES (1.0), (0.1), (0.01)) l(l)""",
     "first_match": _w(R1) + """SELECT userId, productId, score, "timestamp" FROM (
             SELECT *, row_number() OVER (PARTITION BY userId ORDER BY "timestamp", productId, score) AS rn FROM r1)
         WHERE rn = 1""",

@@ -19,6 +19,7 @@ from pickwise.operators import joins, priority, ranking, similarity, stats
 from pickwise.operators.inner_product import top_inner_products
 from pickwise.plans import name_index, serving
 from pickwise.sources import fixtures as fx
+from pickwise.schemas import ALS_RANK, ALS_REG, SIM_THRESHOLD, USER_MAX_RECOMMENDATION
 from pickwise.session import materialize, scratch_path
 from pickwise.sources import io
 from pickwise.streaming.parse import parse_rating_events, valid_rating_events
@@ -505,7 +506,104 @@ def q_best_params(spark, sf_dir):
     return als_ops.best_params(q_als_grid_search(spark, sf_dir))
 
 
+# --- model checks: what must hold of a fitted model, per user, product or pair ---------------
+
+def _dot(a: str, b: str):
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+
+
+def _rated_factors(spark, sf_dir):
+    """R2 rows with both factors (uf, vf)."""
+    r2, model = _als_model(spark, sf_dir)
+    u = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("uf"))
+    v = model.itemFactors.select(F.col("id").alias("productId"), F.col("features").alias("vf"))
+    return r2, model, r2.select("userId", "productId", "score").join(u, "userId").join(v, "productId")
+
+
+def q_als_normal_equations(spark, sf_dir):
+    """M1: every user's factors solve the user's regularised normal equations over the item factors: the sum of
+    (predicted - score) * item factors plus lambda * ratings * user factors vanishes (to single precision)."""
+    _, _, rows = _rated_factors(spark, sf_dir)
+    error = _dot("uf", "vf") - F.col("score")
+    sums = rows.groupBy("userId").agg(
+        F.count("*").alias("nRatings"), F.first("uf").alias("uf"),
+        F.array(*[F.sum(error * F.col("vf")[i]) for i in range(ALS_RANK)]).alias("g"),
+        F.sum(F.col("score") * F.sqrt(_dot("vf", "vf"))).alias("size"))
+    rest = F.zip_with("g", "uf", lambda g, x: F.abs(g + ALS_REG * F.col("nRatings") * x))
+    return sums.select("userId", "nRatings", (F.array_max(rest) <= 1e-3 * (1 + F.col("size"))).alias("solved"))
+
+
+def q_als_factor_ranks(spark, sf_dir):
+    """M4: every rated product has one vector of the model's rank."""
+    _, model = _als_model(spark, sf_dir)
+    return als_ops.item_factors(model).groupBy("productId").agg(
+        F.count("*").alias("vectors"), F.max(F.size("features")).alias("rank"))
+
+
+def q_als_predictions_are_products(spark, sf_dir):
+    """M2: every pair's prediction is the inner product of its factors."""
+    r2, model, rows = _rated_factors(spark, sf_dir)
+    pairs = r2.select("userId", "productId", "score")
+    predicted = als_ops.als_predict_pairs(model, pairs).groupBy("userId", "productId").agg(
+        F.count("*").alias("n"), F.max("prediction").alias("prediction"))
+    own = rows.groupBy("userId", "productId").agg(F.max(_dot("uf", "vf")).alias("product"))
+    return predicted.join(own, ["userId", "productId"]).select(
+        "userId", "productId", "n", (F.abs(F.col("prediction") - F.col("product")) <= 1e-4).alias("isProduct"))
+
+
+def _recs_state(spark, sf_dir):
+    """Per user of R2: size of the list, and whether it is sorted, positive, and made of inner products."""
+    r2, model = _als_model(spark, sf_dir)
+    listed = als_ops.user_recs(model)
+    u = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("uf"))
+    v = model.itemFactors.select(F.col("id").alias("productId"), F.col("features").alias("vf"))
+    entries = listed.select("userId", F.posexplode("recs").alias("at", "r")).select(
+        "userId", "at", F.col("r.productId").alias("productId"), F.col("r.score").alias("score"))
+    exact = entries.join(u, "userId").join(v, "productId").groupBy("userId").agg(
+        F.count("*").alias("n"), F.min("score").alias("least"), F.max(F.abs(_dot("uf", "vf") - F.col("score"))).alias("off"))
+    falling = F.forall(F.sequence(F.lit(0), F.size("recs") - 1), lambda i: (i == 0) | (
+        F.get("recs", i)["score"] <= F.get("recs", i - 1)["score"]))
+    lists = listed.select("userId", falling.alias("sorted")).join(exact, "userId")
+    good = F.col("sorted") & (F.col("n") <= USER_MAX_RECOMMENDATION) & (F.col("least") > 0) & (F.col("off") < 1e-6)
+    users = r2.select("userId").distinct()
+    return r2, model, users.join(lists, "userId", "left").select("userId", F.coalesce(good, F.lit(True)).alias("wellFormed"))
+
+
+def q_user_recs_are_lists(spark, sf_dir):
+    """M3, P5: every user's list has at most 20 positive entries, falling, each the inner product of its factors."""
+    return _recs_state(spark, sf_dir)[2]
+
+
+def q_als_product_recs_are_cosines(spark, sf_dir):
+    """C1 on the model's factors: no listed pair is off its cosine or under the threshold. One row per rated product."""
+    r2, model = _als_model(spark, sf_dir)
+    factors = als_ops.item_factors(model).select("productId", F.col("features").alias("a"))
+    edges = similarity.cosine_all_pairs(als_ops.item_factors(model))
+    b = factors.select(F.col("productId").alias("simProductId"), F.col("a").alias("b"))
+    off = edges.join(factors, "productId").join(b, "simProductId").groupBy("productId").agg(
+        F.max(F.abs(cosine_expr("a", "b") - F.col("score"))).alias("off"), F.min("score").alias("least"))
+    return r2.select("productId").distinct().join(off, "productId", "left").select(
+        "productId", F.coalesce((F.col("off") < 1e-6) & (F.col("least") > SIM_THRESHOLD), F.lit(True)).alias("areCosines"))
+
+
+def q_grid_has_its_minimum(spark, sf_dir):
+    """The twelve grid points, each with an error, and the best of them has the least."""
+    grid = q_als_grid_search(spark, sf_dir).persist()
+    least = als_ops.best_params(grid).first()["rmse"]
+    out = grid.select("rank", "lambda", ((F.col("rmse") > 0) & (F.col("rmse") >= least)).alias("ok"))
+    rows = spark.createDataFrame(out.collect(), out.schema)     # 12 rows
+    grid.unpersist()
+    return rows
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    # model checks
+    "als_normal_equations": q_als_normal_equations,
+    "als_factor_ranks": q_als_factor_ranks,
+    "als_predictions_are_products": q_als_predictions_are_products,
+    "user_recs_are_lists": q_user_recs_are_lists,
+    "als_product_recs_are_cosines": q_als_product_recs_are_cosines,
+    "grid_has_its_minimum": q_grid_has_its_minimum,
     # loaders
     "load_products": q_load_products,
     "load_ratings": q_load_ratings,

@@ -7,7 +7,8 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 MODEL_KEYS = {"als_train", "item_factors", "als_predict_pairs", "user_recs", "offline_products", "als_product_recs",
-              "als_grid_search", "best_params"}
+              "als_grid_search", "best_params", "als_normal_equations", "als_factor_ranks", "als_predictions_are_products",
+              "user_recs_are_lists", "als_product_recs_are_cosines", "grid_has_its_minimum"}
 
 
 def _plan(df) -> str:

@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-SLOW = {"als_grid_search", "best_params"}
+SLOW = {"als_grid_search", "best_params", "grid_has_its_minimum"}
 
 
 def _norm(v):

@@ -5,6 +5,7 @@ import math
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 
 from conftest import SF_SMALL
@@ -167,3 +168,28 @@ def test_cosine_block_kernel_slices(slice_cols):
              similarity._cosine_block(ids[a], x[a], ids[b], x[b], False, 0.1, slice_cols)]
     got2 = {(int(p), int(q)): v for part in parts for p, q, v in part.itertuples(index=False)}
     assert got2.keys() == want.keys()
+
+
+def test_hot_item_and_hot_user_stay_in_small_groups(spark):
+    """An item that every user rated and a user who rated every item: the largest group stays near its target, copies
+    follow the users' histories, and the counts equal brute force."""
+    from collections import Counter
+    from itertools import permutations
+
+    rng = np.random.default_rng(9)
+    pairs = {(u, 0) for u in range(3000)} | {(0, p) for p in range(200)}
+    pairs |= {(int(u), int(p)) for u, p in zip(rng.integers(0, 3000, 2000), rng.integers(0, 200, 2000))}
+    ui = spark.createDataFrame(sorted(pairs), "userId int, productId int")
+    target = 600
+    rows = similarity.route(ui, 8, 1, target)
+    largest = rows.groupBy("chunk", "lo", "hi").count().agg(F.max("count")).first()[0]
+    one_user = 200                                    # the hot user's items can't be cut
+    assert largest <= 1.5 * target + one_user
+    assert rows.count() < 4 * len(pairs)              # 8 copies of each row if every row went to all its block pairs
+    got = {(r["productId"], r["simProductId"]): r["cnt"] for r in similarity.cooccurrence_counts(
+        ui, 3000, 200, len(pairs), item_block=25, target_rows=target).collect()}
+    of_user = {}
+    for u, p in pairs:
+        of_user.setdefault(u, []).append(p)
+    want = Counter(x for items in of_user.values() for x in permutations(items, 2))
+    assert got == dict(want)
