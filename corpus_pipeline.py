@@ -30,7 +30,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked near duplicates the document with the smallest doc_id stays."""
+    """Of linked near duplicates (80 % of five-word shingles) the document with the smallest doc_id stays."""
     return minhash_dedup.drop_near_duplicates(docs)
 
 
@@ -41,7 +41,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality_rules", quality), ("toxicity", toxic), ("exact_dedup", exact),
           ("minhash_dedup", near), ("best_fit_packing", pack)]
-#: The classifier and the packing can't be written in SQL: tests hold the stages against brute force.
+#: The classifier and the packing can't be written in SQL; tests/llm/test_pipeline.py compares what each stage keeps of
+#: its input with a plain version of its rule.
 ORACLE_SQL = None
 
 
