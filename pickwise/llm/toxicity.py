@@ -5,7 +5,7 @@ words and word beginnings a text has; each model but the first also sees the pro
 the categories before it. In training those are out-of-fold predictions, made by
 models that haven't seen the row, so that later models learn how far the earlier
 ones can be trusted on new text. The threshold of the last category comes from its own out-of-fold
-predictions: where the share of toxic rows found, less the share of others, is largest.
+predictions: where the share of toxic rows found, less ``CLEAN_WEIGHT`` times the share of others, is largest.
 
 The models are fitted on a bounded sample: at most ``max_labelled`` labelled documents (those with the
 smallest hashed identifiers) with at most ``max_ids`` features together. A task reads the written sample and fits, so
@@ -15,7 +15,7 @@ weights (half a MB a model). Every document's whole text is scored where it is r
 Defined results: a null, empty or blank text has no feature and gets the models' base
 rates; a label that is null leaves its row out of the training; without any labelled
 row, or where a category has one value only, that value (0 without rows) is its
-probability; with few rows of one value of the last category the threshold is ``THRESHOLD``; a probability equal to the
+probability; with few rows of one value of the last category, or where no threshold gains, it is ``THRESHOLD``; a probability equal to the
 threshold is toxic; repeated rows are scored each, and train as one; an empty table gives an empty result;
 other columns are carried by ``drop_toxic`` under any name."""
 
@@ -43,6 +43,7 @@ STEM = 5
 ITERATIONS, REGULARISATION = 30, 1e-4
 #: The last category's threshold where fewer than EVIDENCE training rows have one of its values.
 THRESHOLD, EVIDENCE = 0.5, 30
+CLEAN_WEIGHT = 3.0
 #: Features worked on together in a fit.
 BLOCK_IDS = 1 << 20
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -221,7 +222,9 @@ def best_threshold(p: np.ndarray, labels: np.ndarray) -> float:
     cuts, at = np.unique(p, return_inverse=True)
     toxic = np.bincount(at, labels, len(cuts))
     other = np.bincount(at, 1 - labels, len(cuts))
-    gain = toxic[::-1].cumsum()[::-1] / toxic.sum() - other[::-1].cumsum()[::-1] / other.sum()
+    gain = toxic[::-1].cumsum()[::-1] / toxic.sum() - CLEAN_WEIGHT * other[::-1].cumsum()[::-1] / other.sum()
+    if gain.max() <= 0:
+        return THRESHOLD
     best = int(np.flatnonzero(gain == gain.max())[-1])
     return float((cuts[best] + cuts[best - 1]) / 2) if best else float(cuts[0])
 

@@ -432,7 +432,8 @@ def test_best_threshold(monkeypatch):
     p, y = np.array([.1, .2, .3, .4, .9]), np.array([0, 0, 1, 0, 1.])
     assert toxicity.best_threshold(p, y) == toxicity.THRESHOLD    # too few rows to choose by
     monkeypatch.setattr(toxicity, "EVIDENCE", 2)
-    assert toxicity.best_threshold(p, y) == 0.25                  # both toxic rows, one other
+    assert toxicity.best_threshold(p, y) == pytest.approx(0.65)   # one other less is worth a toxic row more
+    assert toxicity.best_threshold(p, np.array([0, 0, 1, 1, 1.])) == 0.25
     assert toxicity.best_threshold(p, np.ones(5)) == toxicity.THRESHOLD
     assert toxicity.best_threshold(np.full(4, .5), np.array([0, 1, 0, 1.])) == .5
 
