@@ -11,14 +11,14 @@ Relations (the contract shared with the SQL oracle):
 
 A user is one row: newest product, rated set, recent ratings. That row meets the neighbour list of its
 product, and the first 20 entries that aren't rated are cut inside the row, so users x neighbours never exist as rows
-and nothing but the cut is exchanged. Each of the <= 20 candidates meets its own list, in which the similarities to
-the <= 21 recent products are looked up inside the row too. A user holding a third of all rows costs 21 rows per
+and nothing but the cut is exchanged. The <= 20 x 21 pairs of a user are then joined with the similarities (a compiled
+hash join; looking them up inside the row takes many times as long). A user holding a third of all rows costs 21 rows per
 map task (WindowGroupLimit) and its set of rated products, once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.functions import log10_count
@@ -49,26 +49,13 @@ def candidates_in_row(users: DataFrame, lists: DataFrame, k: int = MAX_SIM_PRODU
     return found.select(*kept, F.filter("recs", lambda r: F.array_contains("first", r["productId"])).alias("candidates"))
 
 
-def score_in_row(rows: DataFrame, lists: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFrame:
-    """userId, productId, baseScore, nHigh, nLow, priority of the candidates similar to a recent
-    rating. ``rows``: userId, recentProducts, recentScores, candidates. A candidate's similarity to a recent
-    product is that product's entry in the candidate's own list."""
-    pairs = rows.select("userId", "recentProducts", "recentScores", F.explode("candidates.productId").alias("productId"))
-
-    def similar(r: Column) -> Column:
-        return (r["score"] > threshold) & F.array_contains("recentProducts", r["productId"])
-
-    matched = pairs.join(lists.select("productId", "recs"), "productId").select(
-        "userId", "productId", "recentProducts", "recentScores", F.filter("recs", similar).alias("m")).where(F.size("m") > 0)
-    # the recent ratings with their similarity, in order; those without one fall out
-    scored = F.filter(F.zip_with("recentProducts", "recentScores", lambda p, s: F.struct(
-        s.alias("score"), F.get(F.filter("m", lambda e: e["productId"] == p), F.lit(0))["score"].alias("sim"))),
-        lambda h: h["sim"].isNotNull())
-    high = F.size(F.filter("h", lambda h: h["score"] > HIGH_SCORE_CUTOFF)).cast("bigint")
-    base = F.aggregate("h", F.lit(0.0), lambda a, h: a + h["sim"] * h["score"]) / F.size("h")
-    return (matched.select("userId", "productId", scored.alias("h"))
-            .select("userId", "productId", base.alias("baseScore"), high.alias("nHigh"), (F.size("h") - high).alias("nLow"))
-            .withColumn("priority", F.col("baseScore") + log10_count("nHigh") - log10_count("nLow")))
+def pairs_of_rows(rows: DataFrame) -> DataFrame:
+    """userId, productId (candidate), recentProductId, recentScore from ``rows`` (userId, recentProducts,
+    recentScores, candidates): at most 20 x 21 for each user."""
+    each = rows.select("userId", "recentProducts", "recentScores", F.explode("candidates.productId").alias("productId"))
+    recent = each.select("userId", "productId", F.explode(F.arrays_zip("recentProducts", "recentScores")).alias("r"))
+    return recent.select("userId", "productId", F.col("r.recentProducts").alias("recentProductId"),
+                         F.col("r.recentScores").alias("recentScore"))
 
 
 def top_k_candidates(cur: DataFrame, edges: DataFrame, rated: DataFrame,
@@ -121,8 +108,8 @@ def stream_priority(ratings: DataFrame, edges: DataFrame, events: DataFrame | No
     recent = recent_ratings_k(hist, recent_k).groupBy("userId").agg(F.sort_array(F.collect_list(newest)).alias("r")).select(
         "userId", F.col("r.productId").alias("recentProducts"), F.col("r.score").alias("recentScores"))
     users = cur.select("userId", "productId").join(rated_sets(hist), "userId").join(recent, "userId")
-    lists = bounded_broadcast(collect_recs_per_key(edges), edges_bound)
-    return score_in_row(candidates_in_row(users, lists, k), lists, threshold)
+    cut = candidates_in_row(users, bounded_broadcast(collect_recs_per_key(edges), edges_bound), k)
+    return score_candidates(hits(pairs_of_rows(cut), edges, threshold, edges_bound))
 
 
 def rank_priorities(prio: DataFrame) -> DataFrame:

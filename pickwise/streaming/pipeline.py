@@ -9,7 +9,7 @@ checkpoint holds one set of start offsets, and every line goes to exactly one si
    and the rated set. No history table is read: per-trigger work grows with the batch, not with the history;
 3. ``foreachBatch`` resolves the model version in use (a model published between two triggers serves the
    second one), reads of its neighbour lists only the buckets of the products asked for, takes the 20 best unrated
-   neighbours inside the row, scores them against the recent ratings inside the row (SP), and writes the users' new
+   neighbours inside the row, joins them and the recent ratings with the similarities (SP), and writes the users' new
    lists; an empty list replaces the old one (Q6). Rejects and the batch's counts (A10) are written beside them.
 
 Every write goes to ``<table>/batch_id=<id>`` in overwrite mode, so a batch
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pickwise.operators.priority import candidates_in_row, score_in_row, stream_recs_table
+from pickwise.operators.priority import candidates_in_row, hits, pairs_of_rows, score_candidates, stream_recs_table
 from pickwise.schemas import MAX_SIM_PRODUCTS_NUM, RATING_QUEUE_SIZE, RECENT_ROWS, RECS
 from pickwise.sources.keyed import KeyedTable
 from pickwise.sources.upsert import DELTA, UpsertLog
@@ -219,14 +219,17 @@ def process_ratings_batch(rows: DataFrame, batch_id: int, paths: OnlinePaths, mo
         if rejected:
             _write_batch(rows.where(~user).select("value", "partition", "offset"), paths.rejects, batch_id)
         if n_users:
-            # the batch's side of both list joins is measured; a candidate row carries the recent ratings, at most k a user
-            small = bytes_ + n_users * MAX_SIM_PRODUCTS_NUM * (12 * RECENT_ROWS + 64) <= BROADCAST_BYTES
+            # the batch's side of both list joins is measured; a user has at most 20 x 21 pairs of some 48 bytes
+            small = bytes_ + n_users * MAX_SIM_PRODUCTS_NUM * RECENT_ROWS * 48 <= BROADCAST_BYTES
             users, lists = rows.where(user), model.resolve()
             asked = users.select("userId", "productId", "recentProducts", "recentScores", "rated")
             top = candidates_in_row(F.broadcast(asked) if small else asked,
                                     lists.part(lists.touched(users))).persist(StorageLevel.MEMORY_AND_DISK)
-            own = lists.part(lists.touched(top.select(F.explode("candidates.productId").alias("productId"))))
-            prio = score_in_row(F.broadcast(top) if small else top, own)
+            asked = top.select(F.explode("candidates.productId").alias("productId")).distinct()
+            similar = lists.of_keys(asked).select("productId", F.explode("recs").alias("r")).select(
+                "productId", F.col("r.productId").alias("simProductId"), F.col("r.score").alias("score"))
+            pairs = pairs_of_rows(top)
+            prio = score_candidates(hits(F.broadcast(pairs) if small else pairs, similar))
             _write_batch(stream_recs_table(prio, users), f"{paths.recs}/{DELTA}", batch_id)
         counts = [(query, valid + rejected, valid, rejected, n_users, model.version, int(1000 * (time.time() - started)))]
         _write_batch(spark.createDataFrame(counts, METRICS_SCHEMA).coalesce(1), paths.metrics, batch_id)
