@@ -302,10 +302,7 @@ def q_item_cf_products(spark, sf_dir):
 # --- dense-vector similarity ---------------------------------------------------------
 
 def q_product_recs(spark, sf_dir):
-    v = fx.item_vectors(spark, sf_dir)
-    edges = similarity.cosine_all_pairs(v)
-    ranked = ranking.top_k_per_key(edges, "productId", None, item="simProductId")
-    return ranked.select("productId", "simProductId", _r6("score"), "rank")
+    return similarity.cosine_ranked(fx.item_vectors(spark, sf_dir)).select("productId", "simProductId", _r6("score"), "rank")
 
 
 def q_cosine_similarity(spark, sf_dir):
@@ -477,8 +474,7 @@ def q_als_product_recs(spark, sf_dir):
     """Item-item lists from the ALS item factors: blocked cosine > 0.4, ranked."""
     _, model = _als_model(spark, sf_dir)
     factors = als_ops.item_factors(model).persist()
-    edges = similarity.cosine_all_pairs(factors, n_items=factors.count())
-    ranked = ranking.top_k_per_key(edges, "productId", None, item="simProductId")
+    ranked = similarity.cosine_ranked(factors, n_items=factors.count())
     return ranked.select("productId", "simProductId", _r6("score"), "rank")
 
 
