@@ -242,3 +242,36 @@ def test_content_lists_and_products_equal_edges_and_window(spark):
     cols = ["queryProductId", "rank", "productId", "name", "recScore", "score"]
     got = serving.ranked_to_products(ranked, products, ratings, d).select(cols)
     assert sorted(got.collect()) == sorted(serving.ranked_edges_to_products(edges, None, products, ratings).select(cols).collect())
+
+
+def test_pairs_with_vectors_equal_the_join(spark):
+    """Pairs meet their vectors in the block's task, in the rows of the join with the vectors (ids may come twice), without an exchange."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(50, 4))
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in zip([*range(44), *range(5), 0], x)], "productId int, features array<float>")
+    edges = similarity.cosine_all_pairs(v, block_size=1000).select("productId", "simProductId")
+    a, b = v.withColumnRenamed("features", "fa"), v.select(F.col("productId").alias("simProductId"), F.col("features").alias("fb"))
+    want = edges.join(a, "productId").join(b, "simProductId").select("productId", "simProductId", "fa", "fb")
+    for size in (8, 1000):
+        got = similarity.cosine_vector_pairs(v, block_size=size)
+        assert sorted(got.collect()) == sorted(want.collect()) != []
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("most", [1, 3, 100])
+def test_content_features_rare_terms(spark, most):
+    """Terms over the broadcast bound meet their idf by a shuffle; ids that come twice count as one text; the term rows meet no
+    exchange where all are broadcast."""
+    from collections import Counter
+    rows = [(i, " ".join(["a", "b" if i % 2 else "B"] + [f"t{i // 3}"] * (i % 3 + 1) + [f"u{i}"])) for i in range(24)] + [(5, "a z"), (6, None)]
+    df = spark.createDataFrame(rows, "productId int, text string")
+    out = similarity.content_features(df, max_broadcast=most)
+    got = {(r["productId"], r["term"]): (r["tf"], r["idf"], r["weight"]) for r in out.collect()}
+    tf = Counter((i, w) for i, s in rows for w in (s or "").lower().split())
+    dfreq = Counter(w for _, w in tf)
+    assert got.keys() == tf.keys() and out.count() == len(tf)
+    for (i, w), (n, idf, weight) in got.items():
+        assert n == tf[i, w] and abs(idf - math.log((len(rows) + 1) / (dfreq[w] + 1))) < 1e-12 and abs(weight - n * idf) < 1e-12
+    if most == 100:
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RepartitionByExpression") >= 1 and "term" not in plan.split("RepartitionByExpression")[-1].split("\n")[0]
