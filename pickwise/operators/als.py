@@ -9,6 +9,8 @@ lineage into the session's shared checkpoint folder every
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,17 @@ def auto_blocks(ratings: DataFrame) -> int:
     return max(1, min(ratings.rdd.getNumPartitions(), parallelism))
 
 
+GRID_BLOCK_ROWS = 20_000_000      # ratings in a block of a grid fit, at most
+
+
+def grid_blocks(train: DataFrame, at_once: int) -> int:
+    """Blocks of one of ``at_once`` fits that share the cluster: its share of the cores, as a factor is sent to every
+    block that needs it in each iteration; more where a block would hold over GRID_BLOCK_ROWS ratings."""
+    share = math.ceil(train.sparkSession.sparkContext.defaultParallelism / at_once)
+    most = auto_blocks(train)
+    return most if most <= share else max(share, math.ceil(train.count() / GRID_BLOCK_ROWS))
+
+
 def als_train(ratings: DataFrame, rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER,
               reg: float = ALS_REG, seed: int = SEED, blocks: int | None = None):
     """M1: fit explicit ALS on (userId, productId, score)."""
@@ -89,15 +102,16 @@ def als_grid_search(spark: SparkSession, train: DataFrame, test: DataFrame,
 
     train = train.select("userId", "productId", "score").persist()
     test = test.select("userId", "productId", "score").persist()
-    blocks = blocks or auto_blocks(train)
     grid = [(int(r), float(lam)) for r in ranks for lam in regs]
+    at_once = max(1, min(parallelism, len(grid)))
+    blocks = blocks or grid_blocks(train, at_once)
 
     def fit(point):
         r, lam = point
         model = als_train(train, r, max_iter, lam, seed, blocks)
         return (r, lam, float(model_rmse(model, test)))
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(grid)))) as pool:
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
         rows = list(pool.map(fit, grid))
     train.unpersist()
     test.unpersist()

@@ -61,3 +61,14 @@ def test_grid_search_concurrency_does_not_change_results(spark):
     # same grid points and RMSEs; the last bits of a distributed average depend on merge order
     assert [(r, lam) for r, lam, _ in seq] == [(r, lam) for r, lam, _ in par]
     assert all(abs(a[2] - b[2]) < 1e-9 for a, b in zip(seq, par))
+
+
+def test_grid_fits_share_the_blocks(spark, monkeypatch):
+    """Fits that run at once take their share of the cores as blocks, more where a block would grow too large, and never more than before."""
+    cores = spark.sparkContext.defaultParallelism
+    train = spark.range(1000).repartition(4 * cores)
+    assert als.auto_blocks(train) == cores
+    assert als.grid_blocks(train, cores) == 1 and als.grid_blocks(train, 2) == cores // 2 and als.grid_blocks(train, 1) == cores
+    assert als.grid_blocks(train.coalesce(1), 2) == 1
+    monkeypatch.setattr(als, "GRID_BLOCK_ROWS", 300)
+    assert als.grid_blocks(train, cores) == 4

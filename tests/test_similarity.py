@@ -275,3 +275,8 @@ def test_content_features_rare_terms(spark, most):
     if most == 100:
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("RepartitionByExpression") >= 1 and "term" not in plan.split("RepartitionByExpression")[-1].split("\n")[0]
+
+
+def test_text_partitions():
+    assert similarity.text_partitions(0, 12) == 1 and similarity.text_partitions(3_000_000, 12) == 3
+    assert similarity.text_partitions(25_000_000, 12) == 12 and similarity.text_partitions(10**10, 12) == 1250
