@@ -77,3 +77,11 @@ def test_facts_are_read_once(spark, key):
 def test_a_line_is_split_once(spark):
     plan = _plan(E.queries()["valid_event_filter"](spark, SF_SMALL))
     assert plan.count("split(") == 1
+
+
+@pytest.mark.parametrize("key", ["content_based_products"])
+def test_content_lists_are_not_shuffled(spark, key):
+    """The task that scores a product's pairs ranks its list: nothing between it and the result shuffles or sorts them."""
+    plan = _plan(E.queries()[key](spark, SF_SMALL))
+    above = plan[:plan.index("MapInArrow")]
+    assert "Exchange" not in above and "Window" not in plan and "Sort" not in above

@@ -212,6 +212,85 @@ def test_ranked_lists_with_counted_products_equal_the_join(spark):
     assert sorted(got.collect()) == sorted(serving.ranked_edges_to_products(edges, None, products, ratings).select(cols).collect())
 
 
+def _ranked_rows(df):
+    return sorted((r["productId"], r["rank"], r["simProductId"], r["score"]) for r in df.collect())
+
+
+@pytest.mark.parametrize("size,rows,broadcast", [(7, 3, 1 << 20), (7, 3, 0), (1000, 4, 1 << 20), (None, 256, 1 << 20)])
+def test_ranked_lists_equal_edges_and_window(spark, monkeypatch, size, rows, broadcast):
+    """One row a list entry, ranked as the window does: ids that come twice (with other vectors) have one list, a zero vector
+    has none, null ids come out as from the edges; without room for the blocks the window ranks. Some blocks may be empty."""
+    from pickwise.operators.ranking import top_k_per_key
+
+    rng = np.random.default_rng(11)
+    x = rng.integers(-2, 4, size=(63, 5)).astype(float)  # small integers: many ties
+    x[7] = 0.0
+    ids = [*range(50), *range(10), -5, None, None]
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in zip(ids, x)], "productId int, features array<double>")
+    monkeypatch.setattr(similarity, "MIN_RANKED_ROWS", rows)
+    got = similarity.cosine_ranked(v, block_size=size, max_broadcast=broadcast)
+    want = top_k_per_key(similarity.cosine_all_pairs(v, block_size=1000), "productId", None, item="simProductId")
+    assert _ranked_rows(got) == _ranked_rows(want) != []
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    if broadcast:
+        assert "Window" not in plan and "Exchange" not in plan[:plan.index("MapInArrow")]
+    else:
+        assert "Window" in plan
+
+
+def test_ranked_lists_of_few_rows(spark):
+    v = spark.createDataFrame([(4, [1.0, 0.0]), (9, [1.0, 0.1])], "productId int, features array<double>")
+    assert similarity.cosine_ranked(v.where("productId < 0")).count() == 0
+    assert similarity.cosine_ranked(v.where("productId = 4")).count() == 0
+    got = similarity.cosine_ranked(v, block_size=1, digits=3)       # a block for each row, or one of them empty
+    assert _ranked_rows(got) == [(4, 1, 9, 0.995), (9, 1, 4, 0.995)]
+
+
+def test_ranked_lists_of_an_id_too_frequent_for_memory(spark, monkeypatch):
+    """They are ranked by a window over the edges, with the same rows."""
+    v = spark.createDataFrame([(i % 9 if i < 30 else 3, [1.0, float(i % 7), float(i % 5)]) for i in range(60)], "productId int, features array<double>")
+    want = _ranked_rows(similarity.cosine_ranked(v, digits=4))
+    monkeypatch.setattr(similarity, "RANKED_CELLS", 100)
+    by_window = similarity.cosine_ranked(v, digits=4)
+    assert _ranked_rows(by_window) == want != []
+    assert "Window" in by_window._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("digits", [0, 3, 6, 10])
+def test_scores_are_rounded_as_round_does(spark, digits):
+    units = np.array([4_123_455_000, 4_123_455_001, 4_123_454_999, 4_999_995_000, 10**10, 5 * 10**9, -4_123_455_000, -1, 0], np.int64)
+    df = spark.createDataFrame([(i, float(u) / 10**10) for i, u in enumerate(units)], "i int, s double")
+    want = [r["s"] for r in df.select("i", F.round("s", digits).alias("s")).orderBy("i").collect()]
+    assert similarity._half_up(units, digits).tolist() == want
+
+
+def test_ranked_rows():
+    assert similarity.ranked_rows(500, 12) == 256 and similarity.ranked_rows(51_282, 6) == 156
+    for n in (1, 10_000, 256_410, 10**6, 10**8):
+        assert 1 <= similarity.ranked_rows(n, 12) <= max(1, similarity.RANKED_CELLS / n)
+
+
+def test_content_lists_equal_edges_and_window(spark):
+    """M8's lists; as products with rounded scores, the rows of the general join."""
+    from pickwise.operators.ranking import top_k_per_key
+    from pickwise.plans import serving
+
+    d = spark.createDataFrame([(i, " ".join(f"w{(i * k) % 7}" for k in range(1, 6))) for i in range(40)] + [(3, "w1 w2 w3"), (41, "")],
+                              "productId int, text string")
+    edges = similarity.content_based_edges(d, block_size=1000)
+    ranked = similarity.content_based_ranked(d, block_size=9, digits=6)
+    window = top_k_per_key(edges, "productId", None, item="simProductId")
+    assert _ranked_rows(ranked) == _ranked_rows(window.withColumn("score", F.round("score", 6))) != []
+    products = spark.createDataFrame([(i, f"n{i}", "", "c", "t") for i in range(0, 60, 2)] + [(2, "again", "", "c", "t")],
+                                     "productId int, name string, imageUrl string, categories string, tags string")
+    ratings = spark.createDataFrame([(1, 2, 3.0), (2, 2, 4.5), (3, 2, 1.0), (1, 50, 1.0)], "userId int, productId int, score double")
+    cols = ["queryProductId", "rank", "productId", "name"]
+    got = serving.ranked_to_products(ranked, products, ratings, d, 6).select(*cols, "recScore", "score")
+    want = serving.ranked_edges_to_products(edges, None, products, ratings).select(
+        *cols, F.round("recScore", 6).alias("recScore"), F.round("score", 6).alias("score"))
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
 @pytest.mark.parametrize("most", [1, 3, 100])
 def test_content_features_rare_terms(spark, most):
     """Terms over the broadcast bound meet their idf by a shuffle; ids that come twice count as one text; the term rows meet no
