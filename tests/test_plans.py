@@ -79,7 +79,7 @@ def test_a_line_is_split_once(spark):
     assert plan.count("split(") == 1
 
 
-@pytest.mark.parametrize("key", ["content_based_products"])
+@pytest.mark.parametrize("key", ["content_based_recs", "content_based_products"])
 def test_content_lists_are_not_shuffled(spark, key):
     """The task that scores a product's pairs ranks its list: nothing between it and the result shuffles or sorts them."""
     plan = _plan(E.queries()[key](spark, SF_SMALL))
